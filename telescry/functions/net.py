@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-IPV4_PATTERN = rf"^({_OCTET}\.){{3}}{_OCTET}$"
-_GROUPS = r"([0-9a-f]{1,4}:)*[0-9a-f]{1,4}"
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+IPV4_PATTERN = f"^({_OCTET}[.]){{3}}{_OCTET}$"
+_GROUPS = "([0-9a-f]{1,4}:)*[0-9a-f]{1,4}"
 
 
 def _shl(value: Column, bits: Column) -> Column:
@@ -39,57 +39,41 @@ def ip_version(c: Column) -> Column:
     return F.when(c.contains(":"), 6).otherwise(4)
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value bound once, so long expressions are not copied per use."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _plain_v6(text: Column) -> Column:
-    """IPv6 text whose dotted IPv4 tail, if any, is rewritten as two hex groups."""
-    tail_text = F.substring_index(text, ":", -1)
-    tail = ipv4_value(tail_text)
-    head = F.left(text, F.length(text) - F.length(tail_text))
-    halves = F.concat_ws(":", F.lower(F.hex(F.shiftright(tail, 16))), F.lower(F.hex(tail.bitwiseAND(65535))))
-    return F.when(text.contains("."), F.when(tail.isNotNull(), F.concat(head, halves))).otherwise(text)
-
-
-def _groups_of(side: Column) -> Column:
-    """Hex groups of one side of ``::``, empty for empty text, null if a group is malformed."""
-    return F.when(side == "", F.array().cast("array<string>")).when(side.rlike(f"^{_GROUPS}$"), F.split(side, ":"))
-
-
-def _v6_hex(text: Column) -> Column:
-    """32 hex digits of an IPv6 text, null if it is none."""
-
-    def expand(sides: Column) -> Column:
-        left, right = _groups_of(F.get(sides, F.lit(0))), _groups_of(F.get(sides, F.lit(1)))
-        missing = F.lit(8) - F.size(left) - F.size(right)
-        filled = F.concat(left, F.array_repeat(F.lit("0"), missing.cast("int")), right)
-        return F.when(F.size(sides) == 1, F.when(F.size(left) == 8, left)).when(
-            (F.size(sides) == 2) & (missing >= 1), filled)
-
-    groups = _let(F.split(_plain_v6(text), "::", -1), expand)
-    return F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")
-
-
-def address(text: Column) -> Column:
-    """``(family, hi, lo)`` of a text address, null if it is none; mapped IPv6 becomes IPv4."""
-    long = lambda c: c.cast("bigint")
-    mk = lambda family, hi, lo: F.struct(
-        F.lit(family).alias("family"), long(hi).alias("hi"), long(lo).alias("lo"))
-
-    def halves(hex32: Column) -> Column:
-        return F.struct(F.conv(F.substring(hex32, 1, 16), 16, -10).cast("bigint").alias("hi"),
-                        F.conv(F.substring(hex32, 17, 16), 16, -10).cast("bigint").alias("lo"))
-
-    def from_halves(h: Column) -> Column:
-        hi, lo = h.getField("hi"), h.getField("lo")
-        mapped = (hi == 0) & (F.shiftrightunsigned(lo, 32) == 0xFFFF)
-        return F.when(mapped, mk(4, F.lit(0), lo.bitwiseAND(0xFFFFFFFF))).when(hi.isNotNull(), mk(6, hi, lo))
-
-    v6 = _let(_let(_v6_hex(F.lower(F.trim(text))), halves), from_halves)
-    v4 = ipv4_value(F.trim(text))
-    return F.when(v4.isNotNull(), mk(4, F.lit(0), v4)).when(text.contains(":"), v6)
+# One SQL text rather than nested Python calls: ``transform(array(x), v -> ..)[0]`` binds a value once.
+_ADDRESS = """
+CASE
+WHEN <ip> RLIKE '<v4 pattern>' THEN named_struct('family', 4, 'hi', 0L, 'lo', <v4>)
+WHEN contains(<ip>, ':') THEN
+  transform(array(lower(<ip>)), ip ->
+  -- a dotted IPv4 tail becomes two hex groups
+  transform(array(CASE WHEN NOT contains(ip, '.') THEN ip
+    WHEN substring_index(ip, ':', -1) RLIKE '<v4 pattern>' THEN
+      concat(left(ip, length(ip) - length(substring_index(ip, ':', -1))),
+        concat_ws(':', lower(hex(shiftright(<tail>, 16))), lower(hex(<tail> & 65535)))) END), plain ->
+  -- hex groups left and right of '::', null where malformed
+  transform(array(transform(split(plain, '::', -1), side ->
+    CASE WHEN side = '' THEN array() WHEN side RLIKE '^<groups>$' THEN split(side, ':') END)), sides ->
+  transform(array(CASE
+    WHEN size(sides) = 1 AND size(get(sides, 0)) = 8 THEN get(sides, 0)
+    WHEN size(sides) = 2 AND size(get(sides, 0)) + size(get(sides, 1)) <= 7 THEN
+      concat(get(sides, 0), array_repeat('0', 8 - size(get(sides, 0)) - size(get(sides, 1))), get(sides, 1)) END), groups ->
+  transform(array(array_join(transform(groups, g -> lpad(g, 4, '0')), '')), digits ->
+  transform(array(named_struct('hi', bigint(conv(left(digits, 16), 16, -10)), 'lo', bigint(conv(right(digits, 16), 16, -10)))), n ->
+    CASE WHEN n.hi = 0 AND shiftrightunsigned(n.lo, 32) = 65535 THEN named_struct('family', 4, 'hi', 0L, 'lo', n.lo & 4294967295L)
+         WHEN n.hi IS NOT NULL THEN named_struct('family', 6, 'hi', n.hi, 'lo', n.lo) END)[0])[0])[0])[0])[0])[0]
+END""".replace("<v4 pattern>", IPV4_PATTERN).replace("<groups>", _GROUPS)
+
+
+def _ipv4_sql(text: str) -> str:
+    octet = lambda i: f"try_cast(get(split({text}, '[.]'), {i}) AS BIGINT)"
+    return f"({octet(0)} * 16777216 + {octet(1)} * 65536 + {octet(2)} * 256 + {octet(3)})"
+
+
+def address(column: str) -> Column:
+    """``(family, hi, lo)`` of a text address column, null if it is none; mapped IPv6 becomes IPv4."""
+    ip = f"trim(string(`{column}`))"
+    tail = _ipv4_sql("substring_index(ip, ':', -1)")
+    return F.expr(_ADDRESS.replace("<ip>", ip).replace("<v4>", _ipv4_sql(ip)).replace("<tail>", tail))
 
 
 def with_address(df: DataFrame, ip: str, family: str = "family", hi: str = "hi", lo: str = "lo") -> DataFrame:
@@ -98,7 +82,7 @@ def with_address(df: DataFrame, ip: str, family: str = "family", hi: str = "hi",
     The address is a generator's output, so it is parsed once per row and later predicates on it are
     not pushed below the parse as copies.
     """
-    parsed = df.select("*", F.explode(F.array(address(F.col(ip).cast("string")))).alias("_addr"))
+    parsed = df.select("*", F.explode(F.array(address(ip))).alias("_addr"))
     return parsed.select(
         *[F.col(f"`{n}`") for n in df.columns],
         F.col("_addr.family").alias(family), F.col("_addr.hi").alias(hi), F.col("_addr.lo").alias(lo))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +23,7 @@ from telescry.operators.lookup import (
 )
 from telescry.operators.predicates import all_present
 from telescry.operators.prefix import lpm_attach, lpm_resolve
-from telescry.operators.ranges import range_join
+from telescry.operators.ranges import port_dimension
 
 REQUIRED = ("ip_src", "ip_dst", "port_src", "port_dst", "ip_proto")
 # Collector daemon -> flow type.
@@ -82,9 +82,8 @@ def flow_times(df: DataFrame) -> DataFrame:
     arrival_only = F.col("timestamp_start").isNull()
     start = F.when(arrival_only, F.col("timestamp_arrival")).otherwise(F.col("timestamp_start"))
     end = F.when(arrival_only, F.col("timestamp_arrival")).otherwise(F.coalesce("timestamp_end", "timestamp_start"))
-    out = df.withColumn("_s", epoch_millis(start)).withColumn("_e", epoch_millis(end))
-    out = out.filter(F.col("_s").isNotNull() & F.col("_e").isNotNull())
-    return out.withColumn("start_time", F.timestamp_millis("_s")).withColumn("end_time", F.timestamp_millis("_e")).drop("_s", "_e")
+    out = df.select("*", F.timestamp_millis(epoch_millis(start)).alias("start_time"), F.timestamp_millis(epoch_millis(end)).alias("end_time"))
+    return out.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
 
 
 def bgp_fields(df: DataFrame, mode: str) -> DataFrame:
@@ -136,11 +135,10 @@ _WIRE_VLAN = {"vlan_id": "vlan", "vlan_in_id": "vlan_in", "vlan_out_id": "vlan_o
 
 def ext_fields(df: DataFrame, mode: str = "reference") -> DataFrame:
     """All extension columns of a wire flow."""
-    out = mpls_fields(bgp_fields(df, mode))
-    out = out.withColumn("ipv4_tos", to_long(F.col("tos")))
-    out = out.withColumn("ipv4_dscp", F.shiftright("ipv4_tos", 2))
-    out = out.withColumn("ipv6_flow_label", to_long(F.col("ipv6_flow_label")))
-    return out.withColumns({name: to_long(F.col(src)) for name, src in _WIRE_VLAN.items()})
+    tos = to_long(F.col("tos"))
+    return mpls_fields(bgp_fields(df, mode)).withColumns({
+        "ipv4_tos": tos, "ipv4_dscp": F.shiftright(tos, 2), "ipv6_flow_label": to_long(F.col("ipv6_flow_label")),
+        **{name: to_long(F.col(src)) for name, src in _WIRE_VLAN.items()}})
 
 
 def normalize_flows(messages: DataFrame, cfg: FlowConfig = FlowConfig()) -> DataFrame:
@@ -167,35 +165,43 @@ def normalize_flows(messages: DataFrame, cfg: FlowConfig = FlowConfig()) -> Data
     )
 
 
-def enrich_ip_as(df: DataFrame, resolved: DataFrame | None, as_refs: DataFrame | None, ip: str, wire_as: str,
-                 as_name: str) -> DataFrame:
-    """Prefix reference of an address and its AS.
+def wire_or_prefix_as(ip: str, wire_as: str) -> Column:
+    """AS text of an address; the matched prefix's AS replaces a wire AS that is missing or 0.
 
-    The AS of the matched prefix replaces a wire AS that is missing or 0; text that is no number is
-    left alone here (and becomes 0 in the final coercion, G13).
+    Text that is no number is left alone here (and becomes 0 in the final coercion, G13).
     """
-    if resolved is None:
-        out = df.withColumn(f"{ip}_ref", F.lit(None).cast("string")).withColumn("_net_as", F.lit(None).cast("bigint"))
-    else:
-        out = lpm_attach(df, ip, resolved, {"ref": f"{ip}_ref", "as_id": "_net_as"})
-    replace = F.col(f"{ip}_ref").isNotNull() & (F.col(wire_as).isNull() | F.coalesce(to_long(F.col(wire_as)) == 0, F.lit(False)))
-    chosen = F.when(replace, F.col("_net_as").cast("string")).otherwise(F.col(wire_as))
-    out = out.withColumn("_as_text", F.when(F.col(ip).isNotNull(), chosen))
-    out = lookup_join(out, as_text_key(as_refs), {"_as_text": "id"}, {"ref": f"{as_name}_ref"})
-    return out.withColumn(f"{as_name}_id", int_or_zero(F.col("_as_text"))).drop("_as_text", "_net_as", wire_as)
+    wire_text = F.col(wire_as)
+    replace = F.col(f"{ip}_ref").isNotNull() & (wire_text.isNull() | F.coalesce(to_long(wire_text) == 0, F.lit(False)))
+    chosen = F.when(replace, F.col(f"_{ip}_as").cast("string")).otherwise(wire_text)
+    return F.when(F.col(ip).isNotNull(), chosen)
+
+
+def enrich_ip_as(df: DataFrame, resolved: DataFrame | None, as_refs: DataFrame | None,
+                 sides: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """G9, D3, D4 for several ``(address, wire AS, AS name)`` columns: ``{address}_ref``,
+    ``{name}_id`` and ``{name}_ref``."""
+    for ip, _, _ in sides:
+        if resolved is None:
+            df = df.select("*", F.lit(None).cast("string").alias(f"{ip}_ref"), F.lit(None).cast("bigint").alias(f"_{ip}_as"))
+        else:
+            df = lpm_attach(df, ip, resolved, {"ref": f"{ip}_ref", "as_id": f"_{ip}_as"})
+    df = df.withColumns({f"_{name}": wire_or_prefix_as(ip, wire_as) for ip, wire_as, name in sides})
+    for _, _, name in sides:
+        df = lookup_join(df, as_text_key(as_refs), {f"_{name}": "id"}, {"ref": f"{name}_ref"})
+    df = df.withColumns({f"{name}_id": int_or_zero(F.col(f"_{name}")) for _, _, name in sides})
+    return df.drop(*[c for ip, wire_as, name in sides for c in (wire_as, f"_{ip}_as", f"_{name}")])
 
 
 def application_port(df: DataFrame, applications: DataFrame | None) -> DataFrame:
     """The smaller known port, the known one, or 0."""
-    known_src, known_dst = F.lit(False), F.lit(False)
-    if applications is not None:
-        proto = F.lower("protocol")
-        df = range_join(df, applications, proto, F.col("_port_src"), "_app_src")
-        df = range_join(df, applications, proto, F.col("_port_dst"), "_app_dst")
-        known_src, known_dst = F.col("_app_src").isNotNull(), F.col("_app_dst").isNotNull()
-    src, dst = int_or_zero(F.col("_port_src")), int_or_zero(F.col("_port_dst"))
+    ports = None if applications is None else port_dimension(applications)
+    df = df.withColumns({"_proto": F.lower("protocol"), "_ps": to_long(F.col("_port_src")), "_pd": to_long(F.col("_port_dst"))})
+    df = lookup_join(df, ports, {"_proto": "key", "_ps": "port"}, {"value": "_app_src"})
+    df = lookup_join(df, ports, {"_proto": "key", "_pd": "port"}, {"value": "_app_dst"})
+    known_src, known_dst = F.col("_app_src").isNotNull(), F.col("_app_dst").isNotNull()
+    src, dst = F.coalesce("_ps", F.lit(0)), F.coalesce("_pd", F.lit(0))
     port = F.when(known_src & known_dst, F.least(src, dst)).when(known_src, src).when(known_dst, dst).otherwise(0)
-    return df.withColumn("application_port", port.cast("bigint")).drop("_app_src", "_app_dst")
+    return df.withColumns({"application_port": port.cast("bigint"), "src_port": src, "dst_port": dst})
 
 
 def scope_list(cfg: FlowConfig, src_as: Column, dst_as: Column, rd: Column) -> Column:
@@ -214,17 +220,20 @@ def ext_json(df: DataFrame, columns: list[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in columns])) if columns else F.lit("{}")
 
 
-def enrich_flows(df: DataFrame, lookups: FlowLookups, cfg: FlowConfig = FlowConfig()) -> DataFrame:
+def enrich_flows(df: DataFrame, lookups: FlowLookups, cfg: FlowConfig = FlowConfig(),
+                 messages: DataFrame | None = None) -> DataFrame:
     """Lookups, policy and the final column order.
 
-    The distinct addresses of all three address columns are resolved against the prefix index once.
+    The distinct addresses of all address columns are resolved against a prefix index once.  They are
+    read from ``messages`` when given: the pass over the raw source then reads three columns only.
     """
+    probes = df.select("src_ip", "dst_ip", "peer_ip") if messages is None else wire(messages).select(
+        F.col("ip_src").alias("src_ip"), F.col("ip_dst").alias("dst_ip"), F.col("peer_ip_dst").alias("peer_ip"))
     resolved = None
     if lookups.ip is not None:
-        payload = ["ref", "as_id"]
-        resolved = lpm_resolve(df, ["src_ip", "dst_ip", "peer_ip"], lookups.ip, payload)
-    for ip, wire_as, name in (("src_ip", "_as_src", "src_as"), ("dst_ip", "_as_dst", "dst_as"), ("peer_ip", "_as_peer", "peer_as")):
-        df = enrich_ip_as(df, resolved, lookups.as_refs, ip, wire_as, name)
+        resolved = lpm_resolve(probes, probes.columns, lookups.ip, ["ref", "as_id"])
+    sides = (("src_ip", "_as_src", "src_as"), ("dst_ip", "_as_dst", "dst_as"), ("peer_ip", "_as_peer", "peer_as"))
+    df = enrich_ip_as(df, resolved, lookups.as_refs, sides)
 
     df = enrich_device(df, devices_by_address(lookups.devices) if lookups.devices is not None else None, "_device_ip")
     preferred = preferred_interfaces(lookups.interfaces) if lookups.interfaces is not None else None
@@ -237,7 +246,7 @@ def enrich_flows(df: DataFrame, lookups: FlowLookups, cfg: FlowConfig = FlowConf
         index = lookups.ip_ext.get(name)
         if index is None:
             continue
-        found = lpm_resolve(df, ["src_ip", "dst_ip"], index, ["ref"])
+        found = lpm_resolve(probes, ["src_ip", "dst_ip"], index, ["ref"])
         for direction in ("src", "dst"):
             column = f"{direction}_ip_{name}_ref"
             df = lpm_attach(df, f"{direction}_ip", found, {"ref": column})
@@ -249,14 +258,15 @@ def enrich_flows(df: DataFrame, lookups: FlowLookups, cfg: FlowConfig = FlowConf
         F.lit(cfg.policy.level).alias("policy_level"),
         scope.alias("policy_scope"),
         ext_json(df, ext).alias("ext"),
-        *[F.col(c) for c in FLOW_COLUMNS[7:14]],
-        int_or_zero(F.col("_port_src")).alias("src_port"),
-        *[F.col(c) for c in FLOW_COLUMNS[15:19]],
-        int_or_zero(F.col("_port_dst")).alias("dst_port"),
-        *[F.col(c) for c in FLOW_COLUMNS[20:]],
+        *[F.col(c) for c in FLOW_COLUMNS[7:]],
     )
 
 
+def ingest(messages: DataFrame, lookups: FlowLookups, cfg: FlowConfig = FlowConfig()) -> DataFrame:
+    """Raw flow messages -> enriched flow rows."""
+    return enrich_flows(normalize_flows(messages, cfg), lookups, cfg, messages)
+
+
 # --- G16: flows that arrive already enriched -------------------------------------------------------
 
 _HOPS = 20

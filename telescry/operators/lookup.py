@@ -21,14 +21,8 @@ def lookup_join(df: DataFrame, right: DataFrame | None, on: Mapping[str, str], f
         nulls = df.select("*", *[F.lit(None).cast("string").alias(n) for n in fields.values()])
         return nulls if how == "left" else nulls.limit(0)
     side = right.select(
-        *[F.col(r).alias(f"_k{i}") for i, r in enumerate(on.values())],
-        *[F.col(f).alias(n) for f, n in fields.items()],
-    )
-    cond = None
-    for i, left in enumerate(on):
-        part = F.col(left) == F.col(f"_k{i}")
-        cond = part if cond is None else cond & part
-    return df.join(side, cond, how).drop(*[f"_k{i}" for i in range(len(on))])
+        *[F.col(r).alias(left) for left, r in on.items()], *[F.col(f).alias(n) for f, n in fields.items()])
+    return df.join(side, list(on), how)
 
 
 def as_text_key(df: DataFrame | None, key: str = "id") -> DataFrame | None:
@@ -68,8 +62,11 @@ def enrich_interface(df: DataFrame, preferred: DataFrame | None, device: str, in
     """Add ``{direction}_interface_{id,ref,edge}``."""
     names = {"id": f"{direction}_interface_id", "ref": f"{direction}_interface_ref", "edge": f"{direction}_interface_edge"}
     out = lookup_join(df, preferred, {device: "device_id", index: "flow_index"}, names)
-    edge = names["edge"]
-    return out.withColumn(edge, F.coalesce(F.col(edge).cast("boolean"), F.lit(False)))
+    return out.withColumn(names["edge"], edge_flag(names["edge"]))
+
+
+def edge_flag(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("boolean"), F.lit(False))
 
 
 def devices_by_address(devices: DataFrame) -> DataFrame:
@@ -82,7 +79,11 @@ def devices_by_address(devices: DataFrame) -> DataFrame:
 def enrich_device(df: DataFrame, by_address: DataFrame | None, ip: str) -> DataFrame:
     """Add ``device_id`` (falls back to the address, then ``unknown``) and ``device_ref``."""
     out = lookup_join(df, by_address, {ip: "loopback_ip"}, {"id": "_device", "ref": "device_ref"})
-    return out.withColumn("device_id", F.coalesce("_device", F.nullif(F.col(ip), F.lit("")), F.lit("unknown"))).drop("_device")
+    return out.withColumn("device_id", device_name("_device", ip)).drop("_device")
+
+
+def device_name(found: str, ip: str) -> Column:
+    return F.coalesce(F.col(found), F.nullif(F.col(ip), F.lit("")), F.lit("unknown"))
 
 
 def chain(df: DataFrame, key: str, hops: Sequence[tuple[DataFrame | None, str, str, str]]) -> DataFrame:

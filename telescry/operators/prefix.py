@@ -70,8 +70,8 @@ def lpm_resolve(df: DataFrame, ip_columns: Sequence[str], index: DataFrame, payl
 
 def lpm_attach(df: DataFrame, ip: str, resolved: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     """Left join of a resolved table (``fields``: payload name -> new name)."""
-    side = resolved.select(F.col("ip").alias("_ip_key"), *[F.col(f).alias(n) for f, n in fields.items()])
-    return df.join(side, F.col(ip) == F.col("_ip_key"), "left").drop("_ip_key")
+    side = resolved.select(F.col("ip").alias(ip), *[F.col(f).alias(n) for f, n in fields.items()])
+    return df.join(side, ip, "left")
 
 
 def lpm_join(df: DataFrame, ip: str, index: DataFrame, fields: Mapping[str, str]) -> DataFrame:
@@ -94,5 +94,5 @@ def cidr_join(df: DataFrame, network: str, index: DataFrame, fields: Mapping[str
     split = distinct.filter(F.size(parts) == 2).select("_net", F.get(parts, 0).alias("_a"), F.get(parts, 1).try_cast("int").alias("_l"))
     probes = prefix_keys(split, "_a", "_l").select("_net", "family", "hi", "lo", F.col("plen").alias("_max_len"))
     best = _best_match(probes, index, payload, "_net")
-    side = best.select("_net", *[F.col(f).alias(n) for f, n in fields.items()])
-    return df.join(side, F.col(network) == F.col("_net"), "left").drop("_net")
+    side = best.select(F.col("_net").alias(network), *[F.col(f).alias(n) for f, n in fields.items()])
+    return df.join(side, network, "left")

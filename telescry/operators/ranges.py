@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_PORT = 65535
+
 
 def range_table(df: DataFrame, lo: str, hi: str, key: str, value: str, fold_key: bool = True,
                 swap: bool = True) -> DataFrame:
@@ -59,10 +61,8 @@ def range_index(ranges: DataFrame) -> DataFrame:
 def range_resolve(probes: DataFrame, index: DataFrame) -> DataFrame:
     """Winner per distinct ``key, v`` of the probes: ``key, v, value``; misses are left out."""
     distinct = probes.filter(F.col("key").isNotNull() & F.col("v").isNotNull()).distinct()
-    levels = index.groupBy().agg(F.collect_set("level").alias("_levels"))  # at most 63 numbers
-    keyed = distinct.withColumn("_one", F.lit(1)).join(
-        F.broadcast(levels.withColumn("_one", F.lit(1))), "_one")
-    cand = keyed.select("key", "v", F.explode("_levels").alias("level"))
+    levels = index.agg(F.collect_set("level")).scalar()  # one value: at most 63 numbers
+    cand = distinct.withColumn("_levels", levels).select("key", "v", F.explode("_levels").alias("level"))
     cand = cand.withColumn("block", F.call_function("shiftright", F.col("v"), F.col("level")))
     hits = cand.join(index, ["key", "level", "block"])
     return hits.groupBy("key", "v").agg(F.min("cand").alias("cand")).select("key", "v", F.col("cand.value").alias("value"))
@@ -77,6 +77,20 @@ def range_join(df: DataFrame, index: DataFrame, key: Column, value: Column, out:
     return joined.drop("_rk", "_rv", "_bk", "_bv")
 
 
+def port_dimension(index: DataFrame) -> DataFrame:
+    """The whole 16-bit port space resolved once: ``key, port, value`` for every covered port.
+
+    At most 65536 rows per key, whatever the facts hold, so fact joins need neither a pass over their
+    distinct ports nor a range condition.
+    """
+    start = F.call_function("shiftleft", F.col("block"), F.col("level"))
+    end = F.call_function("shiftleft", F.col("block") + 1, F.col("level")) - 1
+    inside = index.select("key", "cand", F.greatest(start, F.lit(0)).alias("a"), F.least(end, F.lit(MAX_PORT)).alias("b"))
+    ports = inside.filter(F.col("a") <= F.col("b")).select("key", "cand", F.explode(F.sequence("a", "b")).alias("port"))
+    best = ports.groupBy("key", "port").agg(F.min("cand").alias("cand"))
+    return best.select("key", "port", F.col("cand.value").alias("value"))
+
+
 def cache_ranges(applications: DataFrame) -> DataFrame:
     """D6 index: keys folded, reversed bounds turned, empty ids count as unknown."""
     rows = range_table(applications, "port_range_min", "port_range_max", "protocol", "id")

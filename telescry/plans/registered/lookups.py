@@ -340,14 +340,13 @@ def d6_wide(spark, sf_dir):
 
 
 @registered("d8_preferred_edge", f"""
-WITH {IFACE_CTE} SELECT n_name AS device_id, l.p AS idx, i.id AS in_interface_id, i.ref AS in_interface_ref, coalesce(i.edge, false) AS in_interface_edge
-FROM nation, (SELECT DISTINCT p_size AS p FROM part) l LEFT JOIN iface i ON i.device_id = n_name AND i.idx = l.p""")
+WITH {IFACE_CTE} SELECT c_custkey, i.id AS in_interface_id, i.ref AS in_interface_ref, coalesce(i.edge, false) AS in_interface_edge
+FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN iface i ON i.device_id = n_name AND i.idx = c_custkey % 50""")
 def d8(spark, sf_dir):
     preferred = lookup.preferred_interfaces(views.interfaces(spark, sf_dir))
-    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("device_id"))
-    sizes = table(spark, sf_dir, "part").select(F.col("p_size").cast("bigint").alias("idx")).distinct()
-    probes = n.withColumn("_one", F.lit(1)).join(sizes.withColumn("_one", F.lit(1)), "_one").drop("_one").withColumn("text", F.col("idx").cast("string"))
-    return lookup.enrich_interface(probes, preferred, "device_id", "text", "in").drop("text")
+    probes = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    probes = probes.select("c_custkey", F.col("n_name").alias("device_id"), (F.col("c_custkey") % 50).cast("string").alias("idx"))
+    return lookup.enrich_interface(probes, preferred, "device_id", "idx", "in").drop("device_id", "idx")
 
 
 @registered("d9_device_by_address", """

@@ -38,6 +38,8 @@ def local_session(cores: str = "8", app: str = "telescry", memory: str = "16g")
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")

@@ -33,7 +33,7 @@ def parse_messages(raw: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
         F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
     meta = [F.col(c).alias(f"msg_{c}") for c in META]
     good = rows.filter("_ok").select(*meta, F.from_json("value", schema).alias("m")).select(
-        *[f"msg_{c}" for c in META], "m.*")
+        *[F.col(f"msg_{c}").alias(c) for c in META], "m.*")
     dead = rows.filter("NOT _ok").select(*META, "value", F.lit("value is not a JSON object").alias("error"))
     return good, dead
 
