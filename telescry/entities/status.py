@@ -82,14 +82,14 @@ def stage_events(rows: DataFrame) -> DataFrame:
         last_segment(F.col("resource_uri")).alias("resource_id"), last_segment(F.col("incident_uri")).alias("incident_id"))
 
 
-_SELECT = (
+SELECT_FIELDS = (
     "at_queue:string, broken:boolean, debug:boolean, host:string, mem:string, mpiprocs:bigint, nchunks:bigint, "
     "ncpus:bigint, ngpus:bigint, system:string, validation:boolean"
 )
 JOB_SCHEMA = (
     "jobid string, mode string, nodes string, project string, queue string, state string, submittime string, "
     "starttime string, substate string, walltime string, location string, "
-    f"schedselect array<struct<{_SELECT}>>, runtimef string, queuedtimef string, score double, ext string, tag string"
+    f"schedselect array<struct<{SELECT_FIELDS}>>, runtimef string, queuedtimef string, score double, ext string, tag string"
 )
 JOB_REQUIRED = ("jobid", "mode", "nodes", "project", "queue", "state", "submittime", "substate", "walltime")
 
@@ -103,7 +103,7 @@ def stage_jobs(rows: DataFrame) -> DataFrame:
         "_pos", F.col("jobid").alias("id"), ext_or_default(F.col("ext")).alias("ext"), string_array(F.col("tag")).alias("tag"),
         "compute_resource_id", string_array(F.col("location")).alias("location"), "mode",
         to_long(F.col("nodes")).alias("node_count"), "project", "queue",
-        F.coalesce(F.filter("schedselect", lambda s: s.isNotNull()), F.array().cast(f"array<struct<{_SELECT}>>")).alias("schedule_select"),
+        F.coalesce(F.filter("schedselect", lambda s: s.isNotNull()), F.array().cast(f"array<struct<{SELECT_FIELDS}>>")).alias("schedule_select"),
         start.alias("start_time"), F.timestamp_seconds(F.unix_timestamp(start) + wall).alias("end_time"), "state",
         epoch_or_null(F.col("submittime")).alias("submit_time"), to_long(F.col("substate")).alias("substate"),
         wall.alias("wall_time_secs"))

@@ -94,6 +94,8 @@ def stage(rows: DataFrame, spec: EntitySpec, json: str = "row_json", pos: str =
 
 def last_per_id(staged: DataFrame) -> DataFrame:
     """The same id twice in one batch: the last record by input position counts."""
+    if "_pos" not in staged.columns:
+        return staged
     names = [c for c in staged.columns if c not in ("id", "_pos")]
     picked = staged.groupBy("id").agg(F.max_by(F.struct(*[F.col(f"`{n}`") for n in names]), "_pos").alias("_r"))
     return picked.select("id", *[F.col(f"_r.`{n}`").alias(n) for n in names])
@@ -101,6 +103,7 @@ def last_per_id(staged: DataFrame) -> DataFrame:
 
 def with_refs(staged: DataFrame, spec: EntitySpec, snapshots: Mapping[str, DataFrame]) -> DataFrame:
     """Reference columns from the current snapshots (``id, ref``); a table not given counts as empty."""
+    staged = last_per_id(staged)
     for name, table in spec.refs:
         right = as_text_key(snapshots.get(table))
         keyed = staged.withColumn("_rid", F.col(f"{name}_id").cast("string"))

@@ -281,7 +281,7 @@ snmp_other:
 METRIC_CTE = """
 msg AS (
   SELECT event_id, user_id, value, event_type, json_extract_string(props, '$.k') AS k,
-         CAST(epoch(ts) AS BIGINT) AS t, event_id % 4 AS rule, 'router' || (user_id % 20) AS device,
+         CAST(floor(epoch(ts)) AS BIGINT) AS t, event_id % 4 AS rule, 'router' || (user_id % 20) AS device,
          CASE event_id % 4
            WHEN 1 THEN (event_id % 3) || '.' || (user_id % 40) || '.' || (event_id % 5)
            WHEN 2 THEN (user_id % 7) || '.' || ((user_id % 8 + 1) * 33554432 + (event_id % 6 + 1) * 2097152 + (event_id % 12 + 1) * 32768) || '.100'
