@@ -86,7 +86,7 @@ def port_dimension(index: DataFrame) -> DataFrame:
     start = F.call_function("shiftleft", F.col("block"), F.col("level"))
     end = F.call_function("shiftleft", F.col("block") + 1, F.col("level")) - 1
     inside = index.select("key", "cand", F.greatest(start, F.lit(0)).alias("a"), F.least(end, F.lit(MAX_PORT)).alias("b"))
-    ports = inside.filter(F.col("a") <= F.col("b")).select("key", "cand", F.explode(F.sequence("a", "b")).alias("port"))
+    ports = inside.select("key", "cand", F.explode(F.when(F.col("a") <= F.col("b"), F.sequence("a", "b"))).alias("port"))
     best = ports.groupBy("key", "port").agg(F.min("cand").alias("cand"))
     return best.select("key", "port", F.col("cand.value").alias("value"))
 

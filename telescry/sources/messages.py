@@ -27,13 +27,14 @@ def read_messages(spark: SparkSession, streaming: bool = False, format: str = "k
 def parse_messages(raw: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     """Parsed messages with their metadata, and a dead-letter table of values that are no JSON object.
 
-    Empty values are no messages and appear in neither.
+    The message's own time is named ``message_time``.  Empty values are no messages and appear in
+    neither.
     """
     rows = raw.filter(truthy(F.trim("value"))).withColumn("_ok", F.coalesce(
         F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
     meta = [F.col(c).alias(f"msg_{c}") for c in META]
     good = rows.filter("_ok").select(*meta, F.from_json("value", schema).alias("m")).select(
-        *[F.col(f"msg_{c}").alias(c) for c in META], "m.*")
+        *[F.col(f"msg_{c}").alias("message_time" if c == "timestamp" else c) for c in META], "m.*")
     dead = rows.filter("NOT _ok").select(*META, "value", F.lit("value is not a JSON object").alias("error"))
     return good, dead
 

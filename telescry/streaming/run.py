@@ -26,18 +26,27 @@ def run_stream(df: DataFrame, batch_fn: Callable[[DataFrame, int], None], checkp
     return writer.start()
 
 
-def fan_out(outputs: Sequence[tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame, int], None]]]):
-    """One batch through several (transform, sink) pairs, read from the source once."""
+def read_once(handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Keep a micro-batch while its batch function uses it several times."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def keep(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            for transform, sink in outputs:
-                sink(transform(batch), batch_id)
+            handle(batch, batch_id)
         finally:
             batch.unpersist()
 
-    return handle
+    return keep
+
+
+def fan_out(outputs: Sequence[tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame, int], None]]]):
+    """One batch through several (transform, sink) pairs, read from the source once."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        for transform, sink in outputs:
+            sink(transform(batch), batch_id)
+
+    return read_once(handle)
 
 
 def write_partials(rolled: DataFrame, path: str, batch_id: int) -> None:
