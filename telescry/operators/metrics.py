@@ -47,7 +47,7 @@ RESOURCE_STATUS = {"up": 1, "degraded": 2, "down": 3, "unknown": 4}
 OTHER_STATUS = 4
 DEFAULT_SKIP_TAGS = ("date", "routing_tag", "collector")
 
-COUNTER_TYPE = "decimal(20,0)"  # unsigned 64-bit counters, also times 8
+COUNTER_TYPE = "decimal(21,0)"  # unsigned 64-bit counters, also times 8
 TRAFFIC_KEYS = ("start_time", "end_time", "collector_id", "policy_originator", "policy_level", "policy_scope",
                 "ext", "interface_id", "interface_ref")
 
@@ -68,7 +68,7 @@ def tokens(df: DataFrame) -> DataFrame:
 def scaled(c: Column, factor: int = 1) -> Column:
     """H3: whole number times factor, null for other text."""
     number = c.try_cast(COUNTER_TYPE)
-    return (number * factor).cast(COUNTER_TYPE) if factor != 1 else number
+    return (number * factor).try_cast(COUNTER_TYPE) if factor != 1 else number
 
 
 def status_name(c: Column, names: Mapping[str, str]) -> Column:

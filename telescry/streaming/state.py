@@ -2,50 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-OUTPUT_SCHEMA = "table_name string, key string, field string, value string, updates bigint"
+OUTPUT_SCHEMA = "table string, key string, field string, value string, updates bigint"
+STATE_SCHEMA = "value string, updates bigint"
 
 
-class LatestFields(StatefulProcessor):
-    """Per ``(table, key)`` the latest value of every field, each with its own time to live.
+def _latest_value(ttl_ms: int) -> Callable:
+    """Update function of one ``(table, key, field)``: the last value wins, every update restarts the clock."""
 
-    Emits the fields a batch changed, with the number of updates seen while the entry was alive.
-    """
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        value, updates = state.get if state.exists else (None, 0)
+        changed = False
+        for batch in batches:
+            values = batch["value"].dropna()
+            if len(values):
+                value, updates, changed = values.iloc[-1], updates + len(values), True
+        if changed:
+            state.update((value, updates))
+            state.setTimeoutDuration(ttl_ms)
+            yield pd.DataFrame([(*key, value, updates)], columns=["table", "key", "field", "value", "updates"])
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.fields = handle.getMapState("fields", "field string", "value string, updates bigint", ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        changed: dict[str, tuple[str, int]] = {}
-        for batch in rows:
-            for field_name, value in zip(batch["field"], batch["value"]):
-                if value is None:
-                    continue
-                if field_name in changed:
-                    seen = changed[field_name][1]
-                else:
-                    seen = self.fields.getValue((field_name,))[1] if self.fields.containsKey((field_name,)) else 0
-                changed[field_name] = (value, seen + 1)
-        for field_name, entry in changed.items():
-            self.fields.updateValue((field_name,), entry)
-        yield pd.DataFrame(
-            [(key[0], key[1], f, v, n) for f, (v, n) in changed.items()],
-            columns=["table_name", "key", "field", "value", "updates"])
-
-    def close(self) -> None:
-        pass
+    return update
 
 
 def keyed_state(stream: DataFrame, ttl_s: int) -> DataFrame:
-    """Stream of ``table, key, field, value`` -> changed fields; needs the RocksDB state provider."""
-    return stream.groupBy("table", "key").transformWithStateInPandas(
-        LatestFields(ttl_s * 1000), outputStructType=OUTPUT_SCHEMA, outputMode="update", timeMode="processingTime")
+    """Stream of ``table, key, field, value`` -> changed fields with the number of updates while alive.
+
+    State is kept per field, so an entry with many fields is spread over tasks and each field expires by
+    itself.
+    """
+    return stream.groupBy("table", "key", "field").applyInPandasWithState(
+        _latest_value(ttl_s * 1000), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.ProcessingTimeTimeout)
