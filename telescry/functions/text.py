@@ -59,6 +59,15 @@ def string_array(c: Column) -> Column:
     return F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
 
 
+def parsed_once(c: Column) -> Column:
+    """A parse result as a generator's output, to be aliased and selected from in the next step.
+
+    Field accesses and predicates after it then share one parse per row; without it the optimizer
+    copies the parse into every one of them.
+    """
+    return F.explode(F.array(c))
+
+
 def canonical_json(c: Column) -> Column:
     """JSON text with sorted keys at every level (a variant stores object keys in order)."""
     return F.to_json(F.try_parse_json(c))

@@ -33,21 +33,20 @@ def lookup_array(df: DataFrame, key: str, ids: str, right: DataFrame | None, out
                  keep_misses: bool = True, right_id: str = "id", right_value: str = "ref") -> DataFrame:
     """Look up every element of an array column of a table with unique ``key``.
 
-    ``keep_misses`` keeps nulls in place (index-aligned), otherwise they are removed.  Rows are only
-    regrouped within their own array.
+    ``keep_misses`` keeps nulls in place (index-aligned), otherwise they are removed.  The row travels
+    with its elements and is put together again by its key, so the input is evaluated once and a group
+    is never larger than one row's own array.
     """
     empty = F.array().cast("array<string>")
     if right is None:
         value = F.transform(ids, lambda _: F.lit(None).cast("string")) if keep_misses else empty
         return df.withColumn(out, F.coalesce(value, empty))
-    items = df.select(F.col(key).alias("_key"), F.posexplode(ids).alias("_pos", "_id"))
+    items = df.select(F.struct(*df.columns).alias("_row"), F.posexplode_outer(ids).alias("_pos", "_id"))
     found = lookup_join(items, right, {"_id": right_id}, {right_value: "_ref"})
-    if not keep_misses:
-        found = found.filter(F.col("_ref").isNotNull())
-    grouped = found.groupBy("_key").agg(F.collect_list(F.struct("_pos", "_ref")).alias("_items")).select(
-        "_key", F.transform(F.array_sort("_items"), lambda s: s.getField("_ref")).alias("_refs"))
-    joined = df.join(grouped, F.col(key) == F.col("_key"), "left")
-    return joined.withColumn(out, F.coalesce("_refs", empty)).drop("_key", "_refs")
+    grouped = found.groupBy(F.col(f"_row.{key}").alias("_key")).agg(
+        F.first("_row").alias("_row"), F.collect_list(F.struct("_pos", "_ref")).alias("_items"))
+    wanted = F.filter("_items", lambda s: s.getField("_pos").isNotNull() if keep_misses else s.getField("_ref").isNotNull())
+    return grouped.select("_row.*", F.transform(F.array_sort(wanted), lambda s: s.getField("_ref")).alias(out))
 
 
 def preferred_interfaces(interfaces: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from telescry.config import MetricConfig, Policy
 from telescry.functions.snmp import address_text, port_name, positional_pattern, sap_name, sap_queue
-from telescry.functions.text import duration_seconds, iso_timestamp, mapped, short_hostname, to_long, truthy
+from telescry.functions.text import duration_seconds, iso_timestamp, mapped, parsed_once, short_hostname, to_long, truthy
 from telescry.functions.timing import interval_floor
 from telescry.operators.keyed import path_value
 from telescry.operators.lookup import lookup_join
@@ -62,7 +62,8 @@ def policy_cols(policy: Policy) -> list[Column]:
 
 def tokens(df: DataFrame) -> DataFrame:
     """Turn the ``fields`` JSON text into a map of value texts, keeping the text as ``fields_json``."""
-    return df.withColumn("fields_json", F.col("fields")).withColumn("fields", F.from_json("fields", "map<string,string>"))
+    rest = [F.col(c) for c in df.columns if c != "fields"]
+    return df.select(*rest, F.col("fields").alias("fields_json"), parsed_once(F.from_json("fields", "map<string,string>")).alias("fields"))
 
 
 def scaled(c: Column, factor: int = 1) -> Column:

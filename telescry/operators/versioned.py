@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telescry.functions.text import content_hash, ext_or_default, string_array, to_double, to_flag, to_long
+from telescry.functions.text import content_hash, ext_or_default, parsed_once, string_array, to_double, to_flag, to_long
 from telescry.operators.lookup import (
     as_text_key,
     lookup_array,
@@ -84,7 +84,7 @@ def wire_schema(spec: EntitySpec) -> str:
 
 def stage(rows: DataFrame, spec: EntitySpec, json: str = "row_json", pos: str = "pos") -> DataFrame:
     """record JSON -> typed content columns; records lacking a required field are dropped."""
-    parsed = rows.select(F.col(pos).alias("_pos"), F.from_json(F.col(json), wire_schema(spec)).alias("r")).select("_pos", "r.*")
+    parsed = rows.select(F.col(pos).alias("_pos"), parsed_once(F.from_json(F.col(json), wire_schema(spec))).alias("r")).select("_pos", "r.*")
     parsed = parsed.filter(all_present([f"`{n}`" for n in spec.required]) & F.col("id").isNotNull())
     return parsed.select(
         "_pos", "id", ext_or_default(F.col("ext")).alias("ext"), string_array(F.col("tag")).alias("tag"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescry.functions.text import canonical_json, truthy
+from telescry.functions.text import canonical_json, parsed_once, truthy
 
 MESSAGE_SCHEMA = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 META = ("topic", "partition", "offset", "timestamp", "key")
@@ -33,7 +33,7 @@ def parse_messages(raw: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     rows = raw.filter(truthy(F.trim("value"))).withColumn("_ok", F.coalesce(
         F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
     meta = [F.col(c).alias(f"msg_{c}") for c in META]
-    good = rows.filter("_ok").select(*meta, F.from_json("value", schema).alias("m")).select(
+    good = rows.filter("_ok").select(*meta, parsed_once(F.from_json("value", schema)).alias("m")).select(
         *[F.col(f"msg_{c}").alias("message_time" if c == "timestamp" else c) for c in META], "m.*")
     dead = rows.filter("NOT _ok").select(*META, "value", F.lit("value is not a JSON object").alias("error"))
     return good, dead
