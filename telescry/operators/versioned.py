@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -119,12 +119,14 @@ def next_ref(id_: Column, old_ref: Column) -> Column:
     return F.when(version.isNotNull(), F.concat(id_, F.lit("__v"), (version + 1).cast("string")))
 
 
-def upsert_versions(staged: DataFrame, now: DataFrame | None, spec: EntitySpec, force: bool = False) -> DataFrame:
+def upsert_versions(staged: DataFrame, now: DataFrame | None, spec: EntitySpec, force: bool = False,
+                    cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows to append, with ``ref`` and ``hash``.
 
     A new id gets ``__v1``, an unchanged one is skipped, a changed (or forced) one gets the next
     version; one whose current reference holds no version is skipped.  Records that point at records
-    of the same batch get their new references, are hashed again and compared again.
+    of the same batch get their new references, are hashed again and compared again.  ``cut`` is applied
+    to the batch before that second pass, which reads it once per reference column.
     """
     batch = last_per_id(staged)
     if not spec.versioned:
@@ -143,6 +145,7 @@ def upsert_versions(staged: DataFrame, now: DataFrame | None, spec: EntitySpec,
     if not (spec.self_refs or spec.self_list_refs):
         return decided.filter(~(known & (F.col("ref") == F.col("_old_ref")))).select(*out_columns)
 
+    decided = cut(decided) if cut else decided
     refs = refs_in_batch(decided)
     for name in spec.self_refs:
         decided = resolve_in_batch(decided, refs, name)
@@ -156,10 +159,11 @@ def upsert_versions(staged: DataFrame, now: DataFrame | None, spec: EntitySpec,
 
 
 def apply_batch(staged: DataFrame, table: DataFrame | None, spec: EntitySpec,
-                snapshots: Mapping[str, DataFrame], as_of: Column, force: bool = False) -> DataFrame:
+                snapshots: Mapping[str, DataFrame], as_of: Column, force: bool = False,
+                cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Stage -> references -> versions -> rows stamped with ``insert_time``."""
     now = current(table) if table is not None and spec.versioned else None
-    rows = upsert_versions(with_refs(staged, spec, snapshots), now, spec, force)
+    rows = upsert_versions(with_refs(staged, spec, snapshots), now, spec, force, cut)
     if spec.id_type != "string":
         rows = rows.withColumn("id", F.col("id").try_cast(spec.id_type)).filter(F.col("id").isNotNull())
     return rows.withColumn("insert_time", as_of)

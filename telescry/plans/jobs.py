@@ -20,6 +20,7 @@ from telescry.operators.predicates import route_contains, route_url, split_requi
 from telescry.operators.prefix import subnet_index
 from telescry.operators.snapshot import LookupSpec, current, keep_last, lookup_rows
 from telescry.operators.versioned import EntitySpec
+from telescry.session import cut_lineage
 from telescry.sinks import tables as sinks
 from telescry.sources import files, messages
 from telescry.streaming.run import read_once, rollup_sink, run_stream
@@ -44,7 +45,7 @@ def snapshots(spark: SparkSession, base: str, spec: EntitySpec) -> dict[str, Dat
 def upsert_entity(spark: SparkSession, base: str, spec: EntitySpec, staged: DataFrame, as_of: Column, force: bool = False) -> None:
     """Append the new versions of a staged batch; running it twice appends nothing the second time."""
     table = sinks.read_table(spark, base, spec.table)
-    rows = versioned.apply_batch(staged, table, spec, snapshots(spark, base, spec), as_of, force)
+    rows = versioned.apply_batch(staged, table, spec, snapshots(spark, base, spec), as_of, force, cut_lineage)
     sinks.append_table(rows, sinks.metadata_table(spec), base)
 
 

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +58,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="telescry-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write an intermediate result that several later passes read to the checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
+    return df.checkpoint()
