@@ -30,23 +30,29 @@ def as_text_key(df: DataFrame | None, key: str = "id") -> DataFrame | None:
 
 
 def lookup_array(df: DataFrame, key: str, ids: str, right: DataFrame | None, out: str,
-                 keep_misses: bool = True, right_id: str = "id", right_value: str = "ref") -> DataFrame:
+                 keep_misses: bool = True, right_id: str = "id", right_value: str = "ref", stored: bool = False) -> DataFrame:
     """Look up every element of an array column of a table with unique ``key``.
 
     ``keep_misses`` keeps nulls in place (index-aligned), otherwise they are removed.  The row travels
     with its elements and is put together again by its key, so the input is evaluated once and a group
-    is never larger than one row's own array.
+    is never larger than one row's own array.  A ``stored`` input (a table, a checkpoint) is read twice
+    instead: only keys and elements are shuffled and the result is joined back.
     """
     empty = F.array().cast("array<string>")
     if right is None:
         value = F.transform(ids, lambda _: F.lit(None).cast("string")) if keep_misses else empty
         return df.withColumn(out, F.coalesce(value, empty))
+    wanted = F.filter("_items", lambda s: s.getField("_pos").isNotNull() if keep_misses else s.getField("_ref").isNotNull())
+    refs = F.transform(F.array_sort(wanted), lambda s: s.getField("_ref"))
+    pairs = F.collect_list(F.struct("_pos", "_ref")).alias("_items")
+    if stored:
+        items = df.select(key, F.posexplode(ids).alias("_pos", "_id"))
+        grouped = lookup_join(items, right, {"_id": right_id}, {right_value: "_ref"}).groupBy(key).agg(pairs)
+        return df.join(grouped.select(key, refs.alias(out)), key, "left").withColumn(out, F.coalesce(out, empty))
     items = df.select(F.struct(*df.columns).alias("_row"), F.posexplode_outer(ids).alias("_pos", "_id"))
     found = lookup_join(items, right, {"_id": right_id}, {right_value: "_ref"})
-    grouped = found.groupBy(F.col(f"_row.{key}").alias("_key")).agg(
-        F.first("_row").alias("_row"), F.collect_list(F.struct("_pos", "_ref")).alias("_items"))
-    wanted = F.filter("_items", lambda s: s.getField("_pos").isNotNull() if keep_misses else s.getField("_ref").isNotNull())
-    return grouped.select("_row.*", F.transform(F.array_sort(wanted), lambda s: s.getField("_ref")).alias(out))
+    grouped = found.groupBy(F.col(f"_row.{key}").alias("_key")).agg(F.first("_row").alias("_row"), pairs)
+    return grouped.select("_row.*", refs.alias(out))
 
 
 def preferred_interfaces(interfaces: DataFrame) -> DataFrame:
@@ -130,9 +136,9 @@ def resolve_in_batch(batch: DataFrame, refs: DataFrame, field_name: str) -> Data
     return out.withColumn(f"{field_name}_ref", F.coalesce("_own", f"{field_name}_ref")).drop("_own")
 
 
-def resolve_list_in_batch(batch: DataFrame, refs: DataFrame, field_name: str, key: str = "id") -> DataFrame:
+def resolve_list_in_batch(batch: DataFrame, refs: DataFrame, field_name: str, key: str = "id", stored: bool = False) -> DataFrame:
     """D17 for one list pair: in-batch references first, looked-up ones where the batch has none."""
-    out = lookup_array(batch, key, f"{field_name}_id", refs, "_own")
+    out = lookup_array(batch, key, f"{field_name}_id", refs, "_own", stored=stored)
     merged = F.zip_with("_own", f"{field_name}_ref", lambda own, old: F.coalesce(own, old))
     return out.withColumn(f"{field_name}_ref", merged).drop("_own")
 

@@ -147,10 +147,10 @@ def upsert_versions(staged: DataFrame, now: DataFrame | None, spec: EntitySpec,
 
     decided = cut(decided) if cut else decided
     refs = refs_in_batch(decided)
+    for name in spec.self_list_refs:  # first, while the batch is still the stored one
+        decided = resolve_list_in_batch(decided, refs, name, stored=cut is not None)
     for name in spec.self_refs:
         decided = resolve_in_batch(decided, refs, name)
-    for name in spec.self_list_refs:
-        decided = resolve_list_in_batch(decided, refs, name)
     final = decided.withColumn("hash", content_hash(content))
     unchanged = known & (F.col("hash") == F.col("_old_hash")) & F.lit(not force)
     moved = known & (F.col("ref") == F.col("_old_ref"))  # changed through its references only
