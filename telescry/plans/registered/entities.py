@@ -79,7 +79,7 @@ def _subnets(column: str = "ip_subnet"):
 
 @registered("f17_event_venue", """
 SELECT c_name AS id, '10.0.' || c_nationkey || '.0/24,10.1.1.' || c_nationkey || '/32,2001:db8::' || c_nationkey || '/128' AS subnets, c_mktsegment AS organization_name,
-  c_acctbal AS coordinate_x, NULL::DOUBLE AS coordinate_y FROM customer WHERE c_custkey % 5 <> 0""")
+  c_acctbal AS coordinate_x, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS coordinate_y FROM customer WHERE c_custkey % 5 <> 0""")
 def f17(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     n = F.col("c_nationkey").cast("string")
@@ -87,7 +87,8 @@ def f17(spark, sf_dir):
         F.col("c_custkey").alias("_pos"),
         F.array(F.concat(F.lit("10.0."), n, F.lit(".0/24")), F.concat(F.lit("10.1.1."), n), F.lit("10.1.1.999"), F.concat(F.lit("2001:db8::"), n), F.lit("10.0.0.0/x")).alias("addresses"),
         F.col("c_mktsegment").alias("org_name"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")).alias("resource_name"),
-        F.col("c_acctbal").cast("string").alias("latitude"), F.lit("east").alias("longitude"))
+        F.col("c_acctbal").cast("string").alias("latitude"),
+        F.when(F.col("c_custkey") % 2 == 0, F.col("c_acctbal").cast("string")).otherwise(F.lit("east")).alias("longitude"))
     out = addresses.stage_event_venue(rows)
     return out.select("id", _subnets().alias("subnets"), "organization_name", "coordinate_x", "coordinate_y")
 
@@ -214,13 +215,15 @@ def f22(spark, sf_dir):
 
 
 @registered("f22_incidents", """
-SELECT o_orderkey::VARCHAR AS id, CAST(epoch(o_orderdate) AS BIGINT) AS start_epoch, NULL::BIGINT AS end_epoch, o_custkey || ',9x' AS resource_ids,
+SELECT o_orderkey::VARCHAR AS id, CAST(epoch(o_orderdate) AS BIGINT) AS start_epoch,
+  CASE WHEN o_orderkey % 2 = 0 THEN CAST(epoch(o_orderdate) AS BIGINT) END AS end_epoch, o_custkey || ',9x' AS resource_ids,
   CASE WHEN o_custkey % 2 = 0 THEN o_custkey || '__v1' ELSE '' END AS resource_refs FROM orders WHERE o_orderkey % 9 <> 0""")
 def f22_incidents(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     stamp = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = _status_rows(
-        o, "o_orderkey", id=F.col("o_orderkey"), self_uri=F.lit("u"), last_modified=stamp, status=F.lit("up"), type=F.lit("t"), start=stamp, end=F.lit("later"),
+        o, "o_orderkey", id=F.col("o_orderkey"), self_uri=F.lit("u"), last_modified=stamp, status=F.lit("up"), type=F.lit("t"), start=stamp,
+        end=F.when(F.col("o_orderkey") % 2 == 0, stamp).otherwise(F.lit("later")),
         resolution=F.when(F.col("o_orderkey") % 9 != 0, F.lit("open")),
         resource_uris=F.array(F.expr("concat('https://api.example.org/status/resources/', o_custkey, '/')"), F.lit(""), F.lit("https://api.example.org/9x")))
     refs = _refs(o.filter("o_custkey % 2 = 0").select("o_custkey").distinct(), "o_custkey")

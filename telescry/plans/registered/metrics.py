@@ -38,13 +38,13 @@ WITH {METRIC_CTE}, {_REFS}
 SELECT t // 300 * 300 AS start_epoch, t // 300 * 300 + 300 AS end_epoch, 'unknown' AS collector_id, device || '::' || kv.value AS interface_id,
   refs.id || '__v3' AS interface_ref,
   CASE event_id % 5 WHEN 1 THEN 'up' WHEN 2 THEN 'down' WHEN 3 THEN 'testing' ELSE (event_id % 5)::VARCHAR END AS admin_status,
-  NULL::VARCHAR AS oper_status, event_id * 8000 AS in_bit_count
+  event_id * 8000 AS in_bit_count
 FROM msg JOIN kv ON kv.key = device || '::' || idx LEFT JOIN refs ON refs.id = device || '::' || kv.value WHERE rule = 0""")
 def h1(spark, sf_dir):
     pairs = kv(spark, sf_dir)
     out = metrics.interface_traffic(views.metric_messages(spark, sf_dir), keyed.kv_table(pairs, "ifindex_to_ifname"), keyed.kv_table(pairs, "meta_interface"))
     return out.select(F.unix_timestamp("start_time").alias("start_epoch"), F.unix_timestamp("end_time").alias("end_epoch"), "collector_id", "interface_id",
-                      "interface_ref", "admin_status", "oper_status", F.col("in_bit_count").cast("bigint").alias("in_bit_count"))
+                      "interface_ref", "admin_status", F.col("in_bit_count").cast("bigint").alias("in_bit_count"))
 
 
 @registered("h2_interval_floor", """
