@@ -28,3 +28,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.quality import verdicts
 
     return verdicts(table(spark, sf_dir, "documents"))
+
+
+@registered("op8_entropy_mix")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.mixing import balance
+
+    return balance(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
