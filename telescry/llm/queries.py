@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from telescry.llm.common import table
 
@@ -35,3 +36,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.mixing import balance
 
     return balance(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@registered("op5_addressable_codes")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.common import fresh_path
+    from telescry.llm.dac import read_tokens, write_tokens
+
+    path = fresh_path(spark, "token-codes")
+    write_tokens(table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
+    return read_tokens(spark, path).select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@registered("op6_square_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.packing import pack_documents
+
+    packed = pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
