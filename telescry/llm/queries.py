@@ -60,3 +60,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     packed = pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@registered("op1_parity_sketch_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.ngram_join import Likeness, similarity_components
+
+    return similarity_components(table(spark, sf_dir, "documents"), Likeness(width=4, percent=85))
