@@ -67,3 +67,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.ngram_join import Likeness, similarity_components
 
     return similarity_components(table(spark, sf_dir, "documents"), Likeness(width=4, percent=85))
+
+
+@registered("op3_path_ratios")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
