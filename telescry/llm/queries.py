@@ -74,3 +74,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.html import extract
 
     return extract(table(spark, sf_dir, "pages"))
+
+
+@registered("op7_toxic_grammar")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.toxicity import learn, score_texts
+
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, learn(docs, table(spark, sf_dir, "labels")))
