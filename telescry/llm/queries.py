@@ -82,3 +82,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score_texts(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
+@registered("op4_bootstrapped_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.pii import find, patterns_of
+
+    docs = table(spark, sf_dir, "documents")
+    return find(docs, patterns_of(docs))
