@@ -90,3 +90,38 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return find(docs, patterns_of(docs))
+
+
+@registered("op9_snapshot_collapse", """
+WITH places AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place,
+         count(*) OVER (PARTITION BY conv_id) AS n FROM conversations WHERE conv_id IS NOT NULL),
+prefixes AS (
+  SELECT conv_id, place, n, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY place) AS turns FROM places),
+ends AS (SELECT n, turns, min(conv_id) AS conv_id FROM prefixes WHERE place = n GROUP BY n, turns),
+kept AS (SELECT conv_id, n FROM ends e WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.place < p.n AND p.place = e.n AND p.turns = e.turns))
+SELECT conv_id, any_value(kept.n) AS n_turns,
+       string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10), '' ORDER BY place) AS text
+FROM kept JOIN places USING (conv_id) GROUP BY conv_id
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.chat import rendered
+
+    return rendered(table(spark, sf_dir, "conversations"))
+
+
+@registered("op10_block_pruned_search", """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 5
+""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.topk import top_k
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
