@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
@@ -247,8 +248,6 @@ def similarity_components(docs: DataFrame, like: Likeness = Likeness()) -> DataF
     canon = stage_table(described.filter("n > 0 and doc_id is not null").select("doc_id", "mark").join(by_mark, "mark").select("doc_id", "m"), "set-members")
     # rows of copies that several tasks sent meet in one key, where they are one set again
     keys = _keys(docs, like)
-    from pyspark.sql import Window as W
-
     same = W.partitionBy("key")
     shared = keys.withColumn("low", F.min("id").over(same)).withColumn("high", F.max("id").over(same)).filter("low < high").select("key", "id")
     shared = stage_table(shared, "shared-keys")
@@ -285,3 +284,14 @@ def similarity_components(docs: DataFrame, like: Likeness = Likeness()) -> DataF
     ends = canon.join(stars, canon["m"] == stars["node"], "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "m")).alias("component_id"))
     rows = described.select("doc_id", F.col("n").alias("n_shingles")).join(ends, "doc_id", "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").cast(kind).alias("component_id"))
+
+
+def representatives(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
+    """The rows of ``docs`` that stand for their component: its smallest doc_id, of repeated rows the first by text.
+
+    Rows with a null doc_id stay.
+    """
+    kept = similarity_components(docs, like).filter("doc_id = component_id").select("doc_id").distinct()
+    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_first", first).filter("_first = 1").select(*docs.columns)
+    return rows.union(docs.filter("doc_id is null"))

@@ -38,7 +38,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balance(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -50,7 +50,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.dac import read_tokens, write_tokens
 
     path = fresh_path(spark, "token-codes")
-    write_tokens(table(spark, sf_dir, "documents"), path, _vocabulary("byte_bpe_50k.json"))
+    write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return read_tokens(spark, path).select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
@@ -58,7 +58,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.packing import pack_documents
 
-    packed = pack_documents(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    packed = pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
