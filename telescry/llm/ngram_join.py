@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from telescry.llm.common import map_rows, stage_table, text_of
 from telescry.llm.components import connected
 
-_STEP, _EXCESS, _BLOCK, _SINGLE_ROUNDS = 1.5, 1.3, 2000, 3
+_STEP, _EXCESS, _BLOCK, _SINGLE_ROUNDS = 1.5, 1.3, 2000, 2
 _U = np.uint64
 
 
@@ -201,6 +201,42 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     return map_rows(joined.select("a", "b", "x", "y"), f"a {kind}, b {kind}", rows)
 
 
+def _pairs_in_groups(group: np.ndarray, differ: np.ndarray, block: np.ndarray, n: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of one group, of different components and fitting sizes; of groups between two blocks, one row of each block.
+
+    Rows are sorted by group, so that rows of a group stand at most the largest group's size apart.
+    """
+    left, right = [], []
+    rows = np.arange(len(group))
+    for apart in range(1, len(group)):
+        rows = rows[: np.searchsorted(rows, len(group) - apart)]
+        rows = rows[group[rows] == group[rows + apart]]
+        if not len(rows):
+            break
+        other = rows + apart
+        small, large = np.minimum(n[rows], n[other]), np.maximum(n[rows], n[other])
+        good = (differ[rows] != differ[other]) & (large <= small * 100 // like.percent) & ((block[rows] < 0) | (block[rows] != block[other]))
+        left.append(rows[good])
+        right.append(other[good])
+    empty = np.zeros(0, np.int64)
+    return np.concatenate([empty, *left]), np.concatenate([empty, *right])
+
+
+def _apart(sketches: list[bytes], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hamming distances of the sketches of pairs of rows, each at the smaller one's bits."""
+    sizes, out = np.array([len(s) for s in sketches]), np.zeros(len(left), np.int64)
+    least = np.minimum(sizes[left], sizes[right])
+    for size in np.unique(least):
+        these = np.flatnonzero(least == size)
+        used, place = np.unique(np.concatenate([left[these], right[these]]), return_inverse=True)
+        bits = np.stack([_folded(sketches[k], size) for k in used]).view(np.uint64)
+        for at in range(0, len(these), 20_000):
+            part = slice(at, at + 20_000)
+            x, y = bits[place[: len(these)][part]], bits[place[len(these) :][part]]
+            out[these[part]] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _across(members: DataFrame, like: Likeness) -> DataFrame:
     """Pairs (a, b, far) of different components that share a key and pass sizes and bit sketches.
 
@@ -211,32 +247,36 @@ def _across(members: DataFrame, like: Likeness) -> DataFrame:
     blocks = members.groupBy("key").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
     placed = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("m"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "m", "component", "n", "sketch")
-
-    def compare(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        n, own, sketches = group["n"].to_numpy(), group["own"].to_numpy(), group["sketch"].to_pylist()
-        number: dict = {}
-        component = np.array([number.setdefault(c, len(number)) for c in group["component"].to_pylist()])
-        bits = np.stack([_folded(s, size) for size in [min(map(len, sketches))] for s in sketches])
-        bits = np.ascontiguousarray(bits).view(np.uint64)
-        left, right, far = [], [], []
-        second = np.flatnonzero(own == j)
-        for a in np.flatnonzero(own == i):
-            b = second[(second > a) if i == j else slice(None)]
-            b = b[component[b] != component[a]]
-            small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-            b = b[large <= small * 100 // like.percent]
-            if len(b):
-                apart = np.bitwise_count(bits[b] ^ bits[a]).sum(axis=1, dtype=np.int64)
-                near = apart <= (n[a] + n[b]) * (100 - like.percent) // (100 + like.percent)
-                left += [a] * int(near.sum())
-                right += b[near].tolist()
-                far += apart[near].tolist()
-        m = group["m"]
-        return pa.table({"a": m.take(pa.array(left, pa.int64())), "b": m.take(pa.array(right, pa.int64())), "far": pa.array(far, pa.int64())})
-
-    found = spread.groupBy("key", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}, far long")
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    spread = spread.select(
+        F.xxhash64("key", i, j).alias("part"), "key", i.alias("i"), j.alias("j"), F.when(i == j, -1).otherwise(F.col("own")).alias("block"), "m", F.xxhash64("component").alias("differ"), "n", "sketch")
+
+    def compare(batches):
+        held: pa.Table | None = None
+
+        def found(rows: pa.Table) -> pa.RecordBatch:
+            marks = np.stack([rows[c].to_numpy() for c in ("key", "i", "j")])
+            group = np.concatenate([[0], np.cumsum((marks[:, 1:] != marks[:, :-1]).any(axis=0))])
+            n = rows["n"].to_numpy()
+            left, right = _pairs_in_groups(group, rows["differ"].to_numpy(), rows["block"].to_numpy(), n, like)
+            far = _apart(rows["sketch"].to_pylist(), left, right)
+            near = far <= (n[left] + n[right]) * (100 - like.percent) // (100 + like.percent)
+            m = rows["m"].combine_chunks()
+            return pa.RecordBatch.from_arrays([m.take(pa.array(left[near])), m.take(pa.array(right[near])), pa.array(far[near], pa.int64())], names=["a", "b", "far"])
+
+        for batch in batches:  # the last group of a batch may go on in the next
+            rows = pa.table(batch) if held is None else pa.concat_tables([held, pa.table(batch)])
+            last = {c: rows[c][-1].as_py() for c in ("key", "i", "j")}
+            ends = np.logical_and.reduce([rows[c].to_numpy() == last[c] for c in last])
+            start = int(np.argmax(ends))
+            if start:
+                yield found(rows.slice(0, start))
+            held = rows.slice(start)
+        if held is not None:
+            yield found(held)
+
+    dealt = spread.repartition("part").sortWithinPartitions("key", "i", "j", "m").drop("part")
+    found = dealt.mapInArrow(compare, f"a {kind}, b {kind}, far long")
     return found.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("far").alias("far"))
 
 
@@ -280,7 +320,10 @@ def similarity_components(docs: DataFrame, like: Likeness = Likeness()) -> DataF
         found = stage_table(found.select("a", "b"), "tested")
         links = whole(found)
         tested = tested.union(found)
+        last = turn > _SINGLE_ROUNDS  # every open pair has been tested
         stars = connected(stars.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
+        if last:
+            break
     ends = canon.join(stars, canon["m"] == stars["node"], "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "m")).alias("component_id"))
     rows = described.select("doc_id", F.col("n").alias("n_shingles")).join(ends, "doc_id", "left")
     return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").cast(kind).alias("component_id"))
