@@ -53,8 +53,7 @@ class Encoder:
         if not self.keeps_space:
             return text.replace("\n", " ").split(" ")
         words: list = text.replace("\n", " \n").split(" ")
-        if not self.unsafe.isdisjoint(words) or any(w[-1].isspace() for w in words if w not in self.cache):
-            self.unsafe.update(w for w in words if w and w[-1].isspace())
+        if not self.unsafe.isdisjoint(words):
             pieces = _CUT.split(text)
             words = pieces[:1] + [p[1:] if p[0] == " " and p[1:2] not in ("", "\n") else p if p[0] == "\n" else (p,) for p in pieces[1:]]
         words[0] = (words[0],)
@@ -70,7 +69,10 @@ class Encoder:
         if (ids := self.parts.get(part)) is None:
             if len(self.parts) > _MOST:
                 self.parts.clear()
-            named = part if part.isascii() and part.isalpha() else part.encode().decode("latin-1").translate(self.names)
+            if part[0] == " " and part.isascii():
+                named = self.names[0x20] + part[1:]
+            else:
+                named = part.encode().decode("latin-1").translate(self.names)
             ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
         return ids
 
@@ -86,8 +88,6 @@ class Encoder:
         return self._part(" " + letters) + (self._part(marks) if marks else b"") if letters else self._part(" " + marks)
 
     def _learn(self, new: set) -> None:
-        if len(self.cache) > _MOST:
-            self.older, self.cache = self.cache, {}
         rest = []
         for word in new:
             if (ids := self.older.get(word)) is None and (ids := self._plain(word)) is None:
@@ -98,12 +98,15 @@ class Encoder:
             self.cache[word] = array("I", found.ids).tobytes()
 
     def _some(self, texts: list[str]) -> list[bytes]:
+        if len(self.cache) > _MOST:
+            self.older, self.cache = self.cache, {}
         split = [self._words(t) for t in texts]
         if new := set().union(*split).difference(self.cache):
-            before = self.cache
+            if self.keeps_space and (unsafe := {w for w in new if not isinstance(w, tuple) and w[-1:].isspace()} - self.unsafe):
+                self.unsafe |= unsafe
+                split = [self._words(t) for t in texts]
+                new = set().union(*split).difference(self.cache)
             self._learn(new)
-            if self.cache is not before:  # a new generation lacks words that the older one has
-                self._learn(set().union(*split).difference(self.cache))
         ids = self.cache.__getitem__
         return [b"".join(map(ids, words)) for words in split]
 
