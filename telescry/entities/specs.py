@@ -50,6 +50,7 @@ CIRCUIT = EntitySpec(
     required=("id", "endpoint_id", "endpoint_type"),
     refs=(("parent_circuit", "meta_circuit"),),
     self_refs=("parent_circuit",),
+    pairs=("endpoint_type", "endpoint_id"),
 )
 
 ORGANIZATION = EntitySpec("meta_organization", {"name": "text", "type": "texts", **_PLACE}, required=("id", "name"))
@@ -93,7 +94,7 @@ SCIENCE_REGISTRY_IP = EntitySpec(
 )
 
 GRID_SITE_IP = EntitySpec(
-    "meta_ip_grid",
+    "meta_ip_cric",
     {
         "ip_subnet": "cidrs", "rcsite_name": "text", "latitude": "double", "longitude": "double",
         "country_name": "text", "netsite_name": "text", "tier": "long",

@@ -71,7 +71,7 @@ def stage_incidents(rows: DataFrame, resource_refs: DataFrame | None) -> DataFra
     staged = good.select(
         *_base(), _time("last_modified", "last_modified"), "status", "type", _time("start", "start_time"),
         _time("end", "end_time"), "resolution", ids.alias("resource_id"),
-        F.xxhash64("id", "_pos").alias("_row"))
+        F.struct("id", "_pos").alias("_row"))
     return lookup_array(staged, "_row", "resource_id", resource_refs, "resource_ref", keep_misses=False).drop("_row")
 
 

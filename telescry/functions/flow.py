@@ -50,14 +50,15 @@ def label_tokens(separate: list[Column], joined: Column) -> Column:
 
 
 def label_words(tokens: Column) -> Column:
-    """Hex words such as ``01-2a-bc`` as numbers; words that are no hex number are skipped."""
+    """Hex words such as ``01-2a-bc`` as unsigned 64-bit numbers; what is no hex number is skipped, what is larger becomes null."""
     plain = F.transform(tokens, lambda t: F.replace(t, F.lit("-"), F.lit("")))
-    good = F.filter(plain, lambda t: t.rlike("^[0-9A-Fa-f]{1,15}$"))
-    return F.transform(good, lambda t: F.conv(t, 16, 10).cast("bigint"))
+    good = F.filter(plain, lambda t: t.rlike("^[0-9A-Fa-f]+$"))
+    short = F.transform(good, lambda t: F.regexp_replace(t, "^0+(?=.)", ""))
+    return F.transform(short, lambda t: F.when(F.length(t) <= 16, F.conv(t, 16, -10).cast("bigint")))
 
 
 def label_values(words: Column) -> Column:
-    return F.transform(words, lambda w: F.shiftright(w, 4))
+    return F.transform(words, lambda w: F.shiftrightunsigned(w, 4))
 
 
 def label_exp(words: Column) -> Column:

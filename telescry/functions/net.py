@@ -79,10 +79,19 @@ def address(column: str) -> Column:
 def with_address(df: DataFrame, ip: str, family: str = "family", hi: str = "hi", lo: str = "lo") -> DataFrame:
     """Add the integer form of a text address; all three are null when the text is no address.
 
-    The address is a generator's output, so it is parsed once per row and later predicates on it are
-    not pushed below the parse as copies.
+    The text is split once, and four numbers that give the same text again are an IPv4 address; only texts with a colon
+    reach the expression for IPv6.  Both steps are a generator's output, so they run once per row and later predicates
+    are not pushed below them as copies.
     """
-    parsed = df.select("*", F.explode(F.array(address(ip))).alias("_addr"))
+    text = F.trim(F.col(f"`{ip}`").cast("string"))
+    split = df.select("*", F.explode(F.array(F.struct(text.alias("t"), F.split(text, "[.]", 5).alias("p")))).alias("_text"))
+    part = [F.get("_text.p", F.lit(i)).try_cast("int") for i in range(4)]
+    small = (part[0].bitwiseOR(part[1]).bitwiseOR(part[2]).bitwiseOR(part[3])).between(0, 255)
+    is_v4 = (F.size("_text.p") == 4) & small & (F.concat_ws(".", *[p.cast("string") for p in part]) == F.col("_text.t"))
+    value = ((part[0].cast("bigint") * 256 + part[1]) * 256 + part[2]) * 256 + part[3]
+    v4 = F.struct(F.lit(4).alias("family"), F.lit(0).cast("bigint").alias("hi"), value.alias("lo"))
+    parsed = split.select(
+        *df.columns, F.explode(F.array(F.when(F.coalesce(is_v4, F.lit(False)), v4).when(F.col("_text.t").contains(":"), address(ip)))).alias("_addr"))
     return parsed.select(
         *[F.col(f"`{n}`") for n in df.columns],
         F.col("_addr.family").alias(family), F.col("_addr.hi").alias(hi), F.col("_addr.lo").alias(lo))

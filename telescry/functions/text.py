@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,6 +75,41 @@ def canonical_json(c: Column) -> Column:
     return F.to_json(F.try_parse_json(c))
 
 
+class _Number(str):
+    """A number as its text."""
+
+
+def _written(value) -> str:
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_written(v)}" for k, v in sorted(value.items())) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_written, value)) + "]"
+    return str(value) if isinstance(value, _Number) else json.dumps(value, ensure_ascii=False)
+
+
+def _no_number(text: str):
+    raise ValueError(f"{text} is not JSON")
+
+
+def _sorted_text(text: str | None) -> str | None:
+    try:
+        return None if text is None else _written(json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_no_number))
+    except (ValueError, RecursionError):
+        return None
+
+
+def sorted_json(c: Column) -> Column:
+    """JSON text with sorted keys at every level and numbers as they were written; null if it is not JSON.
+
+    A variant would turn ``1.0`` into ``1`` and long numbers into doubles, so this one runs in Python, by Arrow batches.
+    """
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(_sorted_text, na_action="ignore")
+
+    return run.asNondeterministic()(c)  # one call per row, also under a filter
+
+
 def ext_or_default(c: Column) -> Column:
     return F.coalesce(F.coalesce(canonical_json(c), c), F.lit("{}"))
 

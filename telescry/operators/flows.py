@@ -77,15 +77,29 @@ def epoch_millis(c: Column) -> Column:
     return (c.try_cast("double") * 1000).try_cast("bigint")
 
 
+def _millis(df: DataFrame) -> tuple[Column, Column]:
+    """First and last millisecond of a wire flow, null where the text is no time."""
+    text = lambda name: F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
+    arrival_only = text("timestamp_start").isNull()
+    start = F.when(arrival_only, text("timestamp_arrival")).otherwise(text("timestamp_start"))
+    end = F.when(arrival_only, text("timestamp_arrival")).otherwise(F.coalesce(text("timestamp_end"), text("timestamp_start")))
+    return epoch_millis(start), epoch_millis(end)
+
+
 def flow_times(df: DataFrame) -> DataFrame:
-    """Add ``start_time`` and ``end_time``; rows without a usable time are dropped."""
-    arrival_only = F.col("timestamp_start").isNull()
-    start = F.when(arrival_only, F.col("timestamp_arrival")).otherwise(F.col("timestamp_start"))
-    end = F.when(arrival_only, F.col("timestamp_arrival")).otherwise(F.coalesce("timestamp_end", "timestamp_start"))
-    out = df.select("*", F.timestamp_millis(epoch_millis(start)).alias("start_time"), F.timestamp_millis(epoch_millis(end)).alias("end_time"))
+    """Add ``start_time`` and ``end_time``; rows without a usable time are dropped (``split_timed`` finds them)."""
+    start, end = _millis(df)
+    out = df.select("*", F.timestamp_millis(start).alias("start_time"), F.timestamp_millis(end).alias("end_time"))
     return out.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
 
 
+def split_timed(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Messages with and without a usable start and end time."""
+    start, end = _millis(messages)
+    usable = start.isNotNull() & end.isNotNull()
+    return messages.filter(usable), messages.filter(~usable)
+
+
 def bgp_fields(df: DataFrame, mode: str) -> DataFrame:
     """AS path without repeats and its padding, communities, preferences."""
     has_path = truthy(F.col("as_path"))
@@ -349,16 +363,15 @@ def project_enriched_flows(messages: DataFrame, cfg: FlowConfig = FlowConfig(),
     if registry is not None:
         found = lpm_resolve(df, ["src_ip", "dst_ip"], registry, ["ref"])
         for direction in ("dst", "src"):
-            df = lpm_attach(df, f"{direction}_ip", found, {"ref": f"{direction}_registry_ref"})
-            names.append(f"{direction}_registry_ref")
+            df = lpm_attach(df, f"{direction}_ip", found, {"ref": f"{direction}_scireg_ref"})
+            names.append(f"{direction}_scireg_ref")
     if service_refs is not None:
-        df = df.withColumn("_row", F.xxhash64(F.to_json(F.struct("start", "end", "meta", "values"))))
-        for direction in ("src", "dst"):
-            column = f"{direction}_ip_service_ref"
-            groups = df.select("_row", F.col(f"meta.service.{direction}").alias("_groups")).dropDuplicates(["_row"])
-            refs = lookup_array(groups, "_row", "_groups", service_refs, column, keep_misses=False).select(
-                F.col("_row").alias("_row_key"), column)
-            df = df.join(refs, F.col("_row") == F.col("_row_key"), "left").drop("_row_key")
+        for direction in ("src", "dst"):  # a list of groups is resolved once, however many flows have it
+            column, key = f"{direction}_ip_service_ref", F.col(f"meta.service.{direction}")
+            lists = df.select(key.alias("_groups")).filter("_groups IS NOT NULL").distinct().withColumn("_list", F.col("_groups"))
+            refs = lookup_array(lists, "_list", "_groups", service_refs, column, keep_misses=False).select("_list", column)
+            df = df.withColumn("_key", key).join(refs, F.col("_key") == F.col("_list"), "left").drop("_key", "_list")
+            df = df.withColumn(column, F.coalesce(column, F.array().cast("array<string>")))
             names.append(column)
     false = F.lit(False)
     shaped = df.select(

@@ -36,21 +36,51 @@ def kv_load_stats(refs: DataFrame, as_of: Column) -> DataFrame:
     return refs.groupBy("table").agg(F.count(F.lit(1)).alias("record_count")).withColumn("last_updated", as_of)
 
 
-def kv_rows(df: DataFrame, as_of: Column, ttl: int | None = DEFAULT_TTL_S) -> DataFrame:
-    """Rows ready to append; rows without table, key or value are left out."""
+ORDER_SCHEMA = "struct<at:timestamp, partition:int, offset:bigint>"
+
+
+def message_order() -> Column:
+    """The place of a message among others of one load: its time, then partition and offset."""
+    return F.struct(F.col("message_time").alias("at"), "partition", "offset").cast(ORDER_SCHEMA)
+
+
+def time_order(at: Column) -> Column:
+    """The place of a record that only has a time."""
+    return F.struct(at.cast("timestamp").alias("at"), F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset")).cast(ORDER_SCHEMA)
+
+
+def kv_rows(df: DataFrame, as_of: Column, ttl: int | None = DEFAULT_TTL_S, order: Column | None = None) -> DataFrame:
+    """Rows ready to append; rows without table, key or value are left out.
+
+    ``order`` tells which of several values of a key in one load is the newest.
+    """
     good = df.filter(truthy(F.col("table")) & truthy(F.col("key")) & truthy(F.col("value").cast("string")))
-    return good.select("table", "key", F.col("value").cast("string").alias("value"), as_of.alias("updated_at"),
-                       F.lit(ttl).cast("int").alias("expires"))
+    return good.select("table", "key", F.col("value").cast("string").alias("value"), as_of.cast("timestamp").alias("updated_at"),
+                       F.lit(ttl).cast("int").alias("expires"), (F.lit(None).cast(ORDER_SCHEMA) if order is None else order).alias("seq"))
+
+
+def _newest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The entry of the latest load per key, in it the last by its order."""
+    order = F.struct("updated_at", *(["seq"] if "seq" in df.columns else []), "value")
+    kept = [c for c in ("value", "updated_at", "expires", "seq") if c in df.columns]
+    newest = df.groupBy(*keys).agg(F.max_by(F.struct(*kept), order).alias("r"))
+    return newest.select(*keys, *[F.col(f"r.{c}").alias(c) for c in kept])
 
 
 def kv_view(kv: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Latest value per ``(table, key)``, without entries whose time to live has run out."""
-    newest = kv.groupBy("table", "key").agg(
-        F.max_by(F.struct("value", "updated_at", "expires"), F.struct("updated_at", "value")).alias("r"))
-    out = newest.select("table", "key", "r.value", "r.updated_at", "r.expires")
+    out = _newest(kv, ["table", "key"])
     return out if as_of is None else live(out, as_of)
 
 
+def to_write(newest: DataFrame, known: DataFrame, as_of: Column) -> DataFrame:
+    """Entries that change a value, or that have used up half of their time to live; the others need not be appended again."""
+    old = known.select("table", "key", F.col("value").alias("_value"), F.col("updated_at").alias("_updated"))
+    fresh = F.unix_timestamp(as_of) - F.unix_timestamp("_updated") < F.coalesce(F.col("expires"), F.lit(1 << 30)) / 2
+    same = F.col("_value").eqNullSafe(F.col("value")) & fresh
+    return newest.join(old, ["table", "key"], "left").filter(~F.coalesce(same, F.lit(False))).select(*newest.columns)
+
+
 def kv_table(kv: DataFrame, name: str) -> DataFrame:
     return kv.filter(F.col("table") == name).select("key", "value")
 
@@ -116,8 +146,8 @@ INTERFACE_POLL_SCHEMA = (
 )
 
 
-def interface_records(df: DataFrame) -> DataFrame:
-    """Device poll -> interface entity record (all values as text)."""
+def interface_records(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Device poll -> interface entity record (all values as text), with the ``keep`` columns of the poll."""
     m = lambda name: F.col(f"meta.{name}")
     rows = df.filter(all_present(["meta.id", "meta.name", "meta.device"]))
     kind = (
@@ -148,7 +178,7 @@ def interface_records(df: DataFrame) -> DataFrame:
         F.to_json(F.coalesce(m("lag_members"), empty)).alias("lag_member_interface_id"),
         F.when(truthy(m("port_name")), F.concat_ws("::", m("device"), m("port_name"))).alias("port_interface_id"),
         m("remote.id").alias("remote_interface_id"), m("org.short_name").alias("remote_organization_id"),
-        F.to_json(F.when(hidden, F.array(F.lit("hide"))).otherwise(empty)).alias("tags"), ext.alias("ext"),
+        F.to_json(F.when(hidden, F.array(F.lit("hide"))).otherwise(empty)).alias("tags"), ext.alias("ext"), *keep,
     )
 
 
@@ -159,19 +189,18 @@ def name_from_id(df: DataFrame) -> DataFrame:
 
 
 def hash_rows(records: DataFrame, table: str, key: str, as_of: Column, ttl: int | None = DEFAULT_TTL_S) -> DataFrame:
-    """Records -> one row per field that is not null."""
-    names = records.columns
+    """Records -> one row per field that is not null; a column ``seq`` orders the records of one load."""
+    names = [n for n in records.columns if n != "seq"]
+    seq = F.col("seq") if "seq" in records.columns else F.lit(None).cast(ORDER_SCHEMA)
     pairs = F.array(*[F.struct(F.lit(n).alias("field"), F.col(n).cast("string").alias("value")) for n in names])
-    long = records.select(F.lit(table).alias("table"), F.col(key).alias("key"), F.explode(pairs).alias("p"))
-    long = long.select("table", "key", "p.field", "p.value").filter(truthy(F.col("key")) & F.col("value").isNotNull())
-    return long.select("*", as_of.alias("updated_at"), F.lit(ttl).cast("int").alias("expires"))
+    long = records.select(F.lit(table).alias("table"), F.col(key).alias("key"), seq.alias("seq"), F.explode(pairs).alias("p"))
+    long = long.select("table", "key", "p.field", "p.value", "seq").filter(truthy(F.col("key")) & F.col("value").isNotNull())
+    return long.select("table", "key", "field", "value", as_of.cast("timestamp").alias("updated_at"), F.lit(ttl).cast("int").alias("expires"), "seq")
 
 
 def hash_view(rows: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Latest value of every field; each field has its own time to live."""
-    newest = rows.groupBy("table", "key", "field").agg(
-        F.max_by(F.struct("value", "updated_at", "expires"), F.struct("updated_at", "value")).alias("r"))
-    out = newest.select("table", "key", "field", "r.value", "r.updated_at", "r.expires")
+    out = _newest(rows, ["table", "key", "field"])
     return out if as_of is None else live(out, as_of)
 
 

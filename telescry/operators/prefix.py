@@ -44,19 +44,19 @@ def _lengths(index: DataFrame) -> DataFrame:
 
 
 def _best_match(probes: DataFrame, index: DataFrame, payload: Sequence[str], key: str) -> DataFrame:
-    """Most specific payload per probe; probes have ``key, family, hi, lo`` and optionally ``_max_len``."""
+    """Most specific payload per probe; probes have ``key, family, hi, lo`` and optionally ``_max_len``.
+
+    The longest length that hits is a number, so it is found by hash aggregates; its payload is fetched by one more
+    equi join.
+    """
     limited = "_max_len" in probes.columns
     cand = probes.join(F.broadcast(_lengths(index)), F.col("family") == F.col("_family"))
     lengths = F.filter("_lengths", lambda n: n <= F.col("_max_len")) if limited else F.col("_lengths")
-    cand = cand.select(key, "family", "hi", "lo", F.explode(lengths).alias("plen"))
-    cand = cand.select(
-        key, "family", "plen",
-        network_hi(F.col("family"), F.col("hi"), F.col("plen")).alias("hi"),
-        network_lo(F.col("family"), F.col("lo"), F.col("plen")).alias("lo"),
-    )
-    hits = cand.join(index, _KEY)
-    best = hits.groupBy(key).agg(F.max_by(F.struct("plen", *payload), "plen").alias("_best"))
-    return best.select(key, F.col("_best.plen").alias("_plen"), *[F.col(f"_best.{c}").alias(c) for c in payload])
+    cand = cand.select(key, "family", F.col("hi").alias("_hi"), F.col("lo").alias("_lo"), F.explode(lengths).alias("plen"))
+    network = [network_hi(F.col("family"), F.col("_hi"), F.col("plen")).alias("hi"), network_lo(F.col("family"), F.col("_lo"), F.col("plen")).alias("lo")]
+    hits = cand.select("*", *network).join(index.select(*_KEY), _KEY, "left_semi")
+    best = hits.groupBy(key, "family", "_hi", "_lo").agg(F.max("plen").alias("plen")).select("*", *network)
+    return best.join(index, _KEY).select(key, F.col("plen").alias("_plen"), *payload)
 
 
 def lpm_resolve(df: DataFrame, ip_columns: Sequence[str], index: DataFrame, payload: Sequence[str]) -> DataFrame:

@@ -80,6 +80,8 @@ def range_join(df: DataFrame, index: DataFrame, key: Column, value: Column, out:
 def port_dimension(index: DataFrame) -> DataFrame:
     """The whole 16-bit port space resolved once: ``key, port, value`` for every covered port.
 
+    Ports have 16 bits: a flow whose port is any other number has no application, whatever the ranges say.
+
     At most 65536 rows per key, whatever the facts hold, so fact joins need neither a pass over their
     distinct ports nor a range condition.
     """

@@ -40,6 +40,7 @@ class EntitySpec:
     list_refs: tuple[tuple[str, str], ...] = ()
     self_refs: tuple[str, ...] = ()
     self_list_refs: tuple[str, ...] = ()
+    pairs: tuple[str, ...] = ()  # array columns that must hold two items
     versioned: bool = True
     sort_key: tuple[str, ...] = ("ref", "id", "insert_time")
     id_type: str = "string"
@@ -86,10 +87,13 @@ def stage(rows: DataFrame, spec: EntitySpec, json: str = "row_json", pos: str =
     """record JSON -> typed content columns; records lacking a required field are dropped."""
     parsed = rows.select(F.col(pos).alias("_pos"), parsed_once(F.from_json(F.col(json), wire_schema(spec))).alias("r")).select("_pos", "r.*")
     parsed = parsed.filter(all_present([f"`{n}`" for n in spec.required]) & F.col("id").isNotNull())
-    return parsed.select(
+    typed = parsed.select(
         "_pos", "id", ext_or_default(F.col("ext")).alias("ext"), string_array(F.col("tag")).alias("tag"),
         *[_COERCE[kind](F.col(f"`{name}`")).alias(name) for name, kind in spec.fields.items()],
     )
+    for name in spec.pairs:
+        typed = typed.filter(F.size(name) == 2)
+    return typed
 
 
 def last_per_id(staged: DataFrame) -> DataFrame:
@@ -101,15 +105,21 @@ def last_per_id(staged: DataFrame) -> DataFrame:
     return picked.select("id", *[F.col(f"_r.`{n}`").alias(n) for n in names])
 
 
-def with_refs(staged: DataFrame, spec: EntitySpec, snapshots: Mapping[str, DataFrame]) -> DataFrame:
-    """Reference columns from the current snapshots (``id, ref``); a table not given counts as empty."""
+def with_refs(staged: DataFrame, spec: EntitySpec, snapshots: Mapping[str, DataFrame],
+              cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Reference columns from the current snapshots (``id, ref``); a table not given counts as empty.
+
+    With ``cut`` the batch is stored before list references are resolved, so that only ids and list items are shuffled.
+    """
     staged = last_per_id(staged)
+    if spec.list_refs and cut:
+        staged = cut(staged)
     for name, table in spec.refs:
         right = as_text_key(snapshots.get(table))
         keyed = staged.withColumn("_rid", F.col(f"{name}_id").cast("string"))
         staged = lookup_join(keyed, right, {"_rid": "id"}, {"ref": f"{name}_ref"}).drop("_rid")
     for name, table in spec.list_refs:
-        staged = lookup_array(staged, "id", f"{name}_id", as_text_key(snapshots.get(table)), f"{name}_ref")
+        staged = lookup_array(staged, "id", f"{name}_id", as_text_key(snapshots.get(table)), f"{name}_ref", stored=cut is not None)
     return staged
 
 
@@ -163,7 +173,7 @@ def apply_batch(staged: DataFrame, table: DataFrame | None, spec: EntitySpec,
                 cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Stage -> references -> versions -> rows stamped with ``insert_time``."""
     now = current(table) if table is not None and spec.versioned else None
-    rows = upsert_versions(with_refs(staged, spec, snapshots), now, spec, force, cut)
+    rows = upsert_versions(with_refs(staged, spec, snapshots, cut), now, spec, force, cut)
     if spec.id_type != "string":
         rows = rows.withColumn("id", F.col("id").try_cast(spec.id_type)).filter(F.col("id").isNotNull())
     return rows.withColumn("insert_time", as_of)

@@ -1 +1 @@
-"""Jobs (one per pipeline) and the queries registered for the benchmark tables."""
+"""Jobs and the queries registered for the benchmark tables."""

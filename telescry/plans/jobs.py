@@ -1,4 +1,4 @@
-"""One function per shipped pipeline.
+"""One function per job.
 
 All tables live below one ``base`` folder.  Jobs are plain functions: a scheduler of your choice calls
 the batch jobs, and the stream jobs return a running query.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from telescry.operators.versioned import EntitySpec
 from telescry.session import cut_lineage
 from telescry.sinks import tables as sinks
 from telescry.sources import files, messages
-from telescry.streaming.run import read_once, rollup_sink, run_stream
+from telescry.streaming.run import BatchFn, read_once, rollup_sink, run_stream
 
 KV, HASHES = "kv", "kv_hash"
 
@@ -129,7 +130,7 @@ def status_job(spark: SparkSession, payloads: str, base: str, as_of: Column, cfg
     resource_refs = refs(spark, base, specs.RESOURCE.table)
     upsert_entity(spark, base, specs.INCIDENT, status.stage_incidents(records["incident"], resource_refs), as_of)
     upsert_entity(spark, base, specs.EVENT, status.stage_events(records["event"]), as_of)
-    sinks.write_demux(metrics.status_metrics(records["resource"], resource_refs, as_of, cfg=cfg), f"{base}/metrics_counter")
+    sinks.write_demux(metrics.status_metrics(records["resource"], resource_refs, as_of, cfg=cfg), base, "counter")
 
 
 def _fields(schema: str) -> str:
@@ -142,7 +143,7 @@ def compute_job_job(spark: SparkSession, payloads: str, base: str, as_of: Column
     rows = messages.job_rows(messages.read_payloads(spark, payloads, f"struct<queued:{record}, running:{record}>"))
     upsert_entity(spark, base, specs.COMPUTE_JOB, status.stage_jobs(rows), as_of)
     job_refs = refs(spark, base, specs.COMPUTE_JOB.table)
-    sinks.write_demux(metrics.job_metrics(rows, job_refs, as_of, cfg=cfg), f"{base}/metrics_gauge")
+    sinks.write_demux(metrics.job_metrics(rows, job_refs, as_of, cfg=cfg), base, "gauge")
 
 
 def _job_fields() -> str:
@@ -168,7 +169,8 @@ def kv_job(spark: SparkSession, base: str, lookup_specs: Sequence[str], as_of: C
             continue
         pairs = keyed.kv_refs(table, spec, text)
         strip = F.expr("substring(key, instr(key, ':') + 1)")
-        sinks.write_kv(keyed.kv_rows(pairs.withColumn("key", strip), as_of, ttl=None), base, KV)
+        entries = keyed.kv_rows(pairs.withColumn("key", strip), as_of, None, keyed.time_order(F.col("max_insert_time")))
+        sinks.write_kv(keyed.kv_view(entries), base, KV)  # of records with one key the newest
 
 
 def ip_index_job(spark: SparkSession, base: str, spec_text: str = "meta_ip:as_id", simple_name: bool = True,
@@ -183,9 +185,26 @@ def ip_index_job(spark: SparkSession, base: str, spec_text: str = "meta_ip:as_id
     return sinks.export_index(index, base, spec_text, simple_name)
 
 
+def compact_kv_job(spark: SparkSession, base: str, as_of: Column, generation: int) -> None:
+    """Newest live entries in place of the whole history of the key-value tables."""
+    for name, view in ((KV, keyed.kv_view), (HASHES, keyed.hash_view)):
+        table = sinks.read_table(spark, base, name)
+        if table is not None:
+            sinks.compact_kv(spark, view(table, as_of), base, name, generation)
+
+
+def retention_job(spark: SparkSession, base: str, as_of: datetime, rollups: Mapping[str, Sequence[str]] | None = None) -> None:
+    """Drop days that are out of keeping from flows, traffic, metrics and rollups."""
+    kept = [sinks.FLOW_TABLE, sinks.TRAFFIC_TABLE, *[sinks.metric_table(k) for k in sinks.METRIC_TYPES]]
+    kept += [sinks.rollup_table(rollup.KINDS[name], w) for name, windows in (rollups or {}).items() for w in windows]
+    for table in kept:
+        sinks.apply_retention(spark, table, base, as_of)
+
+
 def interface_cache_job(spark: SparkSession, polls: DataFrame, base: str, as_of: Column) -> None:
     """Device polls -> interface records as keyed hashes."""
-    recs = keyed.interface_records(keyed.name_from_id(polls))
+    order = [keyed.message_order().alias("seq")] if {"message_time", "partition", "offset"} <= set(polls.columns) else []
+    recs = keyed.interface_records(keyed.name_from_id(polls), order)
     sinks.write_kv(keyed.hash_rows(recs, "meta_interface_cache", "id", as_of), base, HASHES)
 
 
@@ -218,7 +237,7 @@ def latest_applications(table: DataFrame) -> DataFrame:
 
 
 def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), rollups: Mapping[str, Sequence[str]] | None = None,
-               policy: RollupPolicy = RollupPolicy()) -> Callable[[DataFrame, int], None]:
+               policy: RollupPolicy = RollupPolicy()) -> BatchFn:
     """Batch function: raw messages -> data_flow, rejected messages, rollup partials.
 
     Lookups are read again for every batch.  The enriched rows are written first and the rollups read
@@ -226,22 +245,25 @@ def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), r
     """
     wanted = {name: tuple(w) for name, w in (rollups or {}).items()}
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        good, dead = messages.parse_messages(batch, flows.WIRE_SCHEMA)
+    def handle(rows: DataFrame, batch: sinks.Batch) -> None:
+        session = rows.sparkSession
+        good, dead = messages.parse_messages(rows, flows.WIRE_SCHEMA)
         ok, incomplete = split_required(good, flows.REQUIRED)
+        timed, untimed = flows.split_timed(ok)
         rejected = dead.select("topic", "partition", "offset", "error").unionByName(
-            incomplete.select("topic", "partition", "offset", F.col("reject_reason").alias("error")))
-        sinks.append_table(rejected, REJECTED, base, batch_id)
-        rows = flows.ingest(ok, flow_lookups(session, base, cfg), cfg)
-        sinks.append_table(rows, sinks.FLOW_TABLE, base, batch_id)
-        stored = session.read.parquet(f"{base}/{sinks.FLOW_TABLE.name}").filter(F.col("batch_id") == batch_id)
+            incomplete.select("topic", "partition", "offset", F.col("reject_reason").alias("error"))).unionByName(
+            untimed.select("topic", "partition", "offset", F.lit("no usable start time").alias("error")))
+        sinks.append_table(rejected, REJECTED, base, batch)
+        sinks.append_table(flows.ingest(timed, flow_lookups(session, base, cfg), cfg), sinks.FLOW_TABLE, base, batch)
+        stored = sinks.read_batch(session, sinks.FLOW_TABLE, base, batch)
+        if stored is None:
+            return
         apps = sinks.read_table(session, base, specs.APPLICATION.table)
         for name, windows in wanted.items():
             kind = rollup.KINDS[name]
             for window in windows:
                 index = None if apps is None else ranges.dictionary_ranges(latest_applications(apps))
-                rollup_sink(kind, window, f"{base}/{kind.table(window)}", policy, lambda index=index: index)(stored, batch_id)
+                rollup_sink(kind, window, base, policy, lambda index=index: index)(stored, batch)
 
     return read_once(handle)
 
@@ -258,22 +280,25 @@ def flow_stream(spark: SparkSession, source: DataFrame, base: str, checkpoint: s
 # --- SNMP ------------------------------------------------------------------------------------------
 
 def snmp_batch(base: str, rules: metrics.Rules, as_of: Callable[[], Column] = F.current_timestamp,
-               cfg: MetricConfig = MetricConfig()) -> Callable[[DataFrame, int], None]:
+               cfg: MetricConfig = MetricConfig()) -> BatchFn:
     """Batch function: polls -> index lookups, then interface traffic and generic metrics.
 
     The lookups of the batch are written first and read by the same batch (K6).
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        good, _ = messages.parse_messages(batch, metrics.WIRE_SCHEMA)
-        entries = keyed.index_lookup(metrics.tokens(good), rules.by_name)
-        sinks.write_kv(keyed.kv_rows(entries.distinct(), as_of()), base, KV, batch_id)
+    def handle(rows: DataFrame, batch: sinks.Batch) -> None:
+        spark = rows.sparkSession
+        good, dead = messages.parse_messages(rows, metrics.WIRE_SCHEMA)
+        sinks.append_table(dead, REJECTED, base, batch)
+        entries = keyed.index_lookup(metrics.tokens(good), rules.by_name, ("message_time", "partition", "offset"))
+        newest = keyed.kv_view(keyed.kv_rows(entries, as_of(), order=keyed.message_order()))
+        known = kv(spark, base, as_of())
+        sinks.write_kv(newest if known is None else keyed.to_write(newest, known, as_of()), base, KV, batch)
         view = kv(spark, base, as_of())
         traffic = metrics.interface_traffic(good, keyed.kv_table(view, cfg.ifname_table), keyed.kv_table(view, cfg.interface_ref_table), cfg)
-        sinks.append_table(traffic, sinks.TRAFFIC_TABLE, base, batch_id)
-        for kind, rows in metrics.metric_tables(metrics.melt_metrics(good, rules, view, cfg)).items():
-            sinks.write_demux(rows, f"{base}/metrics_{kind}", batch_id=batch_id)
+        sinks.append_table(traffic, sinks.TRAFFIC_TABLE, base, batch)
+        for kind, melted in metrics.metric_tables(metrics.melt_metrics(good, rules, view, cfg)).items():
+            sinks.write_demux(melted, base, kind, batch=batch)
 
     return read_once(handle)
 
@@ -285,8 +310,9 @@ def snmp_stream(source: DataFrame, base: str, checkpoint: str, rules: metrics.Ru
 def message_archive_stream(source: DataFrame, base: str, checkpoint: str, interval: str | None = "30 seconds") -> StreamingQuery:
     """Raw messages -> data_kafka_message."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        sinks.append_table(messages.raw_archive(batch), sinks.MESSAGE_TABLE, base, batch_id)
+    def handle(rows: DataFrame, batch: sinks.Batch) -> None:
+        sinks.append_table(messages.raw_archive(rows), sinks.MESSAGE_TABLE, base, batch)
+        sinks.append_table(messages.not_json(rows), REJECTED, base, batch)
 
     return run_stream(source, handle, checkpoint, interval)
 

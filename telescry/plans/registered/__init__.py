@@ -22,4 +22,4 @@ def registered(name: str, oracle: str | None = None) -> Callable[[Query], Query]
 
 
 def load_all() -> None:
-    from telescry.plans.registered import entities, flows, lookups, metrics, predicates, rollups, versions  # noqa: F401
+    from telescry.plans.registered import entities, flows, inputs, lookups, metrics, predicates, rollups, stores, versions  # noqa: F401

@@ -45,7 +45,7 @@ def f10(spark, sf_dir):
         "meta_as": _refs(li.filter("l_partkey % 3 <> 0").select("l_partkey").distinct(), "l_partkey"),
         "meta_circuit": li.select(F.expr("concat('c', l_orderkey % 10)").alias("k")).distinct().transform(lambda d: _refs(d, "k")),
     }
-    out = versioned.upsert_versions(versioned.with_refs(versioned.stage(rows, specs.INTERFACE), specs.INTERFACE, snapshots), None, specs.INTERFACE, cut=cut_lineage)
+    out = versioned.upsert_versions(versioned.with_refs(versioned.stage(rows, specs.INTERFACE), specs.INTERFACE, snapshots, cut_lineage), None, specs.INTERFACE, cut=cut_lineage)
     return out.select("id", "ref", "device_ref", "edge", "peer_as_ref", "flow_index", F.array_join("circuit_ref", ",", "-").alias("circuit_refs"),
                       "port_interface_ref", F.array_join("lag_member_interface_ref", ",", "-").alias("lag_refs"))
 

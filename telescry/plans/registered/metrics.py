@@ -137,14 +137,14 @@ def h8(spark, sf_dir):
 
 @registered("h9_address_index", """
 WITH r AS (SELECT DISTINCT l_suppkey % 256 AS a, l_linenumber AS b, l_linenumber % 4 AS kind FROM lineitem)
-SELECT DISTINCT CASE kind WHEN 0 THEN '1.4.198.128.' || a || '.' || b WHEN 1 THEN '2.16.32.1.4.0.230.0.80.' || a || '.0.0.0.0.0.0.0.' || b
-  WHEN 2 THEN '3.4.198.128.' || a || '.' || b ELSE '1.4.10.' || a END AS raw_index,
-  CASE kind WHEN 0 THEN '198.128.' || a || '.' || b WHEN 1 THEN '2001:0400:e600:50' || lpad(lower(hex(a)), 2, '0') || ':0000:0000:0000:000' || b END AS address
+SELECT DISTINCT CASE kind WHEN 0 THEN '1.4.198.18.' || a || '.' || b WHEN 1 THEN '2.16.32.1.13.184.0.7.0.' || a || '.0.0.0.0.0.0.0.' || b
+  WHEN 2 THEN '3.4.198.18.' || a || '.' || b ELSE '1.4.10.' || a END AS raw_index,
+  CASE kind WHEN 0 THEN '198.18.' || a || '.' || b WHEN 1 THEN '2001:0db8:0007:00' || lpad(lower(hex(a)), 2, '0') || ':0000:0000:0000:000' || b END AS address
 FROM r""")
 def h9(spark, sf_dir):
-    raw = F.expr("""CASE l_linenumber % 4 WHEN 0 THEN concat('1.4.198.128.', l_suppkey % 256, '.', l_linenumber)
-      WHEN 1 THEN concat('2.16.32.1.4.0.230.0.80.', l_suppkey % 256, '.0.0.0.0.0.0.0.', l_linenumber)
-      WHEN 2 THEN concat('3.4.198.128.', l_suppkey % 256, '.', l_linenumber) ELSE concat('1.4.10.', l_suppkey % 256) END""")
+    raw = F.expr("""CASE l_linenumber % 4 WHEN 0 THEN concat('1.4.198.18.', l_suppkey % 256, '.', l_linenumber)
+      WHEN 1 THEN concat('2.16.32.1.13.184.0.7.0.', l_suppkey % 256, '.0.0.0.0.0.0.0.', l_linenumber)
+      WHEN 2 THEN concat('3.4.198.18.', l_suppkey % 256, '.', l_linenumber) ELSE concat('1.4.10.', l_suppkey % 256) END""")
     return metrics.address_index_dim(table(spark, sf_dir, "lineitem").select(raw.alias("raw")), "raw")
 
 

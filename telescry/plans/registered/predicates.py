@@ -48,6 +48,19 @@ def a2(spark, sf_dir):
     return raw_archive(_messages(spark, sf_dir))
 
 
+_LONG = "1234567890123456789012345678901234567890"
+
+
+@registered("a2_number_tokens", f"""
+SELECT event_id AS "offset", '{{"a":' || event_id || '.0,"b":{{"x":[{_LONG},-0.50,true,null],"y":1e3}},"c":"é"}}' AS value FROM events""")
+def a2_numbers(spark, sf_dir):
+    """Numbers keep their text; keys are sorted at every level."""
+    ev = table(spark, sf_dir, "events")
+    value = F.concat(F.lit('{ "c": "é", "b": {"y": 1e3, "x": [' + _LONG + ', -0.50, true, null]}, "a": '), F.col("event_id").cast("string"), F.lit(".0}"))
+    raw = ev.select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"), F.lit(None).cast("string").alias("key"), value.alias("value"))
+    return raw_archive(raw).select("offset", "value")
+
+
 @registered("a8_job_rows", """
 SELECT o_custkey::VARCHAR AS compute_resource_id, 'q' || o_orderkey AS jobid, o_orderpriority AS queue FROM orders
 UNION ALL

@@ -61,7 +61,7 @@ def e1_1d(spark, sf_dir):
 
 @registered("e2_rollup_interface", f"""
 WITH {FLOW_CTE}
-SELECT CAST(epoch(start_time) AS BIGINT) AS start_epoch, 'unknown' AS policy_originator, 'tlp:green' AS policy_level, 'comm:re' AS policy_scope, device_id, device_ref,
+SELECT CAST(epoch(start_time) AS BIGINT) // 86400 * 86400 AS start_epoch, 'unknown' AS policy_originator, 'tlp:green' AS policy_level, 'comm:re' AS policy_scope, device_id, device_ref,
   in_id AS in_interface_id, in_ref AS in_interface_ref, in_edge AS in_interface_edge, out_id AS out_interface_id, out_ref AS out_interface_ref, out_edge AS out_interface_edge,
   count(*) AS flow_count, CAST(sum(bit_count) AS BIGINT) AS bit_count, CAST(sum(packet_count) AS BIGINT) AS packet_count
 FROM enriched WHERE in_ref IS NOT NULL AND out_ref IS NOT NULL GROUP BY ALL""")
@@ -196,9 +196,8 @@ def k3(spark, sf_dir):
     out = shared_dir(spark, "rollup")
     schema = table(spark, sf_dir, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    sink = rollup_sink(rollup.IP_VERSION, "1h", f"{out}/table")
-    run_stream(as_version_flows(stream), sink, f"{out}/checkpoint", interval=None).awaitTermination()
-    return _epoch(read_rollup(spark, f"{out}/table", rollup.IP_VERSION))
+    run_stream(as_version_flows(stream), rollup_sink(rollup.IP_VERSION, "1h", out), f"{out}/checkpoint", interval=None).awaitTermination()
+    return _epoch(read_rollup(spark, out, rollup.IP_VERSION, "1h"))
 
 
 @registered("e8_distinct_ranges", """

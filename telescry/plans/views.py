@@ -49,7 +49,7 @@ def flows_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(f"l_orderkey % {PORTS}").alias("port_src"),
         text(f"l_partkey % {PORTS}").alias("port_dst"),
         F.expr(PROTO_SQL).alias("ip_proto"),
-        F.concat(F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).cast("string"), F.lit(".0")).alias("timestamp_start"),
+        F.concat((F.unix_timestamp(F.col("l_shipdate").cast("timestamp")) + F.expr("l_orderkey * 37 % 86400")).cast("string"), F.lit(".0")).alias("timestamp_start"),
         F.lit(None).cast("string").alias("timestamp_end"),
         text("CAST(l_quantity AS BIGINT) * 100").alias("bytes"),
         text("l_linenumber").alias("packets"),
@@ -167,7 +167,7 @@ def as_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
 FLOW_CTE = f"""
 wire AS (
   SELECT {SRC_SQL} AS src, {DST_SQL} AS dst, l_orderkey % {PORTS} AS sport, l_partkey % {PORTS} AS dport,
-         {PROTO_SQL} AS protocol, l_shipdate AS start_time, (CAST(l_quantity AS BIGINT) * 100) * 8 AS bit_count,
+         {PROTO_SQL} AS protocol, l_shipdate + to_seconds(l_orderkey * 37 % 86400) AS start_time, (CAST(l_quantity AS BIGINT) * 100) * 8 AS bit_count,
          l_linenumber AS packet_count, l_linestatus AS collector_id,
          CASE l_returnflag WHEN 'A' THEN 'netflow' WHEN 'R' THEN 'sflow' ELSE 'unknown' END AS flow_type,
          CASE l_suppkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE l_suppkey END AS as_src,
@@ -264,7 +264,7 @@ snmp_queue:
     - {type: field, format: short_hostname, path: [tags, device]}
     - type: field
       format: regex
-      format_opts: {pattern: '\d+\.(?P<value>\d+)\.(?P<queue_num>\d+)'}
+      format_opts: {pattern: '[0-9]+[.](?P<value>[0-9]+)[.](?P<queue_num>[0-9]+)'}
       lookup: ifindex_to_ifname
       path: [tags, oidIndex]
   resource_ref: meta_interface

@@ -22,6 +22,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows can be long texts: a Python task holds one batch at a time
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -52,10 +54,12 @@ def local_session(cores: str = "8", app: str = "telescry", memory: str = "16g")
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) a temporary folder of this machine is used.
+    Only where that setting is absent and all tasks run on this machine (tests, a laptop) a temporary folder is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="telescry-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from telescry.entities import specs
 from telescry.operators.flows import FLOW_COLUMNS
 from telescry.operators.metrics import INTERFACE_FIELDS, TRAFFIC_KEYS
+from telescry.operators.rollup import COUNTERS, RollupKind
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,15 @@ MESSAGE_TABLE = TableSpec("data_kafka_message", ("topic", "partition", "offset",
 METRIC_COLUMNS = ("observation_time", "collector_id", "policy_originator", "policy_level", "policy_scope", "ext", "id", "ref",
                   "metric_name", "metric_value")
 ROLLUP_KEEP_DAYS = 5 * 365
+METRIC_KEEP_DAYS = 180
+
+
+def rollup_table(kind: RollupKind, window: str) -> TableSpec:
+    return TableSpec(kind.table(window), ("start_time", *kind.keys, *COUNTERS), "start_time", (), ROLLUP_KEEP_DAYS)
+
+
+def metric_table(kind: str) -> TableSpec:
+    return TableSpec(f"metrics_{kind}", METRIC_COLUMNS, "observation_time", (), METRIC_KEEP_DAYS)
 
 
 def metadata_table(spec: specs.EntitySpec) -> TableSpec:
@@ -40,42 +50,55 @@ def metadata_table(spec: specs.EntitySpec) -> TableSpec:
     return TableSpec(spec.table, (*head, *spec.content, "insert_time"), None, spec.sort_key)
 
 
-def declared(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Declared column order; a missing column fails the analysis."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+@dataclass(frozen=True)
+class Batch:
+    """Who writes: a stream's id, which its checkpoint keeps, and the number of its micro-batch."""
 
+    writer: str
+    number: int
 
-def append_table(df: DataFrame, table: TableSpec, base: str, batch_id: int | None = None) -> None:
-    """Append, by day and clustered within the files.
 
-    With ``batch_id`` the rows go to a partition of their own which a repeated batch overwrites.
-    """
+#: Batch jobs append to one partition; a stream's batch has a partition of its own, which a repeat overwrites.
+JOB = Batch("job", 0)
+
+
+def declared(df: DataFrame, columns: Sequence[str], types: Mapping[str, str] | None = None) -> DataFrame:
+    """Declared column order and types; a missing column fails the analysis."""
+    types = types or {}
+    return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in columns])
+
+
+def _write(df: DataFrame, path: str, parts: Sequence[str], sort: Sequence[str], batch: Batch) -> None:
+    """One layout for every table: its own partitions, then writer and batch, so that any two writers fit together."""
+    out = df.withColumn("writer", F.lit(batch.writer)).withColumn("batch_id", F.lit(batch.number).cast("bigint"))
+    if sort:
+        out = out.sortWithinPartitions(*parts, *sort)
+    writer = out.write.mode("append" if batch == JOB else "overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*parts, "writer", "batch_id").parquet(path)
+
+
+def append_table(df: DataFrame, table: TableSpec, base: str, batch: Batch = JOB) -> None:
+    """Append, by day and clustered within the files."""
     out = declared(df, table.columns)
-    parts = []
     if table.time_column:
         out = out.withColumn("dt", F.to_date(table.time_column))
-        parts.append("dt")
-    if batch_id is not None:
-        out = out.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        parts.append("batch_id")
-    sort = [*parts[:1], *[c for c in table.sort_key if c in out.columns]]
-    if sort:
-        out = out.sortWithinPartitions(*sort)
-    mode = "append" if batch_id is None else "overwrite"
-    writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    (writer.partitionBy(*parts) if parts else writer).parquet(f"{base}/{table.name}")
+    _write(out, f"{base}/{table.name}", ["dt"] if table.time_column else [], [c for c in table.sort_key if c in out.columns], batch)
 
 
-def write_demux(df: DataFrame, base: str, target: str = "target_table", time_column: str = "observation_time",
-                sort_key: Sequence[str] = ("metric_name", "id", "observation_time"), batch_id: int | None = None) -> None:
-    """Rows to the table named in ``target``, all of them in one write below ``base``."""
-    out = df.withColumn("dt", F.to_date(time_column))
-    parts = [target, "dt"]
-    if batch_id is not None:
-        out = out.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        parts.append("batch_id")
-    mode = "append" if batch_id is None else "overwrite"
-    out.sortWithinPartitions(target, *sort_key).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(base)
+_ASIDE = ".replacing"
+
+#: One schema per kind of metric, whoever writes it.
+METRIC_TYPES = {
+    "counter": {"metric_value": "decimal(21,0)"},
+    "gauge": {"metric_value": "double"},
+}
+
+
+def write_demux(df: DataFrame, base: str, kind: str, target: str = "target_table", time_column: str = "observation_time",
+                sort_key: Sequence[str] = ("metric_name", "id", "observation_time"), batch: Batch = JOB) -> None:
+    """Rows to the table named in ``target``, all of them in one write below ``base``, with the kind's schema."""
+    out = declared(df, (target, *METRIC_COLUMNS), METRIC_TYPES[kind]).withColumn("dt", F.to_date(time_column))
+    _write(out, f"{base}/metrics_{kind}", [target, "dt"], sort_key, batch)
 
 
 def read_table(spark: SparkSession, base: str, name: str, schema: str | None = None) -> DataFrame | None:
@@ -98,38 +121,97 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(target))
 
 
+def _found(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a pattern."""
+    fs, target = _filesystem(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(target) or [] if status.isDirectory())
+
+
+def read_batch(spark: SparkSession, table: TableSpec, base: str, batch: Batch) -> DataFrame | None:
+    """The rows that one batch wrote, from its own folders; None if it wrote none."""
+    days = "dt=*/" if table.time_column else ""
+    paths = _found(spark, f"{base}/{table.name}/{days}writer={batch.writer}/batch_id={batch.number}")
+    return spark.read.option("basePath", f"{base}/{table.name}").parquet(*paths) if paths else None
+
+
 def cutoff_day(as_of: datetime, keep_days: int) -> date:
     return (as_of - timedelta(days=keep_days)).date()
 
 
 def apply_retention(spark: SparkSession, table: TableSpec, base: str, as_of: datetime) -> list[str]:
-    """Drop whole day partitions that ended before the cut-off; returns their names."""
-    if table.keep_days is None or not path_exists(spark, f"{base}/{table.name}"):
+    """Drop whole day partitions that ended before the cut-off; returns their days.
+
+    Days stand at the root of a table or, in demultiplexed ones, below the target's folder.
+    """
+    if table.keep_days is None:
         return []
-    fs, root = _filesystem(spark, f"{base}/{table.name}")
-    limit = cutoff_day(as_of, table.keep_days).isoformat()
-    dropped = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("dt=") and name[3:] < limit:
-            fs.delete(status.getPath(), True)
-            dropped.append(name)
+    limit, dropped = cutoff_day(as_of, table.keep_days).isoformat(), set()
+    for pattern in ("dt=*", "*=*/dt=*"):
+        for path in _found(spark, f"{base}/{table.name}/{pattern}"):
+            day = path.rsplit("/", 1)[1]
+            if day[3:] < limit:
+                fs, target = _filesystem(spark, path)
+                fs.delete(target, True)
+                dropped.add(day)
     return sorted(dropped)
 
 
 def retained(df: DataFrame, time_column: str, keep_days: int, as_of) -> DataFrame:
-    """J3 on the read path: rows of days that are still kept (prunes ``dt`` partitions when present)."""
+    """J3 on the read path: rows of days that are still kept; the raw column is compared, so the filter reaches the files."""
     limit = F.date_sub(F.to_date(as_of), keep_days)
-    kept = df.filter(F.to_date(time_column) >= limit)
+    kept = df.filter(F.col(time_column) >= limit.cast(df.schema[time_column].dataType))
     return kept.filter(F.col("dt") >= limit) if "dt" in df.columns else kept
 
 
-def write_kv(rows: DataFrame, base: str, name: str = "kv", batch_id: int | None = None) -> None:
+def write_kv(rows: DataFrame, base: str, name: str = "kv", batch: Batch = JOB) -> None:
     """Append entries; the newest per key is what ``kv_view`` reads."""
-    out = rows if batch_id is None else rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    writer = out.write.mode("append" if batch_id is None else "overwrite").option("partitionOverwriteMode", "dynamic")
-    parts = ["table"] if batch_id is None else ["table", "batch_id"]
-    writer.partitionBy(*parts).parquet(f"{base}/{name}")
+    _write(rows, f"{base}/{name}", ["table"], (), batch)
+
+
+def compact_kv(spark: SparkSession, view: DataFrame, base: str, name: str, generation: int) -> None:
+    """Replace all entries written so far by ``view``, their newest live ones.
+
+    The view goes to a writer of its own before the folders that it was made from are deleted; until then both are
+    read, which does not change the newest entry of a key.
+    """
+    old = _found(spark, f"{base}/{name}/table=*/writer=*/batch_id=*")
+    batch = Batch("compact", generation)
+    if any(p.endswith(f"writer={batch.writer}/batch_id={batch.number}") for p in old):
+        raise ValueError(f"generation {generation} has been written")
+    write_kv(view, base, name, batch)
+    for path in old:
+        fs, target = _filesystem(spark, path)
+        fs.delete(target, True)
+
+
+def batch_folders(spark: SparkSession, table: TableSpec, base: str, before: date) -> list[str]:
+    """What has been written so far for days before ``before``: one folder per day, writer and batch."""
+    return [p for p in _found(spark, f"{base}/{table.name}/dt=*/writer=*/batch_id=*") if p.split("/dt=", 1)[1][:10] < before.isoformat()]
+
+
+def replace_folders(spark: SparkSession, rows: DataFrame, table: TableSpec, base: str, old: Sequence[str], generation: int) -> None:
+    """Replace the folders ``old`` by ``rows``, in steps that another run can finish; what came later stays."""
+    aside = f"{base}/{table.name}{_ASIDE}"
+    spark.createDataFrame([(p,) for p in old], "value string").write.mode("overwrite").text(f"{aside}/_old")  # one line per folder
+    out = declared(rows, table.columns).withColumn("dt", F.to_date(table.time_column))
+    _write(out, f"{aside}/rows", ["dt"], (), Batch("compact", generation))  # Spark marks a complete write with _SUCCESS
+    finish_replacement(spark, table, base)
+
+
+def finish_replacement(spark: SparkSession, table: TableSpec, base: str) -> None:
+    """Put a complete write aside in the place of the folders it stands for; an incomplete one is dropped."""
+    aside = f"{base}/{table.name}{_ASIDE}"
+    fs, target = _filesystem(spark, aside)
+    if not fs.exists(target):
+        return
+    if path_exists(spark, f"{aside}/rows/_SUCCESS"):
+        for row in spark.read.text(f"{aside}/_old").collect():
+            fs.delete(_filesystem(spark, row.value)[1], True)
+        for path in _found(spark, f"{aside}/rows/dt=*/writer=*/batch_id=*"):
+            place = _filesystem(spark, f"{base}/{table.name}/{path.split('/rows/', 1)[1]}")[1]
+            fs.mkdirs(place.getParent())
+            fs.rename(_filesystem(spark, path)[1], place)
+    fs.delete(target, True)
 
 
 def index_file_name(spec_text: str, simple: bool = True) -> str:

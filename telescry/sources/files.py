@@ -6,17 +6,22 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telescry.operators.keyed import hash_view
 from telescry.operators.snapshot import LookupSpec, lookup_rows
 
 
+def _place() -> Column:
+    """Order of rows by file name, then by place in the file; the row number alone follows the files' sizes."""
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+
+
 def read_json_docs(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
     """A3: one JSON document (or array of records) per file; files that vanish are skipped."""
     reader = spark.read.schema(schema).option("multiLine", True).option("ignoreMissingFiles", True)
-    return reader.json(list(paths) if not isinstance(paths, str) else paths).withColumn("_pos", F.monotonically_increasing_id())
+    return reader.json(list(paths) if not isinstance(paths, str) else paths).withColumn("_pos", _place())
 
 
 def _table_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,7 +70,7 @@ def read_csv(spark: SparkSession, paths: Sequence[str], columns: str) -> DataFra
         raw = spark.read.option("header", True).option("ignoreMissingFiles", True).csv(path)
         have = set(raw.columns)
         part = raw.select(
-            F.struct(F.lit(i).alias("file"), F.monotonically_increasing_id().alias("line")).alias("pos"),
+            F.struct(F.lit(i).alias("file"), _place().alias("line")).alias("pos"),
             *[(F.col(n) if n in have else F.lit(None).cast("string")).alias(n) for n in names])
         out = part if out is None else out.unionByName(part)
     if out is None:
@@ -78,7 +83,7 @@ AS_REGISTRY = "type string, asn string, organizationId string, name string, coun
 
 def read_as_registry(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines, also gzip; blank lines are skipped."""
-    return spark.read.schema(AS_REGISTRY).json(path).withColumn("pos", F.monotonically_increasing_id())
+    return spark.read.schema(AS_REGISTRY).json(path).withColumn("pos", _place())
 
 
 _NET_ORG = "id:bigint, name:string, country:string, city:string, state:string, latitude:string, longitude:string"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telescry.functions.text import canonical_json, parsed_once, truthy
+from telescry.functions.text import parsed_once, sorted_json, truthy
 
 MESSAGE_SCHEMA = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 META = ("topic", "partition", "offset", "timestamp", "key")
@@ -40,10 +40,16 @@ def parse_messages(raw: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
 
 
 def raw_archive(raw: DataFrame) -> DataFrame:
-    """A2: topic, partition, offset, key and the value as key-sorted JSON."""
-    return raw.filter(F.try_parse_json("value").isNotNull()).select(
+    """A2: topic, partition, offset, key and the value as key-sorted JSON, numbers as they were written."""
+    rows = raw.select(
         F.coalesce("topic", F.lit("")).alias("topic"), F.coalesce("partition", F.lit(0)).alias("partition"),
-        F.coalesce("offset", F.lit(0)).cast("bigint").alias("offset"), "key", canonical_json(F.col("value")).alias("value"))
+        F.coalesce("offset", F.lit(0)).cast("bigint").alias("offset"), "key", sorted_json(F.col("value")).alias("value"))
+    return rows.filter(F.col("value").isNotNull())
+
+
+def not_json(raw: DataFrame) -> DataFrame:
+    """The messages that the archive cannot hold."""
+    return raw.withColumn("_json", sorted_json(F.col("value"))).filter(F.col("value").isNotNull() & F.col("_json").isNull()).select("topic", "partition", "offset", F.lit("value is not JSON").alias("error"))
 
 
 def read_payloads(spark: SparkSession, path: str, data_schema: str) -> DataFrame:

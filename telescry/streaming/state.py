@@ -9,24 +9,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT_SCHEMA = "table string, key string, field string, value string, updates bigint"
-STATE_SCHEMA = "value string, updates bigint"
+STATE_SCHEMA = "value string, updates bigint, at double, seq bigint"
 
 
 def _latest_value(ttl_ms: int) -> Callable:
-    """Update function of one ``(table, key, field)``: the last value wins, every update restarts the clock."""
+    """Update function of one ``(table, key, field)``: the newest value by message time wins, every update restarts the clock."""
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        value, updates = state.get if state.exists else (None, 0)
+        value, updates, at, seq = state.get if state.exists else (None, 0, float("-inf"), -(1 << 62))
         changed = False
         for batch in batches:
-            values = batch["value"].dropna()
-            if len(values):
-                value, updates, changed = values.iloc[-1], updates + len(values), True
+            rows = batch.dropna(subset=["value"])
+            for text, stamp, number in zip(rows["value"], rows["at"], rows["seq"], strict=True):
+                place = (stamp.timestamp() if not pd.isna(stamp) else float("-inf"), int(number))
+                if value is None or place >= (at, seq):
+                    value, (at, seq) = text, place
+            updates, changed = updates + len(rows), changed or len(rows) > 0
         if changed:
-            state.update((value, updates))
+            state.update((value, updates, at, seq))
             state.setTimeoutDuration(ttl_ms)
             yield pd.DataFrame([(*key, value, updates)], columns=["table", "key", "field", "value", "updates"])
 
@@ -34,10 +37,10 @@ def _latest_value(ttl_ms: int) -> Callable:
 
 
 def keyed_state(stream: DataFrame, ttl_s: int) -> DataFrame:
-    """Stream of ``table, key, field, value`` -> changed fields with the number of updates while alive.
+    """Stream of ``table, key, field, value, at, seq`` -> changed fields with the number of updates while alive.
 
-    State is kept per field, so an entry with many fields is spread over tasks and each field expires by
-    itself.
+    ``at`` and ``seq`` are a message's time and offset; the order in which rows reach a task does not count.  State is
+    kept per field, so an entry with many fields is spread over tasks and each field expires by itself.
     """
     return stream.groupBy("table", "key", "field").applyInPandasWithState(
         _latest_value(ttl_s * 1000), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.ProcessingTimeTimeout)

@@ -1,4 +1,4 @@
-"""Pipelines end to end on small files, written the way their sources look."""
+"""Jobs end to end on small files, written the way their sources look."""
 
 import gzip
 import json
@@ -20,50 +20,50 @@ FILES = {
     "organization.yml": """
 table: meta_organization
 data:
-  - {id: ucla, name: UCLA, type: [university], latitude: "34.07", longitude: west}
+  - {id: college, name: North College, type: [school, library], latitude: "51.5", longitude: west}
 """,
     "as.yml": """
 table: meta_as
 data:
-  - {id: "67890", name: "67890:UCLA", organization_id: ucla}
+  - {id: "64501", name: "Campus", organization_id: college}
 """,
     "device.yml": """
 table: meta_device
 data:
-  - {id: losa-cr6, type: router, loopback_ip: ["10.1.1.1", "10.1.1.2"]}
-  - {id: sfo-cr1, type: router, loopback_ip: '["10.2.1.1"]'}
+  - {id: hub-1, type: router, loopback_ip: ["192.0.2.1", "192.0.2.2"]}
+  - {id: rim-2, type: router, loopback_ip: '["192.0.2.9"]'}
   - {id: no-type}
 """,
     "circuit.yml": """
 table: meta_circuit
 data:
-  - {id: losa-sfo-1553, type: path, endpoint_type: [device, device], endpoint_id: [losa-cr6, sfo-cr1], parent_circuit_id: parent}
+  - {id: span-9, type: path, endpoint_type: [device, device], endpoint_id: [hub-1, rim-2], parent_circuit_id: parent}
   - {id: parent, endpoint_type: [device, device], endpoint_id: [a, b]}
 """,
     "interface.yml": """
 table: meta_interface
 data:
-  - id: losa-cr6::losa_se-1553
+  - id: hub-1::customer-4
     type: service_l3vpn
-    device_id: losa-cr6
+    device_id: hub-1
     edge: true
-    flow_index: 12356
-    name: losa_se-1553
+    flow_index: 410
+    name: customer-4
     speed: 1000
-    circuit_id: [losa-sfo-1553, missing]
-    peer_as_id: 67890
-    port_interface_id: losa-cr6::ae1553
-    remote_interface_id: sfo-cr1::sfo_se-1553
-    remote_organization_id: ucla
-  - {id: "losa-cr6::ae1553", type: port, device_id: losa-cr6, edge: true, flow_index: "12357", name: ae1553}
-  - {id: "sfo-cr1::sfo_se-1553", type: port, device_id: sfo-cr1, edge: 0, flow_index: 7, name: se, lag_member_interface_id: '["losa-cr6::ae1553", "gone"]'}
+    circuit_id: [span-9, missing]
+    peer_as_id: 64501
+    port_interface_id: hub-1::trunk-3
+    remote_interface_id: rim-2::uplink-8
+    remote_organization_id: college
+  - {id: "hub-1::trunk-3", type: port, device_id: hub-1, edge: true, flow_index: "411", name: trunk-3}
+  - {id: "rim-2::uplink-8", type: port, device_id: rim-2, edge: 0, flow_index: 7, name: se, lag_member_interface_id: '["hub-1::trunk-3", "gone"]'}
 """,
     "ip.yml": """
 table: meta_ip
 data:
-  - {id: block4, ip_subnet: [["164.67.0.0", 16], ["128.97.0.0", 16], ["bad"]], as_id: 67890}
-  - {id: block6, ip_subnet: [["2607:f010::", 32]], as_id: 67890, ext: {b: 1, a: 2}, tag: [edu]}
-  - {id: inner, ip_subnet: [["164.67.1.0", 24]], as_id: 5}
+  - {id: block4, ip_subnet: [["198.18.0.0", 16], ["198.19.0.0", 16], ["bad"]], as_id: 64501}
+  - {id: block6, ip_subnet: [["2001:db8::", 32]], as_id: 64501, ext: {b: 1, a: 2}, tag: [edu]}
+  - {id: inner, ip_subnet: [["198.18.1.0", 24]], as_id: 5}
 """,
     "application.yml": """
 table: meta_application
@@ -99,22 +99,22 @@ def row(spark, base, table, **where):
 
 
 def test_metadata_files_resolve_references(spark, base):
-    i = row(spark, base, "meta_interface", id="losa-cr6::losa_se-1553")
-    assert (i.ref, i.device_ref, i.peer_as_ref, i.edge, i.flow_index) == ("losa-cr6::losa_se-1553__v1", "losa-cr6__v1", "67890__v1", True, 12356)
-    assert i.circuit_ref == ["losa-sfo-1553__v1", None]
-    assert (i.port_interface_ref, i.remote_interface_ref) == ("losa-cr6::ae1553__v1", "sfo-cr1::sfo_se-1553__v1")
-    assert i.remote_organization_ref == "ucla__v1"
-    lag = row(spark, base, "meta_interface", id="sfo-cr1::sfo_se-1553")
-    assert lag.lag_member_interface_ref == ["losa-cr6::ae1553__v1", None] and lag.edge is False
-    c = row(spark, base, "meta_circuit", id="losa-sfo-1553")
+    i = row(spark, base, "meta_interface", id="hub-1::customer-4")
+    assert (i.ref, i.device_ref, i.peer_as_ref, i.edge, i.flow_index) == ("hub-1::customer-4__v1", "hub-1__v1", "64501__v1", True, 410)
+    assert i.circuit_ref == ["span-9__v1", None]
+    assert (i.port_interface_ref, i.remote_interface_ref) == ("hub-1::trunk-3__v1", "rim-2::uplink-8__v1")
+    assert i.remote_organization_ref == "college__v1"
+    lag = row(spark, base, "meta_interface", id="rim-2::uplink-8")
+    assert lag.lag_member_interface_ref == ["hub-1::trunk-3__v1", None] and lag.edge is False
+    c = row(spark, base, "meta_circuit", id="span-9")
     assert c.parent_circuit_ref == "parent__v1"
-    o = row(spark, base, "meta_organization", id="ucla")
-    assert (o.latitude, o.longitude, o.type) == (34.07, None, ["university"])
+    o = row(spark, base, "meta_organization", id="college")
+    assert (o.latitude, o.longitude, o.type) == (51.5, None, ["school", "library"])
     ip = row(spark, base, "meta_ip", id="block4")
-    assert [(s.ip, s.len) for s in ip.ip_subnet] == [("164.67.0.0", 16), ("128.97.0.0", 16)] and ip.as_ref == "67890__v1"
+    assert [(s.ip, s.len) for s in ip.ip_subnet] == [("198.18.0.0", 16), ("198.19.0.0", 16)] and ip.as_ref == "64501__v1"
     assert row(spark, base, "meta_ip", id="block6").ext == '{"a":2,"b":1}'
     assert spark.read.parquet(f"{base}/meta_device").count() == 2
-    assert row(spark, base, "meta_as", id=67890).organization_ref == "ucla__v1"
+    assert row(spark, base, "meta_as", id=64501).organization_ref == "college__v1"
 
 
 def test_second_load_appends_nothing_and_a_change_appends_one(spark, base, tmp_path):
@@ -124,9 +124,9 @@ def test_second_load_appends_nothing_and_a_change_appends_one(spark, base, tmp_p
         (tmp_path / name).write_text(body)
     jobs.metadata_files(spark, str(tmp_path / "*.yml"), base, stamp(2))
     assert counts() == before
-    (tmp_path / "organization.yml").write_text(FILES["organization.yml"].replace("UCLA,", "U C L A,"))
+    (tmp_path / "organization.yml").write_text(FILES["organization.yml"].replace("North College,", "College,"))
     jobs.metadata_files(spark, str(tmp_path / "organization.yml"), base, stamp(3))
-    assert spark.read.parquet(f"{base}/meta_organization").filter("ref = 'ucla__v2'").count() == 1
+    assert spark.read.parquet(f"{base}/meta_organization").filter("ref = 'college__v2'").count() == 1
 
 
 def kafka_rows(spark, values, path):
@@ -134,8 +134,8 @@ def kafka_rows(spark, values, path):
     spark.createDataFrame(rows, messages.MESSAGE_SCHEMA).write.mode("append").json(path)
 
 
-FLOW = {"ip_src": "164.67.1.9", "ip_dst": "2607:f010::1", "port_src": 80, "port_dst": 5000, "ip_proto": "tcp", "timestamp_start": "1609459200.0",
-        "timestamp_end": "1609459260.0", "bytes": 1024, "packets": 10, "writer_id": "nfacctd", "peer_ip_src": "10.1.1.2", "iface_in": 12356,
+FLOW = {"ip_src": "198.18.1.9", "ip_dst": "2001:db8::1", "port_src": 80, "port_dst": 5000, "ip_proto": "tcp", "timestamp_start": "1609459200.0",
+        "timestamp_end": "1609459260.0", "bytes": 1024, "packets": 10, "writer_id": "nfacctd", "peer_ip_src": "192.0.2.2", "iface_in": 410,
         "iface_out": "99", "as_src": 0, "as_dst": 65002, "as_path": "65001_65001_65002", "tos": "64", "mpls_vpn_rd": "65000:100"}
 
 
@@ -149,12 +149,12 @@ def test_flow_stream(spark, base, tmp_path):
         spark, messages.read_messages(spark, True, "json", path=src), base, str(tmp_path / "cp"), cfg, {"edge_as": ["5m"], "ip_version": ["1h"]}, None)
     stream().awaitTermination()
     flows = spark.read.parquet(f"{base}/data_flow")
-    f = flows.filter("src_ip = '164.67.1.9'").first()
+    f = flows.filter("src_ip = '198.18.1.9'").first()
     assert (f.start_time, f.end_time) == (datetime(2021, 1, 1), datetime(2021, 1, 1, 0, 1))
     assert (f.flow_type, f.bit_count, f.packet_count, f.src_ip_ref, f.src_as_id, f.dst_ip_ref, f.dst_as_id) == (
         "netflow", 8192, 10, "inner__v1", 5, "block6__v1", 65002)
     assert (f.device_id, f.device_ref, f.in_interface_id, f.in_interface_edge, f.out_interface_id, f.out_interface_edge) == (
-        "losa-cr6", "losa-cr6__v1", "losa-cr6::losa_se-1553", True, None, False)
+        "hub-1", "hub-1__v1", "hub-1::customer-4", True, None, False)
     assert (f.application_port, f.ip_version, f.policy_scope) == (80, 4, ["as:5", "as:65002", "comm:community1"])
     ext = json.loads(f.ext)
     assert ext == {"bgp_as_path_id": [65001, 65002], "bgp_as_path_padding": [1, 2], "ipv4_tos": 64, "ipv4_dscp": 16, "mpls_vpn_rd": "65000:100"}
@@ -165,13 +165,13 @@ def test_flow_stream(spark, base, tmp_path):
     # a second batch adds to the same bucket, however late it is
     kafka_rows(spark, [json.dumps(FLOW)], src)
     stream().awaitTermination()
-    edge = read_rollup(spark, f"{base}/data_flow_by_edge_as_5m", rollup.EDGE_AS).collect()
+    edge = read_rollup(spark, base, rollup.EDGE_AS, "5m").collect()
     assert len(edge) == 2 and {(r.application_id, r.flow_count, r.bit_count) for r in edge} == {(None, 2, 16384), (None, 1, 8192)}
-    version = read_rollup(spark, f"{base}/data_flow_by_ip_version_1h", rollup.IP_VERSION).collect()
+    version = read_rollup(spark, base, rollup.IP_VERSION, "1h").collect()
     assert [(r.ip_version, r.flow_count, r.policy_level, r.policy_scope) for r in version] == [(4, 3, "tlp:green", ["comm:re"])]
     # a repeated batch replaces its own rows
     jobs.flow_batch(spark, base, cfg, {"ip_version": ["1h"]})(
-        messages.read_messages(spark, False, "json", path=src).filter(F.col("value").contains("8.8.8.8")), 0)
+        messages.read_messages(spark, False, "json", path=src).filter(F.col("value").contains("8.8.8.8")), sinks.Batch(flows.filter("batch_id = 0").first().writer, 0))
     assert spark.read.parquet(f"{base}/data_flow").filter("batch_id = 0").count() == 1
     dropped = sinks.apply_retention(spark, sinks.FLOW_TABLE, base, datetime(2021, 3, 1))
     assert dropped == ["dt=2021-01-01"]
@@ -228,7 +228,7 @@ def test_registry_and_geo(spark, tmp_path):
     assert ips["1.0.0.0/7"].as_id is None and ips["2001:db8:1::/48"].as_id == 100 and ips["9.9.9.0/24"].as_id == 5
 
 
-UUID = "12345678-1234-1234-1234-1234567890ab"
+UUID = "12345678-1234-1234-1234-1234564501ab"
 
 
 def payload(tmp_path, name, rows):
@@ -276,10 +276,10 @@ def test_status_and_jobs(spark, tmp_path):
 def test_address_sources(spark, tmp_path):
     base = str(tmp_path / "base")
     venue = tmp_path / "venue.json"
-    venue.write_text(json.dumps([{"addresses": ["10.0.0.0/8", "10.1.1.1", "nonsense"], "org_name": "o", "resource_name": "booth", "latitude": "1.5"}]))
+    venue.write_text(json.dumps([{"addresses": ["10.0.0.0/8", "192.0.2.1", "nonsense"], "org_name": "o", "resource_name": "booth", "latitude": "1.5"}]))
     jobs.event_venue_job(spark, str(venue), base, stamp(1))
     v = row(spark, base, "meta_ip_scinet", id="booth")
-    assert [(s.ip, s.len) for s in v.ip_subnet] == [("10.0.0.0", 8), ("10.1.1.1", 32)] and v.coordinate_x == 1.5
+    assert [(s.ip, s.len) for s in v.ip_subnet] == [("10.0.0.0", 8), ("192.0.2.1", 32)] and v.coordinate_x == 1.5
     science = tmp_path / "science.json"
     science.write_text(json.dumps([{"scireg_id": "5", "addresses": ["2001:db8::1"], "org_name": "o", "latitude": "north"}]))
     jobs.science_registry_job(spark, str(science), base, stamp(1))
@@ -288,7 +288,7 @@ def test_address_sources(spark, tmp_path):
     grid = payload(tmp_path, "grid.json", [{"url": "https://grid.example.org/api", "status_code": 200, "data": {
         "SITE": {"country": "CH", "latitude": 46.2, "rc_tier_level": 0, "netroutes": {"r1": {"netsite": "n", "networks": {"ipv4": ["10.0.0.0/8", "x"], "ipv6": ["2001:db8::/32"]}}, "r2": {"networks": {}}}}}}])
     jobs.grid_site_job(spark, grid, base, stamp(1), "grid.example.org")
-    g = row(spark, base, "meta_ip_grid", id="r1")
+    g = row(spark, base, "meta_ip_cric", id="r1")
     assert (g.rcsite_name, g.tier, len(g.ip_subnet), g.latitude) == ("SITE", 0, 2, 46.2)
     services = payload(tmp_path, "services.json", [{"url": "https://db.example.org/graphql", "status_code": 200, "data": {"data": {
         "serviceList": {"list": [
@@ -321,13 +321,13 @@ def test_interface_cache_and_kv(spark, base, tmp_path):
     assert spark.read.parquet(f"{out}/meta_interface").count() == 1
     jobs.kv_job(spark, base, ["meta_device", "meta_interface:device_id:flow_index"], stamp(5))
     got = {(r.table, r.key): r.value for r in jobs.kv(spark, base).collect()}
-    assert got[("meta_device", "losa-cr6")] == "losa-cr6__v1"
-    assert got[("meta_interface:device_id:flow_index", "losa-cr6:12356")] == "losa-cr6::losa_se-1553"
+    assert got[("meta_device", "hub-1")] == "hub-1__v1"
+    assert got[("meta_interface:device_id:flow_index", "hub-1:410")] == "hub-1::customer-4"
 
 
 def test_snapshot_source_and_archive(spark, base, tmp_path):
     rows = files.snapshot(spark.read.parquet(f"{base}/meta_device"), LookupSpec.parse("meta_device:@loopback_ip")).collect()
-    assert {(r.id, r.loopback_ip) for r in rows} == {("losa-cr6", "10.1.1.1"), ("losa-cr6", "10.1.1.2"), ("sfo-cr1", "10.2.1.1")}
+    assert {(r.id, r.loopback_ip) for r in rows} == {("hub-1", "192.0.2.1"), ("hub-1", "192.0.2.2"), ("rim-2", "192.0.2.9")}
     src = str(tmp_path / "in")
     kafka_rows(spark, ['{"b":1,"a":{"d":1,"c":2}}', "{nope"], src)
     jobs.message_archive_stream(messages.read_messages(spark, True, "json", path=src), str(tmp_path / "out"), str(tmp_path / "cp"), None).awaitTermination()

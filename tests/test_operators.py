@@ -221,9 +221,10 @@ def test_fan_out(spark, tmp_path):
 def test_keyed_state(spark, tmp_path):
     from telescry.streaming.state import keyed_state
 
-    src, schema = str(tmp_path / "in"), "table string, key string, field string, value string"
+    src, schema = str(tmp_path / "in"), "table string, key string, field string, value string, at timestamp, seq long"
     write = lambda *rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
-    write(("t", "a", "x", "1"), ("t", "a", "y", "2"), ("t", "b", "x", None))
+    at = lambda h: datetime(2024, 1, 1, h)
+    write(("t", "a", "x", "1", at(5), 2), ("t", "a", "x", "0", at(5), 1), ("t", "a", "y", "2", at(1), 1), ("t", "b", "x", None, at(1), 1))
     stream = spark.readStream.schema(schema).parquet(src)
     seen = []
 
@@ -234,11 +235,11 @@ def test_keyed_state(spark, tmp_path):
     q = keyed_state(stream, 86400).writeStream.outputMode("update").foreachBatch(collect).option("checkpointLocation", str(tmp_path / "cp")).start()
     try:
         wait_for(lambda: len(seen) >= 2)
-        write(("t", "a", "x", "3"))
+        write(("t", "a", "x", "3", at(6), 0), ("t", "a", "x", "late", at(2), 9))
         wait_for(lambda: len(seen) >= 3)
     finally:
         q.stop()
-    assert sorted(seen) == [("a", "x", "1", 1), ("a", "x", "3", 2), ("a", "y", "2", 1)]
+    assert sorted(seen) == [("a", "x", "1", 2), ("a", "x", "3", 4), ("a", "y", "2", 1)]
 
 
 def wait_for(done, seconds=45):
