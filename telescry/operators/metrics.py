@@ -239,21 +239,27 @@ def melt_metrics(df: DataFrame, rules: Rules, kv: DataFrame | None, cfg: MetricC
     rows = rows.select(
         F.timestamp_seconds("_ts").alias("observation_time"),
         F.coalesce(F.element_at("tags", "collector"), F.lit("unknown")).alias("collector_id"),
-        F.col("resource_id").alias("id"), "ref", tags_ext(rules).alias("_ext"),
-        _per_rule({n: F.lit(r["resource_type"]) for n, r in usable.items()}).alias("_type"),
-        "fields", F.from_json("fields_json", "map<string,variant>").alias("_typed"))
-    rows = rows.select("*", F.explode("fields").alias("metric_name", "_token")).filter(F.col("_token").isNotNull())
-    kind = F.schema_of_variant(F.element_at("_typed", F.col("metric_name")))
-    rows = rows.withColumn("_text", kind.startswith("STRING") | kind.startswith("OBJECT") | kind.startswith("ARRAY"))
+        F.col("resource_id").alias("id"), "ref", parsed_once(tags_ext(rules)).alias("_ext"),
+        _per_rule({n: F.lit(r["resource_type"]) for n, r in usable.items()}).alias("_type"), "fields", "fields_json")
+    # what all fields of a message share is made once, before they become rows: its ext as text and the names of its texts
+    kind = lambda v: F.schema_of_variant(v)
+    texts = F.map_keys(F.map_filter(F.from_json("fields_json", "map<string,variant>"), lambda _, v: kind(v).startswith("STRING") | kind(v).startswith("OBJECT") | kind(v).startswith("ARRAY")))
+    rows = rows.select(
+        "observation_time", "collector_id", "id", "ref", "_type", "fields", F.to_json("_ext").alias("_ext_json"),
+        F.to_json(F.map_filter("_ext", lambda k, _: k != "metric_value")).alias("_open"), parsed_once(texts).alias("_texts"))
+    rows = rows.select(
+        "observation_time", "collector_id", "id", "ref", "_type", "_ext_json", "_open", "_texts", F.explode("fields").alias("metric_name", "_token")).filter(F.col("_token").isNotNull())
+    rows = rows.withColumn("_text", F.coalesce(F.array_contains("_texts", F.col("metric_name")), F.lit(False)))
     whole = F.col("_token").rlike("^-?[0-9]+$") | F.col("_token").isin("true", "false")
     rows = rows.withColumn("_gauge", ~F.col("_text") & ~whole)
     number = F.when(F.col("_token") == "true", F.lit("1")).when(F.col("_token") == "false", F.lit("0")).otherwise(F.col("_token"))
-    original = F.create_map(F.lit("metric_value"), F.col("_token"))
-    ext = F.when(F.col("_text"), F.map_concat(F.map_filter("_ext", lambda k, _: k != "metric_value"), original)).otherwise(F.col("_ext"))
+    original = F.to_json(F.create_map(F.lit("metric_value"), F.col("_token")))
+    head = F.when(F.col("_open") == "{}", F.lit("{")).otherwise(F.concat(F.expr("left(_open, length(_open) - 1)"), F.lit(",")))
+    ext = F.when(F.col("_text"), F.concat(head, F.substring(original, 2, 1 << 30))).otherwise(F.col("_ext_json"))
     table = F.concat(F.lit("data_"), F.col("_type"), F.when(F.col("_gauge"), F.lit("_gauge")).otherwise(F.lit("_counter")))
     return rows.select(
         table.alias("target_table"), "observation_time", "collector_id", *policy_cols(cfg.policy),
-        F.to_json(ext).alias("ext"), "id", "ref", "metric_name",
+        ext.alias("ext"), "id", "ref", "metric_name",
         F.when(F.col("_gauge"), F.col("_token").try_cast("double")).alias("metric_gauge"),
         F.when(F.col("_text"), F.lit(1)).when(~F.col("_gauge"), number.try_cast(COUNTER_TYPE)).cast(COUNTER_TYPE).alias("metric_counter"),
     )
