@@ -277,6 +277,27 @@ def flow_stream(spark: SparkSession, source: DataFrame, base: str, checkpoint: s
     return run_stream(source, flow_batch(spark, base, cfg, rollups), checkpoint, interval)
 
 
+def enriched_flow_batch(base: str, cfg: FlowConfig = FlowConfig(), service_refs: Callable[[SparkSession], DataFrame | None] = lambda _: None) -> BatchFn:
+    """Batch function of the flow source that is enriched already: messages -> data_flow."""
+
+    def handle(rows: DataFrame, batch: sinks.Batch) -> None:
+        session = rows.sparkSession
+        good, dead = messages.parse_messages(rows, flows.ENRICHED_SCHEMA)
+        sinks.append_table(dead, REJECTED, base, batch)
+        lookups = flow_lookups(session, base, cfg)
+        known = lambda spec: refs(session, base, spec.table)
+        registry = sinks.read_table(session, base, sinks.index_file_name(specs.SCIENCE_REGISTRY_IP.table))
+        out = flows.project_enriched_flows(
+            good, cfg, lookups.ip, lookups.as_refs, known(specs.DEVICE), known(specs.INTERFACE), service_refs(session), registry)
+        sinks.append_table(out, sinks.FLOW_TABLE, base, batch)
+
+    return read_once(handle)
+
+
+def enriched_flow_stream(source: DataFrame, base: str, checkpoint: str, cfg: FlowConfig = FlowConfig(), interval: str | None = "30 seconds") -> StreamingQuery:
+    return run_stream(source, enriched_flow_batch(base, cfg), checkpoint, interval)
+
+
 # --- SNMP ------------------------------------------------------------------------------------------
 
 def snmp_batch(base: str, rules: metrics.Rules, as_of: Callable[[], Column] = F.current_timestamp,
@@ -307,6 +328,23 @@ def snmp_stream(source: DataFrame, base: str, checkpoint: str, rules: metrics.Ru
     return run_stream(source, snmp_batch(base, rules), checkpoint, interval)
 
 
+def named_traffic_batch(base: str, cfg: MetricConfig = MetricConfig()) -> BatchFn:
+    """Batch function of the interface source that names its interfaces itself: messages -> data_interface_traffic."""
+
+    def handle(rows: DataFrame, batch: sinks.Batch) -> None:
+        good, dead = messages.parse_messages(rows, metrics.NAMED_SCHEMA)
+        sinks.append_table(dead, REJECTED, base, batch)
+        view = kv(rows.sparkSession, base)
+        known = None if view is None else keyed.kv_table(view, cfg.interface_ref_table)
+        sinks.append_table(metrics.project_interface_traffic(good, known, cfg), sinks.TRAFFIC_TABLE, base, batch)
+
+    return read_once(handle)
+
+
+def named_traffic_stream(source: DataFrame, base: str, checkpoint: str, interval: str | None = "30 seconds") -> StreamingQuery:
+    return run_stream(source, named_traffic_batch(base), checkpoint, interval)
+
+
 def message_archive_stream(source: DataFrame, base: str, checkpoint: str, interval: str | None = "30 seconds") -> StreamingQuery:
     """Raw messages -> data_kafka_message."""
 

@@ -164,6 +164,14 @@ SELECT CAST(floor(epoch(ts)) AS BIGINT) AS start_epoch, CAST(floor(epoch(ts)) AS
   CASE WHEN user_id % 2 = 0 THEN 'dev::if' || user_id || '__v1' END AS interface_ref, event_id AS in_bit_count,
   CASE WHEN event_type = 'error' THEN 'down' END AS oper_status FROM events WHERE user_id % 10 <> 9""")
 def h11(spark, sf_dir):
+    rows, refs = named_messages(spark, sf_dir)
+    out = metrics.project_interface_traffic(rows, refs)
+    return out.select(F.unix_timestamp("start_time").alias("start_epoch"), F.unix_timestamp("end_time").alias("end_epoch"), "collector_id", "interface_id",
+                      "interface_ref", F.col("in_bit_count").cast("bigint").alias("in_bit_count"), "oper_status")
+
+
+def named_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """events as messages that name their interface, and the references of every second one."""
     ev = table(spark, sf_dir, "events")
     iface = F.concat(F.lit("dev::if"), F.col("user_id").cast("string"))
     null = F.lit(None).cast("string")
@@ -178,9 +186,7 @@ def h11(spark, sf_dir):
         F.struct(F.lit("o").alias("originator"), F.lit("l").alias("level"), F.lit(None).cast("array<string>").alias("scopes")).alias("policy"),
         values.alias("values"))
     refs = ev.filter("user_id % 2 = 0").select(iface.alias("key"), F.concat(iface, F.lit("__v1")).alias("value")).distinct()
-    out = metrics.project_interface_traffic(rows, refs)
-    return out.select(F.unix_timestamp("start_time").alias("start_epoch"), F.unix_timestamp("end_time").alias("end_epoch"), "collector_id", "interface_id",
-                      "interface_ref", F.col("in_bit_count").cast("bigint").alias("in_bit_count"), "oper_status")
+    return rows, refs
 
 
 @registered("h12_status_metrics", """

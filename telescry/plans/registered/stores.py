@@ -251,3 +251,44 @@ def k7(spark, sf_dir):
     return last.select("key", "r.value", "r.updates")
 
 
+
+
+def _as_messages(rows: DataFrame) -> DataFrame:
+    """Rows as messages of one partition, in any order."""
+    text = lambda v: F.lit(v).cast("string")
+    return rows.select(text(None).alias("key"), F.to_json(F.struct(*rows.columns)).alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+                       F.monotonically_increasing_id().alias("offset"), F.lit("2024-01-01").cast("timestamp").alias("timestamp"))
+
+
+@registered("l2_enriched_flow_job", f"""
+SELECT CAST(to_timestamp({_SECONDS}) AT TIME ZONE 'UTC' AS DATE)::VARCHAR AS day, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS bits
+FROM lineitem WHERE l_linenumber <> 7 GROUP BY ALL""")
+def l2_enriched(spark, sf_dir):
+    """The source that is enriched already, handled twice, read back from the flow table."""
+    from telescry.plans.registered.flows import _enriched_messages
+
+    base = shared_dir(spark, "flows")
+    at = F.timestamp_seconds(F.expr(_SECONDS.replace("l_orderkey", "values.num_bits").replace("l_linenumber", "values.num_packets")))
+    stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    source = _as_messages(_enriched_messages(spark, sf_dir).withColumn("start", stamp).withColumn("end", stamp))
+    for _ in range(2):
+        jobs.enriched_flow_batch(base)(source, Batch("stream", 0))
+    back = sinks.read_table(spark, base, sinks.FLOW_TABLE.name)
+    return back.groupBy(F.col("dt").cast("string").alias("day")).agg(F.count("*").alias("n"), F.sum("bit_count").cast("bigint").alias("bits"))
+
+
+@registered("l2_named_traffic_job", """
+SELECT CAST(ts AS DATE)::VARCHAR AS day, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS bits,
+  count(CASE WHEN user_id % 2 = 0 THEN 1 END) AS known FROM events WHERE user_id % 10 <> 9 GROUP BY ALL""")
+def l2_named(spark, sf_dir):
+    """The source that names its interfaces, with references from the key-value table, read back from the traffic table."""
+    from telescry.config import MetricConfig
+    from telescry.plans.registered.metrics import named_messages
+
+    base = shared_dir(spark, "traffic")
+    rows, refs = named_messages(spark, sf_dir)
+    sinks.write_kv(keyed.kv_rows(refs.withColumn("table", F.lit(MetricConfig().interface_ref_table)), F.lit("2024-01-01").cast("timestamp"), None), base)
+    jobs.named_traffic_batch(base)(_as_messages(rows), Batch("stream", 0))
+    back = sinks.read_table(spark, base, sinks.TRAFFIC_TABLE.name)
+    return back.groupBy(F.col("dt").cast("string").alias("day")).agg(
+        F.count("*").alias("n"), F.sum("in_bit_count").cast("bigint").alias("bits"), F.count("interface_ref").alias("known"))
