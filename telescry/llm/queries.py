@@ -62,7 +62,19 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-@registered("op1_parity_sketch_join")
+@registered("op1_parity_sketch_join", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n + b.n AS sizes, count(*) AS common FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 85 * (sizes - common)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM sets UNION SELECT r.a, w.b FROM reached r JOIN ways w ON r.b = w.a)
+SELECT doc_id, len(s) AS n_shingles, (SELECT min(b) FROM reached WHERE a = doc_id) AS component_id FROM sets
+""")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.ngram_join import Likeness, similarity_components
 
