@@ -35,7 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked."""
     configure(spark)
-    return _with_text(pii.redacted(docs, pii.patterns_of(docs)), "text", docs.columns)
+    return _with_text(pii.redacted(docs, pii.pattern_table(docs)), "text", docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ Patterns that many different seeds support and hardly anything else matches then
 ``context`` in all texts.
 
 Defined cases: a null text is empty; repeated rows are searched one by one; an empty table gives no rows; other columns
-stay as they are in ``redacted`` and are not read by ``find``.  At most ``most_patterns`` patterns, the best supported ones,
-are sent to the tasks.
+stay as they are in ``redacted`` and are not read by ``find``.  Patterns stay a table of the cluster, of any number: they
+are joined with the instances, and what they point to with the texts by the texts' digests.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telescry.llm.common import map_rows, stage_table
+from telescry.llm.common import map_rows, stage_table, text_of
 
 KINDS = ("email", "ip", "card", "phone", "context")
 Span = tuple[str, int, int]
@@ -34,6 +34,7 @@ _DIGIT = re.compile(r"[0-9]")
 _SIGN = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"\S+")
 _EDGE = "\"'()[]{}<>,.;:!?#*$%&|"
+_KEY, _FOUND = "_text_sha256", "_discovered"
 _REACH = 80  # characters before an instance in which its pattern words are looked for
 
 
@@ -101,8 +102,8 @@ def instances(text: str, seeds: list[Span]) -> list[tuple[int, int, bool]]:
     return out
 
 
-def patterns_of(docs: DataFrame, turns: int = 3, support: int = 5, trust: float = 0.8, most_patterns: int = 20_000) -> list[str]:
-    """The trusted patterns, from all texts."""
+def pattern_table(docs: DataFrame, turns: int = 3, support: int = 5, trust: float = 0.8) -> DataFrame:
+    """The trusted patterns, from all texts, but for those that no instance besides the seeds has: they point to nothing."""
 
     def rows(batch):
         pattern, instance, seed = [], [], []
@@ -127,9 +128,13 @@ def patterns_of(docs: DataFrame, turns: int = 3, support: int = 5, trust: float
         pointed = edges.join(trusted, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(F.lit(1.0 + 1e-9) - F.col("trust"))))).alias("pointed"))
         scored = stage_table(
             edges.join(pointed, "instance").withColumn("belief", F.when(F.col("seed"), 1.0).when(F.col("pointed") >= trust, F.col("pointed")).otherwise(0.0)).drop("pointed"), "pattern-beliefs")
-    trusted = scored.groupBy("pattern").agg((F.sum("belief") / (F.count("*") + 1)).alias("trust"), F.max("seeds").alias("seeds"))
-    best = trusted.filter(F.col("trust") >= trust).orderBy(F.desc("seeds"), "pattern").limit(most_patterns)
-    return [r.pattern for r in best.select("pattern").collect()]
+    last = scored.groupBy("pattern").agg((F.sum("belief") / (F.count("*") + 1)).alias("trust"), F.bool_and("seed").alias("idle"))
+    return stage_table(last.filter((F.col("trust") >= trust) & ~F.col("idle")).select("pattern"), "trusted-patterns")
+
+
+def patterns_of(docs: DataFrame, turns: int = 3, support: int = 5, trust: float = 0.8) -> list[str]:
+    """The patterns of a small table as a list, for ``spans``."""
+    return [r.pattern for r in pattern_table(docs, turns, support, trust).collect()]
 
 
 def spans(text: str | None, trusted: Collection[str] = frozenset()) -> list[Span]:
@@ -146,20 +151,47 @@ def written(found: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in found)
 
 
-def find(docs: DataFrame, trusted: Collection[str]) -> DataFrame:
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(_KEY, F.unhex(F.sha2(text_of(), 256)))
+
+
+def _patterns_as_table(docs: DataFrame, trusted: DataFrame | Collection[str]) -> DataFrame:
+    return trusted if isinstance(trusted, DataFrame) else docs.sparkSession.createDataFrame([(p,) for p in trusted], "pattern string")
+
+
+def discovered(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Digest of a text and the starts and ends of what trusted patterns point to in it, for texts where they do."""
+
+    def rows(batch):
+        out = {_KEY: [], "start": [], "end": [], "pattern": []}
+        for key, text in zip(batch[_KEY], batch["text"], strict=True):
+            text = text or ""
+            for a, b, known in instances(text, base_spans(text)):
+                for p in () if known else _patterns(text, a, text[a:b]):
+                    for name, value in zip(out, (key, a, b, p), strict=True):
+                        out[name].append(value)
+        yield out
+
+    pointed = map_rows(_keyed(docs.select("text")), f"{_KEY} binary, start long, end long, pattern string", rows).join(trusted, "pattern", "left_semi")
+    return pointed.select(_KEY, "start", "end").distinct().groupBy(_KEY).agg(F.sort_array(F.collect_list(F.array("start", "end"))).alias(_FOUND))
+
+
+def find(docs: DataFrame, trusted: DataFrame | Collection[str]) -> DataFrame:
     """doc_id, spans (kind, start, end) and the counts and digest of the seeds."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(trusted))  # at most ``most_patterns`` short strings
 
     def rows(batch):
-        found = [spans(x, shared.value) for x in batch["text"]]
-        out = {f"n_{k}": [sum(s[0] == k for s in f) for f in found] for k in KINDS}
-        yield out | {
-            "doc_id": batch["doc_id"], "base_sha256": [hashlib.sha256(written([s for s in f if s[0] != "context"]).encode()).hexdigest() for f in found],
-            "spans": [written(f) for f in found],
-        }
+        found = [base_spans(x or "") for x in batch["text"]]
+        out = {f"n_{k}": [sum(s[0] == k for s in f) for f in found] for k in KINDS[:-1]}
+        shown = [written(f) for f in found]
+        yield out | {"doc_id": batch["doc_id"], _KEY: batch[_KEY], "base_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in shown], "spans": shown}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", "text"), f"doc_id {kind}, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string", rows)
+    base = map_rows(_keyed(docs.select("doc_id", "text")), f"doc_id {kind}, {_KEY} binary, " + ", ".join(f"n_{k} long" for k in KINDS[:-1]) + ", base_sha256 string, spans string", rows)
+    both = base.join(discovered(docs, _patterns_as_table(docs, trusted)), _KEY, "left")
+    more = F.transform(_FOUND, lambda s: F.concat(F.lit("context:"), s[0], F.lit(":"), s[1]))
+    return both.select(
+        "doc_id", *(f"n_{k}" for k in KINDS[:-1]), F.coalesce(F.size(_FOUND).cast("long"), F.lit(0)).alias("n_context"), "base_sha256",
+        F.concat_ws(",", F.when(F.col("spans") != "", F.col("spans")), more).alias("spans"))
 
 
 def masked(text: str | None, found: list[Span]) -> str | None:
@@ -174,11 +206,12 @@ def masked(text: str | None, found: list[Span]) -> str | None:
     return "".join([*out, text[end:]])
 
 
-def redacted(docs: DataFrame, trusted: Collection[str]) -> DataFrame:
+def redacted(docs: DataFrame, trusted: DataFrame | Collection[str]) -> DataFrame:
     """``docs`` with masked texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(trusted))
 
     def rows(batch):
-        yield batch | {"text": [masked(x, spans(x, shared.value)) for x in batch["text"]]}
+        more = batch.pop(_FOUND)
+        yield batch | {"text": [masked(x, base_spans(x or "") + [("context", a, b) for a, b in f or ()]) for x, f in zip(batch["text"], more, strict=True)]}
 
-    return map_rows(docs, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), rows)
+    both = _keyed(docs).join(discovered(docs, _patterns_as_table(docs, trusted)), _KEY, "left").drop(_KEY)
+    return map_rows(both, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), rows)

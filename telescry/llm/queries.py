@@ -98,10 +98,10 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("op4_bootstrapped_pii")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from telescry.llm.pii import find, patterns_of
+    from telescry.llm.pii import find, pattern_table
 
     docs = table(spark, sf_dir, "documents")
-    return find(docs, patterns_of(docs))
+    return find(docs, pattern_table(docs))
 
 
 @registered("op9_snapshot_collapse", """
