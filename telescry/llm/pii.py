@@ -1,10 +1,12 @@
 """Personal data: fixed detectors, and identifiers discovered by bootstrapping from them.
 
-What the detectors find are seeds.  The words around seeds, with the seed's shape, are lexical patterns; every token with a
-digit or an @ is an instance.  The graph of patterns and instances is scored in turns by Spark jobs: a pattern is as good
-as the share of its instances that are believed, an instance is believed if it is a seed or if good patterns point to it.
-Patterns that many different seeds support and hardly anything else matches then mark unseen identifiers of kind
-``context`` in all texts.
+What the detectors find are seeds.  Every token with a digit or an @ is an instance, and so is every run of such tokens in
+a line.  One or two words before or after an instance, with its shape, its class (how many digits, an @, letters and digits)
+or, for two words before, with nothing else, are lexical patterns.  The graph of patterns and instances is scored in turns
+by Spark jobs: a pattern is as good as the share of its instances that are believed, an instance is believed if it is a seed
+or if the best patterns before and after it point to it.  Patterns that many different seeds support and hardly anything
+else matches then mark unseen identifiers of kind ``context`` in all texts: a run as one, else its tokens.  Words without
+a digit and an @, such as names, are no instances.
 
 Defined cases: a null text is empty; repeated rows are searched one by one; an empty table gives no rows; other columns
 stay as they are in ``redacted`` and are not read by ``find``.  Patterns stay a table of the cluster, of any number: they
@@ -31,11 +33,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")  # from the middle of digit
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_QUAD = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _SIGN = re.compile(r"[0-9@]")
+_GAP = re.compile(r"\)?[^\S\n\r]+(?:[-/.\u2013][^\S\n\r]+)?\(?")  # between tokens of a run
 _TOKEN = re.compile(r"\S+")
 _EDGE = "\"'()[]{}<>,.;:!?#*$%&|"
 _KEY, _FOUND = "_text_sha256", "_discovered"
-_REACH = 80  # characters before an instance in which its pattern words are looked for
+_REACH = 80  # characters before and after an instance in which its pattern words are looked for
 
 
 def _luhn(digits: str) -> bool:
@@ -72,17 +76,43 @@ def _shape(surface: str) -> str:
     return re.sub(r"[a-z]+", "a", re.sub(r"[^\W\d_A-Z]+", "a", re.sub(r"[A-Z]+", "A", low)))[:40]
 
 
-def _patterns(text: str, start: int, surface: str) -> list[str]:
-    """The lexical patterns of an instance: the word before it, the two words before it, each with its shape."""
-    before = [w.strip(_EDGE).lower() or w for w in text[max(0, start - _REACH) : start].split()[-2:]]
-    shape = _shape(surface)
-    return [f"{' '.join(before[-k:])} _ {shape}" for k in (1, 2) if len(before) >= k]
+def _class(surface: str) -> str:
+    if "@" in surface:
+        return "<@>"
+    if surface.lower() != surface.upper():
+        return "<a9>"
+    if _QUAD.fullmatch(surface):
+        return "<9.9.9.9>"
+    digits = len(_DIGIT.findall(surface))
+    return "<9>" if digits < 7 else "<7-12>" if digits < 13 else "<13-19>" if digits < 20 else "<20>"
 
 
-def instances(text: str, seeds: list[Span]) -> list[tuple[int, int, bool]]:
-    """(start, end, whether a seed): the seeds, and tokens with a digit or an @ that no seed touches."""
+def _patterns(text: str, start: int, end: int, whole: bool) -> list[tuple[str, bool]]:
+    """The lexical patterns of an instance and whether their words come after it; parts of runs have those with shapes only."""
+    clean = lambda words: [w.strip(_EDGE).lower() or w for w in words]
+    before, after = clean(text[max(0, start - _REACH) : start].split()[-2:]), clean(text[end : end + _REACH].split()[:2])
+    surface = text[start:end]
+    kinds = (_shape(surface), _class(surface)) if whole else (_shape(surface),)
+    out = [(f"{' '.join(before[-k:])} _ {x}", False) for k in (1, 2) if len(before) >= k for x in kinds]
+    out += [(f"_ {x} {' '.join(after[:k])}", True) for k in (1, 2) if len(after) >= k for x in kinds]
+    return [*out, (f"{' '.join(before)} _", False)] if whole and len(before) == 2 else out
+
+
+def instances(text: str, seeds: list[Span]) -> list[tuple[int, int, bool, tuple[int, int]]]:
+    """(start, end, whether a seed, run): the seeds, tokens with a digit or an @ that no seed touches, and runs of these."""
     out, taken = [], sorted({(a, b) for _, a, b in seeds})
-    out += [(a, b, True) for a, b in taken]
+    out += [(a, b, True, (a, b)) for a, b in taken]
+    run: list[tuple[int, int]] = []
+
+    def end_run():
+        if run:
+            a, b = run[0][0], run[-1][1]
+            a -= len(run) > 1 and text[a - 1 : a] == "(" and ")" in text[a:b]
+            out.extend((x, y, False, (a, b)) for x, y in run)
+            if len(run) > 1:
+                out.append((a, b, False, (a, b)))
+        run.clear()
+
     at, k = 0, 0
     while m := _SIGN.search(text, at):
         start = m.start()
@@ -98,7 +128,10 @@ def instances(text: str, seeds: list[Span]) -> list[tuple[int, int, bool]]:
         inner = token.strip(_EDGE)
         if inner:
             start += token.index(inner)
-            out.append((start, start + len(inner), False))
+            if run and not _GAP.fullmatch(text, run[-1][1], start):
+                end_run()
+            run.append((start, start + len(inner)))
+    end_run()
     return out
 
 
@@ -106,18 +139,18 @@ def pattern_table(docs: DataFrame, turns: int = 3, support: int = 5, trust: floa
     """The trusted patterns, from all texts, but for those that no instance besides the seeds has: they point to nothing."""
 
     def rows(batch):
-        pattern, instance, seed = [], [], []
+        out = {"pattern": [], "after": [], "instance": [], "seed": []}
         for text in batch["text"]:
             text = text or ""
-            for a, b, known in instances(text, base_spans(text)):
-                for p in _patterns(text, a, text[a:b]):
-                    pattern.append(p)
-                    instance.append(text[a:b])
-                    seed.append(known)
-        yield {"pattern": pattern, "instance": instance, "seed": seed}
-
-    edges = map_rows(docs.select("text"), "pattern string, instance string, seed boolean", rows)
-    edges = stage_table(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pattern-graph")
+            for a, b, known, run in instances(text, base_spans(text)):
+                surface = text[a:b] if b - a <= 64 else hashlib.sha256(text[a:b].encode("utf-8", "surrogatepass")).hexdigest()
+                for p, after in _patterns(text, a, b, (a, b) == run):
+                    for name, value in zip(out, (p, after, surface, known), strict=True):
+                        out[name].append(value)
+        yield out
+
+    edges = map_rows(docs.select("text"), "pattern string, after boolean, instance string, seed boolean", rows)
+    edges = stage_table(edges.groupBy("pattern", "after", "instance").agg(F.max("seed").alias("seed")), "pattern-graph")
     # patterns that few different seeds support cannot be trusted, whatever their instances turn out to be
     strong = edges.groupBy("pattern").agg(F.count_if("seed").alias("seeds")).filter(F.col("seeds") >= support)
     edges = stage_table(edges.join(strong, "pattern"), "pattern-graph")
@@ -125,7 +158,9 @@ def pattern_table(docs: DataFrame, turns: int = 3, support: int = 5, trust: floa
     scored = edges.withColumn("belief", belief)
     for _ in range(turns):
         trusted = scored.groupBy("pattern").agg((F.sum("belief") / (F.count("*") + 1)).alias("trust"))
-        pointed = edges.join(trusted, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log(F.lit(1.0 + 1e-9) - F.col("trust"))))).alias("pointed"))
+        # patterns of the same words are no independent evidence: only the best of each side counts
+        side = lambda after: F.coalesce(F.max(F.when(F.col("after") == after, F.col("trust"))), F.lit(0.0))
+        pointed = edges.join(trusted, "pattern").groupBy("instance").agg((1 - (1 - side(False)) * (1 - side(True))).alias("pointed"))
         scored = stage_table(
             edges.join(pointed, "instance").withColumn("belief", F.when(F.col("seed"), 1.0).when(F.col("pointed") >= trust, F.col("pointed")).otherwise(0.0)).drop("pointed"), "pattern-beliefs")
     last = scored.groupBy("pattern").agg((F.sum("belief") / (F.count("*") + 1)).alias("trust"), F.bool_and("seed").alias("idle"))
@@ -143,8 +178,11 @@ def spans(text: str | None, trusted: Collection[str] = frozenset()) -> list[Span
     seeds = base_spans(text)
     if not trusted:
         return seeds
-    found = [("context", a, b) for a, b, known in instances(text, seeds) if not known and any(p in trusted for p in _patterns(text, a, text[a:b]))]
-    return seeds + found
+    hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for a, b, known, run in instances(text, seeds):
+        if not known and any(p in trusted for p, _ in _patterns(text, a, b, (a, b) == run)):
+            hits.setdefault(run, []).append((a, b))
+    return seeds + [("context", a, b) for run in sorted(hits) for a, b in ([run] if run in hits[run] else hits[run])]
 
 
 def written(found: list[Span]) -> str:
@@ -163,17 +201,21 @@ def discovered(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """Digest of a text and the starts and ends of what trusted patterns point to in it, for texts where they do."""
 
     def rows(batch):
-        out = {_KEY: [], "start": [], "end": [], "pattern": []}
+        out = {_KEY: [], "start": [], "end": [], "run_start": [], "run_end": [], "pattern": []}
         for key, text in zip(batch[_KEY], batch["text"], strict=True):
             text = text or ""
-            for a, b, known in instances(text, base_spans(text)):
-                for p in () if known else _patterns(text, a, text[a:b]):
-                    for name, value in zip(out, (key, a, b, p), strict=True):
+            for a, b, known, run in instances(text, base_spans(text)):
+                for p, _ in () if known else _patterns(text, a, b, (a, b) == run):
+                    for name, value in zip(out, (key, a, b, *run, p), strict=True):
                         out[name].append(value)
         yield out
 
-    pointed = map_rows(_keyed(docs.select("text")), f"{_KEY} binary, start long, end long, pattern string", rows).join(trusted, "pattern", "left_semi")
-    return pointed.select(_KEY, "start", "end").distinct().groupBy(_KEY).agg(F.sort_array(F.collect_list(F.array("start", "end"))).alias(_FOUND))
+    candidates = map_rows(_keyed(docs.select("text")), f"{_KEY} binary, start long, end long, run_start long, run_end long, pattern string", rows)
+    hits = candidates.join(trusted, "pattern", "left_semi").select(_KEY, "run_start", "run_end", F.array("start", "end").alias("span")).distinct()
+    run = F.array("run_start", "run_end")
+    runs = hits.groupBy(_KEY, "run_start", "run_end").agg(F.max(F.col("span") == run).alias("whole"), F.collect_list("span").alias("parts"))
+    runs = runs.select(_KEY, F.when(F.col("whole"), F.array(run)).otherwise(F.col("parts")).alias("parts"))
+    return runs.groupBy(_KEY).agg(F.sort_array(F.flatten(F.collect_list("parts"))).alias(_FOUND))
 
 
 def find(docs: DataFrame, trusted: DataFrame | Collection[str]) -> DataFrame:
