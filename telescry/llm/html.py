@@ -1,8 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 Every text belongs to a root-to-leaf path of tags.  Text length (without links) and punctuation are summed per path and
-divided by the path's nodes, smoothed over paths that differ in few tags, multiplied, and held against a threshold.  The
-deepest element that holds most of the text of the chosen paths is the article; its blocks are the result, without those
+divided by the path's nodes; their product, more for paths below article or main, is averaged (geometrically) with the
+product of the ratios smoothed over paths that differ in few tags, and held against a threshold.  The result are the
+blocks of the chosen paths, the headings over them, and lists, tables, quotations and the like beside them, without those
 parts that their tag, role, class or id marks as menus, headers, footers, sidebars, notices, adverts, forms or comments.
 
 Defined cases: null and empty pages, and pages cut before their article, have an empty text; unclosed and misnested
@@ -43,6 +44,11 @@ _SKIP_NAMES = frozenset(
     "subscription paywall sidebar aside menu nav navbar navigation breadcrumb breadcrumbs share sharing social related recommended recommendations comment comments disqus reply replies "
     "footer masthead toolbar pagination pager widget login signup search skip tags".split())
 
+_MARKS, _MARKED = frozenset(("article", "main")), 2.0  # weight of paths below these
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_LISTS = frozenset("ul ol dl table blockquote pre figure p".split())  # beside chosen blocks they are content, however short
+_PROSE = _LISTS | _HEADINGS
+
 
 @dataclass
 class Node:
@@ -194,7 +200,7 @@ def _distance(a: tuple, b: tuple) -> int:
 
 
 def path_scores(found: list[Block], width: float = 1.0) -> dict[tuple, float]:
-    """Fused ratio of each path: smoothed text length per node times smoothed punctuation per node."""
+    """Fused ratio of each path: text length times punctuation per node, by itself and smoothed, weighted by article and main."""
     length: dict[tuple, list[float]] = {}
     for b in found:
         entry = length.setdefault(b.path, [0.0, 0.0, 0])
@@ -206,11 +212,45 @@ def path_scores(found: list[Block], width: float = 1.0) -> dict[tuple, float]:
     for p in ratios:
         weights = {q: math.exp(-(_distance(p, q) ** 2) / (2 * width * width)) for q in ratios if abs(len(p) - len(q)) <= 3}
         total = sum(weights.values())
-        scores[p] = sum(w * ratios[q][0] for q, w in weights.items()) / total * (1 + sum(w * ratios[q][1] for q, w in weights.items()) / total)
+        smooth = sum(w * ratios[q][0] for q, w in weights.items()) / total * (1 + sum(w * ratios[q][1] for q, w in weights.items()) / total)
+        scores[p] = math.sqrt(ratios[p][0] * (1 + ratios[p][1]) * smooth) * (_MARKED if not _MARKS.isdisjoint(p) else 1)
     return scores
 
 
-def main_text(page: str | None, share: float = 0.7, strictness: float = 0.5) -> str:
+def _beside(found: list[Block], kept: list[bool], nodes: dict[int, Node]) -> list[bool]:
+    """What else belongs to the kept blocks: headings over them, and prose elements in the elements that hold them directly."""
+    out = list(kept)
+    parents = {b.holders[-2] for b, k in zip(found, kept, strict=True) if k and len(b.holders) > 1 and nodes[b.holders[-1]].tag in _PROSE}
+    for i, b in enumerate(found):
+        for parent, child in zip(b.holders, b.holders[1:]):
+            out[i] = out[i] or (parent in parents and nodes[child].tag in _LISTS and b.link < len(b.text))
+    other = {h for b in found if b.path[-1:] and b.path[-1] not in _HEADINGS for h in b.holders}
+    last: dict[int, int] = {}  # the last kept block in an element
+    for i, b in enumerate(found):
+        if out[i] and b.path[-1:] and b.path[-1] not in _HEADINGS:
+            last |= dict.fromkeys(b.holders, i)
+    after: dict[int, list[tuple[int, int]]] = {}  # of an element, from the end: places of the kept blocks and headings that rise
+    for i in range(len(found) - 1, -1, -1):
+        b = found[i]
+        if not b.path or b.path[-1] not in _HEADINGS:
+            continue
+        up = len(b.holders) - 2  # the innermost element around the heading that holds more than headings
+        while up >= 0 and b.holders[up] not in other:
+            up -= 1
+        if up < 0:
+            continue
+        parent, rank = b.holders[up], b.path[-1]
+        rivals = after.setdefault(parent, [])
+        while rivals and rivals[-1][1] > int(rank[1]):
+            rivals.pop()
+        end = rivals[-1][0] if rivals else len(found)
+        rivals.append((i, int(rank[1])))
+        if not out[i]:
+            out[i] = i < last.get(parent, -1) and any(out[j] and parent in found[j].holders for j in range(i + 1, min(end, last[parent] + 1)))
+    return out
+
+
+def main_text(page: str | None, strictness: float = 0.5) -> str:
     """The article's blocks, joined by line feeds."""
     found, nodes = blocks(parse(page or ""))
     if not found:
@@ -218,29 +258,13 @@ def main_text(page: str | None, share: float = 0.7, strictness: float = 0.5) ->
     scores = path_scores(found)
     mean = sum(scores.values()) / len(scores)
     spread = math.sqrt(sum((s - mean) ** 2 for s in scores.values()) / len(scores))
-    chosen = [b for b in found if scores[b.path] >= strictness * spread and b.link < len(b.text)] or [b for b in found if b.link < len(b.text)] or found
-    marked = [b for b in chosen if any(t in ("article", "main") for t in b.path)]
-    inside = marked or chosen
-    held: dict[int, int] = {}
-    for b in inside:
-        for h in b.holders:
-            held[h] = held.get(h, 0) + len(b.text)
-    total, article = sum(len(b.text) for b in inside), None
-    for h in max((b.holders for b in inside), key=len) if not marked else ():
-        if held[h] >= share * total and nodes[h].tag not in ("p", "li", "td", "tr"):
-            article = h
-    if marked:  # the outermost marked element that holds most of the text
-        for h in max((b.holders for b in marked), key=lambda hs: sum(held[x] for x in hs if nodes[x].tag in ("article", "main"))):
-            if nodes[h].tag in ("article", "main") and held[h] >= share * total:
-                article = h
-                break
-    if article is None and marked:
-        return "\n".join(b.text for b in found if any(t in ("article", "main") for t in b.path))
-    own = [b for b in found if article is None or article in b.holders]
+    least = strictness * spread if max(scores.values()) > 0 else -1.0
+    kept = _beside(found, [scores[b.path] >= least and (scores[b.path] > 0 or least < 0) for b in found], nodes)
+    own = [b for b, k in zip(found, kept, strict=True) if k]
     lists: dict[tuple, list[Block]] = {}
     for b in own:
         lists.setdefault(b.holders[:-1], []).append(b)
-    menus = {k for k, bs in lists.items() if len(bs) >= 3 and all(b.link >= len(b.text) for b in bs)}
+    menus = {k for k, bs in lists.items() if len(bs) >= 3 and all(b.link >= len(b.text) for b in bs)} if any(b.link < len(b.text) for b in own) else set()
     return "\n".join(b.text for b in own if b.holders[:-1] not in menus)
 
 

@@ -160,6 +160,18 @@ def test_tag_paths():
     assert html.main_text("<div>" * 3000 + "deep, text." + "</div>" * 10) == "deep, text."
 
 
+_BODY = [f"Paragraph {w}, of the story, goes on; and on, until it says what, where and why it happened, to whom." for w in "one two three four five".split()]
+
+
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_scores_choose_inside_the_article(tag):
+    """Nothing but the paths tells these remarks from the story."""
+    body = "".join(f"<p>{x}</p>" for x in _BODY)
+    noise = "<div class=q1><span>Only today</span></div><div class=q2><div><div>See it now</div></div></div>"
+    page = f"<body><{tag}><h1>Head</h1>{noise}{body}<section><div><b>Ann</b> said nice</div></section></{tag}></body>"
+    assert html.main_text(page) == "\n".join(["Head", *_BODY])
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, None, None, "z"), (2, "u", "<p>x, y.", "z")], "page_id long, url string, html string, text string")
     assert [tuple(r) for r in html.extract(df).orderBy("page_id").collect()] == [(1, None, "", 0), (2, "u", "x, y.", 5)]
