@@ -47,7 +47,8 @@ _SKIP_NAMES = frozenset(
 _MARKS, _MARKED = frozenset(("article", "main")), 2.0  # weight of paths below these
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _LISTS = frozenset("ul ol dl table blockquote pre figure p".split())  # beside chosen blocks they are content, however short
-_PROSE = _LISTS | _HEADINGS
+_INNER = _LISTS | _HEADINGS | frozenset("li dt dd tr tbody thead tfoot caption figcaption".split())
+_ROOT = 0  # stands for the whole page among ids of elements
 
 
 @dataclass
@@ -217,36 +218,40 @@ def path_scores(found: list[Block], width: float = 1.0) -> dict[tuple, float]:
     return scores
 
 
+def _holder(b: Block, nodes: dict[int, Node]) -> int:
+    """The element around a block and around the lists, tables and the like that it is part of."""
+    for h in reversed(b.holders):
+        if nodes[h].tag not in _INNER and not (nodes[h].tag in ("td", "th") and h == b.holders[-1]):
+            return h
+    return _ROOT
+
+
 def _beside(found: list[Block], kept: list[bool], nodes: dict[int, Node]) -> list[bool]:
     """What else belongs to the kept blocks: headings over them, and prose elements in the elements that hold them directly."""
     out = list(kept)
-    parents = {b.holders[-2] for b, k in zip(found, kept, strict=True) if k and len(b.holders) > 1 and nodes[b.holders[-1]].tag in _PROSE}
+    parents = {_holder(b, nodes) for b, k in zip(found, kept, strict=True) if k}
     for i, b in enumerate(found):
-        for parent, child in zip(b.holders, b.holders[1:]):
+        for parent, child in zip((_ROOT, *b.holders), b.holders):
             out[i] = out[i] or (parent in parents and nodes[child].tag in _LISTS and b.link < len(b.text))
-    other = {h for b in found if b.path[-1:] and b.path[-1] not in _HEADINGS for h in b.holders}
+    other = {h for b in found if b.path[-1:] and b.path[-1] not in _HEADINGS for h in (_ROOT, *b.holders)}
     last: dict[int, int] = {}  # the last kept block in an element
     for i, b in enumerate(found):
         if out[i] and b.path[-1:] and b.path[-1] not in _HEADINGS:
-            last |= dict.fromkeys(b.holders, i)
+            last.update(dict.fromkeys((_ROOT, *b.holders), i))
     after: dict[int, list[tuple[int, int]]] = {}  # of an element, from the end: places of the kept blocks and headings that rise
     for i in range(len(found) - 1, -1, -1):
         b = found[i]
         if not b.path or b.path[-1] not in _HEADINGS:
             continue
-        up = len(b.holders) - 2  # the innermost element around the heading that holds more than headings
-        while up >= 0 and b.holders[up] not in other:
-            up -= 1
-        if up < 0:
-            continue
-        parent, rank = b.holders[up], b.path[-1]
+        around, rank = (_ROOT, *b.holders[:-1]), b.path[-1]
+        parent = next((h for h in reversed(around) if h in other), _ROOT)  # the innermost element that holds more than headings
         rivals = after.setdefault(parent, [])
         while rivals and rivals[-1][1] > int(rank[1]):
             rivals.pop()
         end = rivals[-1][0] if rivals else len(found)
         rivals.append((i, int(rank[1])))
         if not out[i]:
-            out[i] = i < last.get(parent, -1) and any(out[j] and parent in found[j].holders for j in range(i + 1, min(end, last[parent] + 1)))
+            out[i] = i < last.get(parent, -1) and any(out[j] and parent in (_ROOT, *found[j].holders) for j in range(i + 1, min(end, last[parent] + 1)))
     return out
 
 

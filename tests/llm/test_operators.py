@@ -172,6 +172,18 @@ def test_scores_choose_inside_the_article(tag):
     assert html.main_text(page) == "\n".join(["Head", *_BODY])
 
 
+def test_whole_article_without_article_tags():
+    long = " ".join(_BODY)
+    entries = [f"{x} {k}" for k, x in enumerate(_BODY)]
+    items = "".join(f"<li>{x}</li>" for x in entries)
+    assert html.main_text(f"<body><div class=content><h1>Head</h1><p>Short.</p><p>{_BODY[0]}</p><ul>{items}</ul></div></body>") == "\n".join(["Head", "Short.", _BODY[0], *entries])
+    assert html.main_text(f"<body><div><h1>Head</h1><div class=body><p>{long}</p><p>Short.</p></div></div></body>") == f"Head\n{long}\nShort."
+    sections = "".join(f"<section><h2>Part {k}</h2><p>{x}</p></section>" for k, x in enumerate([_BODY[0], long * 20, "Short, end."]))
+    assert html.main_text(f"<body><div>{sections}</div></body>") == f"Part 0\n{_BODY[0]}\nPart 1\n{long * 20}\nPart 2\nShort, end."
+    assert html.main_text(f"<h1>Head</h1><p>{long}</p><blockquote>Short</blockquote>") == f"Head\n{long}\nShort"
+    assert html.main_text(f"<body><div class=x><h3>Links</h3><div>a</div></div><div><p>{long}</p></div></body>") == long
+
+
 def test_pages(spark):
     df = spark.createDataFrame([(1, None, None, "z"), (2, "u", "<p>x, y.", "z")], "page_id long, url string, html string, text string")
     assert [tuple(r) for r in html.extract(df).orderBy("page_id").collect()] == [(1, None, "", 0), (2, "u", "x, y.", 5)]
