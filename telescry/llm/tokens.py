@@ -38,9 +38,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        #: Texts that may hold an added token, in any letter case, are left to the tokenizer as a whole.
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in spec.get("added_tokens") or ()) or r"(?!)", re.IGNORECASE)
         #: Byte-level vocabularies keep white space; the other kind drops it.
         self.keeps_space = spec.get("normalizer") is None and spec["pre_tokenizer"]["type"] == "ByteLevel"
         self.model, self.names, self.parts = self.tokenizer.model, _byte_names(), {}
@@ -100,6 +101,9 @@ class Encoder:
     def _some(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > _MOST:
             self.older, self.cache = self.cache, {}
+        whole = {k: t for k, t in enumerate(texts) if self.added.search(t)}
+        if whole:
+            texts = [t for k, t in enumerate(texts) if k not in whole]
         split = [self._words(t) for t in texts]
         if new := set().union(*split).difference(self.cache):
             if self.keeps_space and (unsafe := {w for w in new if not isinstance(w, tuple) and w[-1:].isspace()} - self.unsafe):
@@ -108,7 +112,10 @@ class Encoder:
                 new = set().union(*split).difference(self.cache)
             self._learn(new)
         ids = self.cache.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        out = [b"".join(map(ids, words)) for words in split]
+        for k, text in whole.items():
+            out.insert(k, array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in order; works on about two million characters at a time."""

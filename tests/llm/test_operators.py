@@ -274,6 +274,13 @@ def test_cached_tokens_equal_the_tokenizer(name, monkeypatch, docs):
         assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_texts(name):
+    texts = ["a <|endoftext|> b", "plain", "x<|endoftext|>y", "", "<|startoftext|>\n", "<|ENDOFTEXT|> z", "<|endoftext|", "two <|endoftext|><|endoftext|>"]
+    for text, ids in zip(texts, tokens.Encoder(public_tokenizers.path(name)).encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain_ids(name, text)[:-1], text
+
+
 def test_addressable_codes():
     rng = np.random.default_rng(1)
     for n, top in [(0, 1), (1, 2**32), (511, 300), (512, 256), (513, 70_000), (5000, 50_257), (3000, 2**32)]:
