@@ -137,3 +137,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+@registered("op11_hybrid_search", r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL),
+docs AS (SELECT row, doc_id, len(t)::BIGINT AS n FROM texts WHERE len(t) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM docs),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+wanted AS (SELECT item_id, term, count(*)::BIGINT AS times FROM asked GROUP BY ALL),
+postings AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(t) AS term FROM texts)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM postings GROUP BY ALL), totals),
+scored AS (
+  SELECT item_id, doc_id, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // words)))))::BIGINT AS score
+  FROM wanted JOIN postings USING (term) JOIN weights USING (term) JOIN docs USING (row), totals GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 10
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.lexical import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
