@@ -167,3 +167,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from telescry.llm.lexical import rank_documents
 
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@registered("op12_compression_quality")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.compression import learn, score_texts
+
+    docs = table(spark, sf_dir, "documents")
+    return score_texts(docs, learn(docs, table(spark, sf_dir, "labels")))
