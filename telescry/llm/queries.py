@@ -175,3 +175,58 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score_texts(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
+@registered("op13_conversation_repair", r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, row_number() OVER () AS row,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS bytes
+  FROM conversations),
+kinds AS (
+  SELECT * EXCLUDE (bytes), xor(list_reduce(list_concat([4294967295::BIGINT], bytes), lambda crc, b: list_reduce(
+    [xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 20 AS kind
+  FROM keyed),
+hurt AS (
+  SELECT conv_id, turn, row, copy, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM kinds, (VALUES (0), (1)) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, row, copy) AS pos, substr(role, 1, 1) AS initial,
+         right(rtrim(text, E' \t\n\x0B\x0C\r'), 1) AS ending
+  FROM hurt),
+judged AS (
+  SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                 WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lead(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS following
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (following IS NOT NULL AND initial || following NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+  FROM judged GROUP BY conv_id),
+moves(p, c, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+inserts(p, q, cost, audit, lines) AS (
+  SELECT s, s, 0, '', []::VARCHAR[] FROM range(4) AS r(s)
+  UNION ALL SELECT p, q, 2, 'I', [CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END] FROM moves WHERE c <> 's'
+  UNION ALL SELECT a.p, b.q, 4, 'II', ['user:', 'assistant:'] FROM moves a JOIN moves b ON a.q = b.p AND a.c = 'u' AND b.c = 'a' WHERE a.p < 2),
+edits AS (
+  SELECT conv_id, pos, p, p AS q, 3 AS cost, 'D' AS audit, []::VARCHAR[] AS lines FROM judged, (SELECT unnest(range(4)) AS p)
+  UNION ALL SELECT conv_id, pos, p, q, (fault = 'truncated')::INT, 'K', [role || ':' || text] FROM judged JOIN moves ON c = initial WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL SELECT conv_id, pos, p, q, 2 + (fault = 'truncated')::INT, 'R', [CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text] FROM judged JOIN moves ON c <> 's' WHERE fault NOT IN ('blank', 'duplicate')),
+steps AS (
+  SELECT conv_id, 0::BIGINT AS pos, q::BIGINT AS state, cost::BIGINT AS cost, audit, lines FROM counts, inserts WHERE p = 0
+  UNION ALL
+  SELECT s.conv_id, s.pos + 1, i.q, min(s.cost + e.cost + i.cost), arg_min(s.audit || e.audit || i.audit, printf('%012d', (s.cost + e.cost + i.cost)::BIGINT) || s.audit || e.audit || i.audit),
+         arg_min(list_concat(s.lines, e.lines, i.lines), printf('%012d', (s.cost + e.cost + i.cost)::BIGINT) || s.audit || e.audit || i.audit)
+  FROM steps s JOIN edits e ON s.conv_id IS NOT DISTINCT FROM e.conv_id AND e.pos = s.pos + 1 AND e.p = s.state JOIN inserts i ON i.p = e.q
+  GROUP BY s.conv_id, s.pos, i.q),
+repaired AS (
+  SELECT c.conv_id, min(s.cost) AS cost, arg_min(audit, printf('%012d', s.cost) || audit) AS audit, arg_min(lines, printf('%012d', s.cost) || audit) AS lines
+  FROM counts c JOIN steps s ON c.conv_id IS NOT DISTINCT FROM s.conv_id AND c.n = s.pos WHERE state IN (0, 3) GROUP BY c.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(array_to_string(coalesce(lines, []), chr(10))) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from telescry.llm.repair import repair
+
+    return repair(table(spark, sf_dir, "conversations"))
