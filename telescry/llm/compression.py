@@ -7,8 +7,8 @@ per byte; both are drawn to neutral values where there is little text.  A logist
 fitted to labelled texts that no dictionary was built from, makes the score: the chance that the label is 1.  (The rate tells texts
 that repeat themselves, which both dictionaries compress alike.)
 
-The dictionaries are trained in tasks, from at most ``pieces`` pieces a class, those with the smallest hashes, from ``sample`` labelled texts a class;
-the curve is fitted to at most ``sample`` labelled texts.  Scoring reads everything.
+The dictionaries are trained in tasks, from about ``pieces`` different pieces a class, those with the smallest hashes, of at most ``sample`` labelled texts a
+class; the curve is fitted to at most ``sample`` labelled texts.  Scoring reads everything.
 
 Defined cases: null and empty texts get the score of a neutral difference and rate; without labelled texts of both classes every text
 gets the share of good labels (0.5 without any); a doc_id labelled more than once has its largest label; null labels and labels
@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from telescry.llm.common import map_rows, stage_table, text_of
@@ -131,8 +130,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 4_000, pieces: int =
         found = [(g, p) for t, g in zip(batch["text"], batch["good"], strict=True) for p in pieces_of(t)]
         yield {"good": [g for g, _ in found], "piece": [p for _, p in found]}
 
-    place = F.row_number().over(W.partitionBy("good").orderBy(F.xxhash64("piece"), "piece"))
-    cuts = map_rows(texts.filter("builds").select("text", "good"), "good int, piece binary", cut).withColumn("place", place).filter(F.col("place") <= pieces)
+    cuts = map_rows(texts.filter("builds").select("text", "good"), "good int, piece binary", cut).distinct()
+    cuts = stage_table(cuts.withColumn("place", F.pmod(F.xxhash64("piece"), F.lit(1 << 30))), "labelled-pieces")
+    sizes = {r.good: r["count"] for r in cuts.groupBy("good").count().collect()}  # two rows
+    bar = F.create_map(*[F.lit(x) for g, n in (sizes or {0: 1}).items() for x in (g, int((1 << 30) * min(1.0, pieces / n)))])
+    cuts = cuts.filter(F.col("place") < bar[F.col("good")])
 
     def build(rows: pa.Table) -> pa.Table:
         found = sorted(zip(rows["place"].to_pylist(), rows["piece"].to_pylist(), strict=True))
