@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from telescry.operators.snapshot import LookupSpec, explode_zipped, key_index, latest, lookup_rows, unmapped
 
+#: What the flow lookups read of the device and interface tables.
+DEVICE_LOOKUP, INTERFACE_LOOKUP = "meta_device:@loopback_ip", "meta_interface:device_id:flow_index:edge"
+
 
 def lookup_join(df: DataFrame, right: DataFrame | None, on: Mapping[str, str], fields: Mapping[str, str],
                 how: str = "left") -> DataFrame:
@@ -57,7 +60,7 @@ def lookup_array(df: DataFrame, key: str, ids: str, right: DataFrame | None, out
 
 def preferred_interfaces(interfaces: DataFrame) -> DataFrame:
     """D8 dimension: per (device, flow index) the edge interface, else the other one; newest wins."""
-    rows = lookup_rows(interfaces, LookupSpec.parse("meta_interface:device_id:flow_index:edge"))
+    rows = lookup_rows(interfaces, LookupSpec.parse(INTERFACE_LOOKUP))
     rows = rows.withColumn("flow_index", F.col("flow_index").cast("string"))
     return latest(rows, ["device_id", "flow_index"], ["id", "ref", "edge"],
                   [F.col("edge"), F.col("max_insert_time"), F.col("id")])
@@ -76,7 +79,7 @@ def edge_flag(column: str) -> Column:
 
 def devices_by_address(devices: DataFrame) -> DataFrame:
     """D9 dimension: loopback address -> newest device."""
-    rows = lookup_rows(devices, LookupSpec.parse("meta_device:@loopback_ip"))
+    rows = lookup_rows(devices, LookupSpec.parse(DEVICE_LOOKUP))
     rows = rows.withColumn("loopback_ip", unmapped(F.col("loopback_ip"))).filter(F.col("loopback_ip").isNotNull())
     return key_index(rows, ["loopback_ip"], ["id", "ref"])
 

@@ -173,6 +173,13 @@ def apply_batch(staged: DataFrame, table: DataFrame | None, spec: EntitySpec,
                 cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Stage -> references -> versions -> rows stamped with ``insert_time``."""
     now = current(table) if table is not None and spec.versioned else None
+    return apply_to_current(staged, now, spec, snapshots, as_of, force, cut)
+
+
+def apply_to_current(staged: DataFrame, now: DataFrame | None, spec: EntitySpec,
+                     snapshots: Mapping[str, DataFrame], as_of: Column, force: bool = False,
+                     cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``apply_batch`` where the current versions (``id, ref, hash``) are at hand."""
     rows = upsert_versions(with_refs(staged, spec, snapshots, cut), now, spec, force, cut)
     if spec.id_type != "string":
         rows = rows.withColumn("id", F.col("id").try_cast(spec.id_type)).filter(F.col("id").isNotNull())

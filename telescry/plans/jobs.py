@@ -19,10 +19,12 @@ from telescry.entities import addresses, services, specs, status
 from telescry.operators import flows, keyed, metrics, ranges, registry, rollup, versioned
 from telescry.operators.predicates import route_contains, route_url, split_required
 from telescry.operators.prefix import subnet_index
-from telescry.operators.snapshot import LookupSpec, current, keep_last, lookup_rows
+from telescry.operators.lookup import DEVICE_LOOKUP, INTERFACE_LOOKUP
+from telescry.operators.snapshot import LookupSpec, live, lookup_rows
 from telescry.operators.versioned import EntitySpec
 from telescry.session import cut_lineage
 from telescry.sinks import tables as sinks
+from telescry.sinks.current import HASH_VIEW, KV_VIEW, KeptView, last_view, latest_version_view, lookup_view, read_kept, refresh, version_view
 from telescry.sources import files, messages
 from telescry.streaming.run import BatchFn, read_once, rollup_sink, run_stream
 
@@ -31,10 +33,26 @@ KV, HASHES = "kv", "kv_hash"
 
 # --- metadata --------------------------------------------------------------------------------------
 
+#: Views that the flow jobs read of a metadata table, besides its current versions.
+DEVICE_VIEW, INTERFACE_VIEW = lookup_view(DEVICE_LOOKUP), lookup_view(INTERFACE_LOOKUP)
+APPLICATION_VIEW = last_view(specs.APPLICATION)
+
+
+def views_of(spec: EntitySpec) -> list[KeptView]:
+    own = [version_view(spec)] if spec.versioned else []
+    return own + [v for v in (DEVICE_VIEW, INTERFACE_VIEW, APPLICATION_VIEW) if v.table == spec.table]
+
+
+def refresh_views(spark: SparkSession, base: str, kept: Sequence[KeptView]) -> None:
+    """Merge the last appends into the views, where that pays."""
+    for view in kept:
+        refresh(spark, base, view)
+
+
 def refs(spark: SparkSession, base: str, name: str) -> DataFrame | None:
     """``id, ref`` of the current versions of a metadata table, None while it is empty."""
-    table = sinks.read_table(spark, base, name)
-    return None if table is None else current(table, ["ref"])
+    kept = read_kept(spark, base, latest_version_view(name, ("hash",)))
+    return None if kept is None else kept.select("id", "ref")
 
 
 def snapshots(spark: SparkSession, base: str, spec: EntitySpec) -> dict[str, DataFrame]:
@@ -45,9 +63,10 @@ def snapshots(spark: SparkSession, base: str, spec: EntitySpec) -> dict[str, Dat
 
 def upsert_entity(spark: SparkSession, base: str, spec: EntitySpec, staged: DataFrame, as_of: Column, force: bool = False) -> None:
     """Append the new versions of a staged batch; running it twice appends nothing the second time."""
-    table = sinks.read_table(spark, base, spec.table)
-    rows = versioned.apply_batch(staged, table, spec, snapshots(spark, base, spec), as_of, force, cut_lineage)
+    now = read_kept(spark, base, version_view(spec)) if spec.versioned else None
+    rows = versioned.apply_to_current(staged, now, spec, snapshots(spark, base, spec), as_of, force, cut_lineage)
     sinks.append_table(rows, sinks.metadata_table(spec), base)
+    refresh_views(spark, base, views_of(spec))
 
 
 def metadata_files(spark: SparkSession, paths: str | Sequence[str], base: str, as_of: Column, force: bool = False) -> None:
@@ -122,6 +141,7 @@ def status_job(spark: SparkSession, payloads: str, base: str, as_of: Column, cfg
     lookups = keyed.invert_refs(records["facility"].filter(F.col("self_uri").isNotNull()), "site_uris", status.FACILITY_TABLE).unionByName(
         keyed.invert_refs(records["site"].filter(F.col("self_uri").isNotNull()), "resource_uris", status.SITE_TABLE))
     sinks.write_kv(keyed.kv_rows(lookups, as_of), base, KV)
+    refresh(spark, base, KV_VIEW)
     view = kv(spark, base, as_of)
     to_facility, to_site = (keyed.kv_table(view, t) for t in (status.FACILITY_TABLE, status.SITE_TABLE))
     upsert_entity(spark, base, specs.FACILITY, status.stage_facilities(records["facility"]), as_of)
@@ -156,8 +176,11 @@ def _job_fields() -> str:
 
 def kv(spark: SparkSession, base: str, as_of: Column | None = None) -> DataFrame | None:
     """Live key-value entries, None before the first write."""
-    table = sinks.read_table(spark, base, KV)
-    return None if table is None else keyed.kv_view(table, as_of)
+    return _live(read_kept(spark, base, KV_VIEW), as_of)
+
+
+def _live(kept: DataFrame | None, as_of: Column | None) -> DataFrame | None:
+    return kept if kept is None or as_of is None else live(kept, as_of)
 
 
 def kv_job(spark: SparkSession, base: str, lookup_specs: Sequence[str], as_of: Column) -> None:
@@ -171,6 +194,7 @@ def kv_job(spark: SparkSession, base: str, lookup_specs: Sequence[str], as_of: C
         strip = F.expr("substring(key, instr(key, ':') + 1)")
         entries = keyed.kv_rows(pairs.withColumn("key", strip), as_of, None, keyed.time_order(F.col("max_insert_time")))
         sinks.write_kv(keyed.kv_view(entries), base, KV)  # of records with one key the newest
+    refresh(spark, base, KV_VIEW)
 
 
 def ip_index_job(spark: SparkSession, base: str, spec_text: str = "meta_ip:as_id", simple_name: bool = True,
@@ -206,34 +230,29 @@ def interface_cache_job(spark: SparkSession, polls: DataFrame, base: str, as_of:
     order = [keyed.message_order().alias("seq")] if {"message_time", "partition", "offset"} <= set(polls.columns) else []
     recs = keyed.interface_records(keyed.name_from_id(polls), order)
     sinks.write_kv(keyed.hash_rows(recs, "meta_interface_cache", "id", as_of), base, HASHES)
+    refresh(spark, base, HASH_VIEW)
 
 
 def interface_export_job(spark: SparkSession, base: str, as_of: Column) -> None:
     """Cached interface records -> meta_interface."""
-    table = sinks.read_table(spark, base, HASHES)
-    if table is None:
+    view = _live(read_kept(spark, base, HASH_VIEW), as_of)
+    if view is None:
         return
-    wide = keyed.hash_records(keyed.hash_view(table, as_of), "meta_interface_cache", ["id", "ext", *specs.INTERFACE.fields])
+    wide = keyed.hash_records(view, "meta_interface_cache", ["id", "ext", *specs.INTERFACE.fields])
     upsert_entity(spark, base, specs.INTERFACE, versioned.stage(_as_rows(wide.drop("key")), specs.INTERFACE), as_of)
 
 
 # --- flows -----------------------------------------------------------------------------------------
 
 def flow_lookups(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig()) -> flows.FlowLookups:
-    """Lookups from the metadata tables and exported indexes as they are now."""
-    apps = sinks.read_table(spark, base, specs.APPLICATION.table)
+    """Lookups from the kept views and exported indexes as they are now."""
+    apps = read_kept(spark, base, APPLICATION_VIEW)
     index = lambda name: sinks.read_table(spark, base, sinks.index_file_name(name))
     ext = {name: index(f"meta_ip_{name}") for name in cfg.ip_ref_extensions}
     return flows.FlowLookups(
         ip=index("meta_ip"), ip_ext={n: df for n, df in ext.items() if df is not None},
-        as_refs=refs(spark, base, specs.AUTONOMOUS_SYSTEM.table), devices=sinks.read_table(spark, base, specs.DEVICE.table),
-        interfaces=sinks.read_table(spark, base, specs.INTERFACE.table),
-        applications=None if apps is None else ranges.cache_ranges(latest_applications(apps)))
-
-
-def latest_applications(table: DataFrame) -> DataFrame:
-    """E7 on the unversioned application table."""
-    return keep_last(table, list(specs.APPLICATION.sort_key), [F.col("insert_time")])
+        as_refs=refs(spark, base, specs.AUTONOMOUS_SYSTEM.table), devices=read_kept(spark, base, DEVICE_VIEW),
+        interfaces=read_kept(spark, base, INTERFACE_VIEW), applications=None if apps is None else ranges.cache_ranges(apps))
 
 
 def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), rollups: Mapping[str, Sequence[str]] | None = None,
@@ -258,11 +277,11 @@ def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), r
         stored = sinks.read_batch(session, sinks.FLOW_TABLE, base, batch)
         if stored is None:
             return
-        apps = sinks.read_table(session, base, specs.APPLICATION.table)
+        apps = read_kept(session, base, APPLICATION_VIEW)
         for name, windows in wanted.items():
             kind = rollup.KINDS[name]
             for window in windows:
-                index = None if apps is None else ranges.dictionary_ranges(latest_applications(apps))
+                index = None if apps is None else ranges.dictionary_ranges(apps)
                 rollup_sink(kind, window, base, policy, lambda index=index: index)(stored, batch)
 
     return read_once(handle)
@@ -315,6 +334,7 @@ def snmp_batch(base: str, rules: metrics.Rules, as_of: Callable[[], Column] = F.
         newest = keyed.kv_view(keyed.kv_rows(entries, as_of(), order=keyed.message_order()))
         known = kv(spark, base, as_of())
         sinks.write_kv(newest if known is None else keyed.to_write(newest, known, as_of()), base, KV, batch)
+        refresh(spark, base, KV_VIEW)
         view = kv(spark, base, as_of())
         traffic = metrics.interface_traffic(good, keyed.kv_table(view, cfg.ifname_table), keyed.kv_table(view, cfg.interface_ref_table), cfg)
         sinks.append_table(traffic, sinks.TRAFFIC_TABLE, base, batch)

@@ -16,6 +16,7 @@ from telescry.plans.registered.rollups import _epoch, _version_sql, as_version_f
 from telescry.plans.views import table
 from telescry.session import shared_dir
 from telescry.sinks import tables as sinks
+from telescry.sinks.current import latest_version_view, read_kept, refresh, write_generation
 from telescry.sinks.tables import Batch
 from telescry.streaming.run import compact_rollup, read_rollup, rollup_sink, run_stream
 
@@ -89,6 +90,28 @@ def c5_newest(spark, sf_dir):
     return jobs.kv(spark, base).select("table", "key", "value")
 
 
+ORDER_TABLE = sinks.TableSpec("meta_order", ("id", "ref", "hash", "insert_time"))
+
+
+@registered("c9_refreshed_lookup", """
+SELECT o_custkey::VARCHAR AS id, arg_max(o_custkey || '__v' || o_orderkey, (date_trunc('year', o_orderdate), o_orderkey)) AS ref,
+       arg_max(o_orderstatus, (date_trunc('year', o_orderdate), o_orderkey)) AS hash FROM orders GROUP BY o_custkey""")
+def c9(spark, sf_dir):
+    """Three appends of versions: one merged, one with a refresh that broke off and another one, one read from its own folder."""
+    o, base = table(spark, sf_dir, "orders"), shared_dir(spark, "kept")
+    view = latest_version_view("meta_order", ("hash",))
+    versions = o.select(
+        F.col("o_custkey").cast("string").alias("id"), F.concat(F.col("o_custkey").cast("string"), F.lit("__v"), F.col("o_orderkey").cast("string")).alias("ref"),
+        F.col("o_orderstatus").alias("hash"), F.date_trunc("year", "o_orderdate").alias("insert_time"), F.pmod("o_orderkey", F.lit(3)).alias("part"))
+    for part in range(3):
+        sinks.append_table(versions.filter(F.col("part") == part), ORDER_TABLE, base)
+        if part == 1:
+            write_generation(spark, base, view, read_kept(spark, base, view).limit(1), 1)  # breaks off before its pointer
+        if part < 2:
+            refresh(spark, base, view)
+    return read_kept(spark, base, view).select("id", "ref", "hash")
+
+
 def _metric_rows(ev: DataFrame, value, target) -> DataFrame:
     null = F.lit(None).cast("string")
     return ev.select(

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,8 +59,10 @@ class Batch:
     number: int
 
 
-#: Batch jobs append to one partition; a stream's batch has a partition of its own, which a repeat overwrites.
+#: A batch job: each append gets the next number of the table.  A stream's batch has its number, and a repeat overwrites it.
 JOB = Batch("job", 0)
+#: Files that reserve a job's append (``n``) and tell that it is complete (``n.done``).
+_APPENDS = "_appends"
 
 
 def declared(df: DataFrame, columns: Sequence[str], types: Mapping[str, str] | None = None) -> DataFrame:
@@ -70,11 +73,46 @@ def declared(df: DataFrame, columns: Sequence[str], types: Mapping[str, str] | N
 
 def _write(df: DataFrame, path: str, parts: Sequence[str], sort: Sequence[str], batch: Batch) -> None:
     """One layout for every table: its own partitions, then writer and batch, so that any two writers fit together."""
-    out = df.withColumn("writer", F.lit(batch.writer)).withColumn("batch_id", F.lit(batch.number).cast("bigint"))
+    number = reserve_append(df.sparkSession, path) if batch == JOB else batch.number
+    out = df.withColumn("writer", F.lit(batch.writer)).withColumn("batch_id", F.lit(number).cast("bigint"))
     if sort:
         out = out.sortWithinPartitions(*parts, *sort)
     writer = out.write.mode("append" if batch == JOB else "overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts, "writer", "batch_id").parquet(path)
+    if batch == JOB:
+        create_file(df.sparkSession, f"{path}/{_APPENDS}/{number}.done")
+
+
+def create_file(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a file that nobody else has created; false if somebody has."""
+    fs, target = _filesystem(spark, path)
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    out.writeBytes(text)
+    out.close()
+    return True
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _filesystem(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def reserve_append(spark: SparkSession, path: str) -> int:
+    """The next number of a job's append to a table; no two jobs get the same one."""
+    taken = [int(n) for n in _names(spark, f"{path}/{_APPENDS}") if n.isdigit()]
+    number = max(taken, default=-1) + 1
+    while not create_file(spark, f"{path}/{_APPENDS}/{number}"):
+        number += 1
+    return number
+
+
+def finished_appends(spark: SparkSession, path: str) -> set[int]:
+    return {int(n.removesuffix(".done")) for n in _names(spark, f"{path}/{_APPENDS}") if n.endswith(".done")}
 
 
 def append_table(df: DataFrame, table: TableSpec, base: str, batch: Batch = JOB) -> None:
