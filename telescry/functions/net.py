@@ -84,7 +84,7 @@ def with_address(df: DataFrame, ip: str, family: str = "family", hi: str = "hi",
     are not pushed below them as copies.
     """
     text = F.trim(F.col(f"`{ip}`").cast("string"))
-    split = df.select("*", F.explode(F.array(F.struct(text.alias("t"), F.split(text, "[.]", 5).alias("p")))).alias("_text"))
+    split = df.select("*", F.explode(F.array(F.struct(text.alias("t"), F.split(text, r"\.", 5).alias("p")))).alias("_text"))
     part = [F.get("_text.p", F.lit(i)).try_cast("int") for i in range(4)]
     small = (part[0].bitwiseOR(part[1]).bitwiseOR(part[2]).bitwiseOR(part[3])).between(0, 255)
     is_v4 = (F.size("_text.p") == 4) & small & (F.concat_ws(".", *[p.cast("string") for p in part]) == F.col("_text.t"))

@@ -22,7 +22,7 @@ from telescry.operators.lookup import (
     preferred_interfaces,
 )
 from telescry.operators.predicates import all_present
-from telescry.operators.prefix import lpm_attach, lpm_resolve
+from telescry.operators.prefix import PrefixIndex, lpm_attach, lpm_resolve
 from telescry.operators.ranges import port_dimension
 
 REQUIRED = ("ip_src", "ip_dst", "port_src", "port_dst", "ip_proto")
@@ -58,8 +58,8 @@ class FlowLookups:
     ``interfaces`` metadata tables, ``as_refs`` and the other ``*_refs`` ``id, ref`` snapshots.
     """
 
-    ip: DataFrame | None = None
-    ip_ext: Mapping[str, DataFrame] = field(default_factory=dict)
+    ip: DataFrame | PrefixIndex | None = None
+    ip_ext: Mapping[str, DataFrame | PrefixIndex] = field(default_factory=dict)
     as_refs: DataFrame | None = None
     devices: DataFrame | None = None
     interfaces: DataFrame | None = None
@@ -332,7 +332,7 @@ def enriched_ext(groups: tuple[str, ...]) -> dict[str, Column]:
     return {name: c for group in groups for name, c in families.get(group, {}).items()}
 
 
-def project_enriched_flows(messages: DataFrame, cfg: FlowConfig = FlowConfig(), ip: DataFrame | None = None,
+def project_enriched_flows(messages: DataFrame, cfg: FlowConfig = FlowConfig(), ip: DataFrame | PrefixIndex | None = None,
                            as_refs: DataFrame | None = None, device_refs: DataFrame | None = None,
                            interface_refs: DataFrame | None = None, service_refs: DataFrame | None = None,
                            registry: DataFrame | None = None) -> DataFrame:

@@ -247,7 +247,7 @@ def interface_export_job(spark: SparkSession, base: str, as_of: Column) -> None:
 def flow_lookups(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig()) -> flows.FlowLookups:
     """Lookups from the kept views and exported indexes as they are now."""
     apps = read_kept(spark, base, APPLICATION_VIEW)
-    index = lambda name: sinks.read_table(spark, base, sinks.index_file_name(name))
+    index = lambda name: sinks.read_index(spark, base, name)
     ext = {name: index(f"meta_ip_{name}") for name in cfg.ip_ref_extensions}
     return flows.FlowLookups(
         ip=index("meta_ip"), ip_ext={n: df for n, df in ext.items() if df is not None},
@@ -305,7 +305,7 @@ def enriched_flow_batch(base: str, cfg: FlowConfig = FlowConfig(), service_refs:
         sinks.append_table(dead, REJECTED, base, batch)
         lookups = flow_lookups(session, base, cfg)
         known = lambda spec: refs(session, base, spec.table)
-        registry = sinks.read_table(session, base, sinks.index_file_name(specs.SCIENCE_REGISTRY_IP.table))
+        registry = sinks.read_index(session, base, specs.SCIENCE_REGISTRY_IP.table)
         out = flows.project_enriched_flows(
             good, cfg, lookups.ip, lookups.as_refs, known(specs.DEVICE), known(specs.INTERFACE), service_refs(session), registry)
         sinks.append_table(out, sinks.FLOW_TABLE, base, batch)

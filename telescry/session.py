@@ -64,6 +64,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a result that several later passes read to the shared folder, and read it from there: plans on top of it stay small."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write an intermediate result that several later passes read to the checkpoint folder."""
     context = df.sparkSession.sparkContext

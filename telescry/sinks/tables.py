@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from telescry.entities import specs
 from telescry.operators.flows import FLOW_COLUMNS
 from telescry.operators.metrics import INTERFACE_FIELDS, TRAFFIC_KEYS
+from telescry.operators.prefix import PrefixIndex, counts_of, length_counts, needs_search, search_entries
 from telescry.operators.rollup import COUNTERS, RollupKind
 
 
@@ -258,7 +259,25 @@ def index_file_name(spec_text: str, simple: bool = True) -> str:
 
 
 def export_index(index: DataFrame, base: str, spec_text: str, simple: bool = True) -> str:
-    """Replace the exported subnet index."""
+    """Replace the exported subnet index, and beside it what searches need."""
     path = f"{base}/{index_file_name(spec_text, simple)}"
-    index.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    _replace(index, path)
+    stored = index.sparkSession.read.parquet(path)
+    _replace(length_counts(stored).coalesce(1), f"{path}.lengths")
+    counts = counts_of(index.sparkSession.read.parquet(f"{path}.lengths"))
+    _replace(search_entries(stored, counts) if needs_search(counts) else stored.select("family", "plen", "hi", "lo", F.col("plen").alias("best")).limit(0), f"{path}.search")
     return path
+
+
+def _replace(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def read_index(spark: SparkSession, base: str, spec_text: str, simple: bool = True) -> PrefixIndex | None:
+    """An exported subnet index, None while there is none."""
+    name = index_file_name(spec_text, simple)
+    rows, search, lengths = (read_table(spark, base, f"{name}{part}") for part in ("", ".search", ".lengths"))
+    if rows is None or search is None or lengths is None:
+        return None
+    counts = counts_of(lengths)
+    return PrefixIndex(rows, search if needs_search(counts) else None, counts)

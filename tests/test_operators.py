@@ -23,7 +23,10 @@ def random_net(rng, v6):
     return net
 
 
-def test_longest_prefix_matches_brute_force(spark):
+@pytest.mark.parametrize(("few", "lengths"), [(400_000, 0), (0, 0), (400_000, 129)])
+def test_longest_prefix_matches_brute_force(spark, monkeypatch, few, lengths):
+    monkeypatch.setattr(prefix, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(prefix, "FEW_LENGTHS", {4: lengths, 6: lengths})
     rng = random.Random(7)
     nets = [random_net(rng, i % 2) for i in range(120)] + [ipaddress.ip_network("10.1.0.0/16"), ipaddress.ip_network("10.1.2.0/24")]
     rows = [(f"{i:04d}", f"r{i}", [(str(n.network_address), n.prefixlen)], i) for i, n in enumerate(nets)]
@@ -51,6 +54,34 @@ def test_longest_prefix_matches_brute_force(spark):
     assert got == {i: expect(ip) for i, ip in enumerate(ips)}
 
 
+@pytest.mark.parametrize(("v6", "lengths"), [(False, 0), (True, 0), (False, 129)])
+def test_search_of_nested_prefixes(spark, monkeypatch, v6, lengths):
+    """Many prefixes inside one another, at nearly every length, so that searches follow markers and are led astray."""
+    monkeypatch.setattr(prefix, "FEW_LENGTHS", {4: lengths, 6: lengths})
+    rng, bits = random.Random(17 + v6), 128 if v6 else 32
+    base = int(ipaddress.ip_address("2001:db8::" if v6 else "10.1.2.0"))
+    spread = 70 if v6 else 10
+    nets = sorted({ipaddress.ip_network((base + rng.getrandbits(spread), rng.randint(bits - spread - 8, bits)), strict=False) for _ in range(150)}, key=str)
+    rows = [(f"{i:03d}", [(str(n.network_address), n.prefixlen)], i) for i, n in enumerate(nets)]
+    index = prefix.subnet_index(spark.createDataFrame(rows, "id string, ip_subnet array<struct<ip:string,len:int>>, v int"), ["v"])
+    ips = sorted({str(ipaddress.ip_address(base + rng.getrandbits(spread))) for _ in range(200)} | {str(n.network_address) for n in nets})
+    best = lambda inside: max(((n.prefixlen, k) for k, n in enumerate(nets) if inside(n)), default=(0, None))[1]
+    joined = prefix.lpm_join(spark.createDataFrame([(ip,) for ip in ips], "ip string"), "ip", index, {"v": "v"})
+    assert {r.ip: r.v for r in joined.collect()} == {ip: best(lambda n, a=ipaddress.ip_address(ip): a in n) for ip in ips}
+    probes = sorted({ipaddress.ip_network((base + rng.getrandbits(spread), rng.randint(bits - spread - 8, bits)), strict=False) for _ in range(150)}, key=str)
+    covered = prefix.cidr_join(spark.createDataFrame([(str(p),) for p in probes], "net string"), "net", index, {"v": "v"})
+    assert {r.net: r.v for r in covered.collect()} == {str(p): best(lambda n, p=p: p.subnet_of(n)) for p in probes}
+
+
+def test_search_takes_few_joins(spark):
+    for n, joins in ((33, 6), (129, 8), (1, 1), (0, 0)):
+        assert n.bit_length() == joins
+    assert all(len(prefix.search_path(at, 129)) <= 8 for at in range(129))
+    nets = [(f"{k}", [(f"10.0.{k}.0", 8 + k)], k) for k in range(24)]
+    search = prefix.searchable(prefix.subnet_index(spark.createDataFrame(nets, "id string, ip_subnet array<struct<ip:string,len:int>>, v int"), ["v"]))
+    assert search.lengths == {4: list(range(8, 32))} and search.entries.count() <= 24 * 5
+
+
 def test_cidr_join_matches_brute_force(spark):
     rng = random.Random(3)
     nets = list({random_net(rng, i % 2) for i in range(80)})
