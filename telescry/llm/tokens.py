@@ -1,9 +1,10 @@
-"""Tokenizing whole texts with a cache of words.
+"""Tokenizing whole texts with a cache of pieces.
 
-Both kinds of vocabulary split a text at white space before they merge, so the ids of a text are those of its words one
-after the other.  Each Python worker keeps the ids of the words it met and gives only new words to the tokenizer.  The cache
-has two generations of at most ``_MOST`` words, the older of which goes when the newer is full; this changes the speed,
-never the ids.
+Both kinds of vocabulary cut a text by a pattern before they merge, so the ids of a text are those of its pieces one after the
+other.  Texts of plain characters (printable ASCII, letters of Western Europe, spaces and line feeds) are cut here by the same pattern, and
+each Python worker keeps the ids of the words and pieces it met; new pieces go to the vocabulary's merges.  Other texts are cut at white
+space only, and new words that are not plain go to the tokenizer.  The caches have two generations of at most about ``_MOST`` entries,
+the older of which goes when the newer is full; what is met again moves on.  This changes the speed, never the ids.
 """
 
 from __future__ import annotations
@@ -14,14 +15,25 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-_MOST, _CHARS = 500_000, 2_000_000
+_MOST, _CHARS = 500_000, 4_000_000
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+#: Characters whose class is the same in every Unicode version and in both pattern languages.
+_PLAIN_TEXT = re.compile(rf"[ \n!-~{_LETTERS}]*")
+_PLAIN_WORD = re.compile(rf"\n?[!-~{_LETTERS}]*")
+# The patterns of the two vocabularies over plain characters, and tabs, which keep words apart here.  Fixed values: the alternatives and
+# the contractions.
+_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+_BYTE_PIECES = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|{_CONTRACTIONS}|\t| ?[^ \n\t{_LETTERS}0-9]+|[ \n]+(?![^ \n])|[ \n]+")
+_WORD_PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|{_CONTRACTIONS}|\t|[^ \n\t{_LETTERS}0-9]+")
 #: Places before a space or line feed that follows a character which is not white space: no match of the byte-level
 #: pattern crosses them, and none looks beyond them.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
-#: Words that both patterns cut alike whatever the Unicode version: Latin letters, then punctuation without apostrophes.
-_PLAIN = re.compile(r"(\n?)([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _byte_names() -> dict[int, str]:
@@ -31,6 +43,24 @@ def _byte_names() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of data that the codes stand for, one after the other, and where each ends (after a 0)."""
+    length = lengths[code]
+    ends = np.r_[0, np.cumsum(length)]
+    return data[np.repeat(starts[code] - ends[:-1], length) + np.arange(ends[-1])], ends
+
+
+def _gathered(ids: list[bytes], code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    out, ends = _gather(np.frombuffer(b"".join(ids), "<u4"), np.cumsum(lengths) - lengths, lengths, code)
+    return out, ends[1:]
+
+
+def _has_runs(text: str) -> bool:
+    """Whether white space (spaces and line feeds) stands at an end of a text or in a run."""
+    return not text or text[0] in " \n" or text[-1] in " \n" or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+
+
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes."""
 
@@ -44,7 +74,9 @@ class Encoder:
         self.added = re.compile("|".join(re.escape(t["content"]) for t in spec.get("added_tokens") or ()) or r"(?!)", re.IGNORECASE)
         #: Byte-level vocabularies keep white space; the other kind drops it.
         self.keeps_space = spec.get("normalizer") is None and spec["pre_tokenizer"]["type"] == "ByteLevel"
-        self.model, self.names, self.parts = self.tokenizer.model, _byte_names(), {}
+        self.model, self.names = self.tokenizer.model, _byte_names()
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
         self.cache: dict = {}
         self.older: dict = {}
         self.unsafe = {"", "\n"}  # words after which a cut may split a run of white space
@@ -65,45 +97,87 @@ class Encoder:
             return word
         return word[0] if isinstance(word, tuple) else word if word[:1] == "\n" else " " + word
 
-    def _part(self, part: str) -> bytes:
+    def _merged(self, part: str) -> bytes:
         """The ids of what the pattern leaves as one piece, by the vocabulary's merges alone."""
+        if part.isascii():
+            named = part.replace(" ", self.names[0x20]).replace("\n", self.names[0x0A])
+        else:
+            named = part.encode().decode("latin-1").translate(self.names)
+        return array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
         if (ids := self.parts.get(part)) is None:
-            if len(self.parts) > _MOST:
-                self.parts.clear()
-            if part[0] == " " and part.isascii():
-                named = self.names[0x20] + part[1:]
-            else:
-                named = part.encode().decode("latin-1").translate(self.names)
-            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(named)]).tobytes()
+            if (ids := self.older_parts.get(part)) is None:
+                ids = self._merged(part)
+            self.parts[part] = ids
         return ids
 
-    def _plain(self, word) -> bytes | None:
-        """The ids of a word whose pieces are plain to see, else None."""
-        if isinstance(word, tuple) or not (found := _PLAIN.fullmatch(word)):
-            return None
-        feed, letters, marks = found.groups()
-        if not self.keeps_space:
-            return (self._part(letters.lower()) if letters else b"") + (self._part(marks) if marks else b"")
-        if feed:
-            return self._part("\n") + (self._part(letters) if letters else b"") + (self._part(marks) if marks else b"")
-        return self._part(" " + letters) + (self._part(marks) if marks else b"") if letters else self._part(" " + marks)
+    def _cut(self, text: str) -> list[str]:
+        """The pieces of a plain text."""
+        return _BYTE_PIECES.findall(text) if self.keeps_space else _WORD_PIECES.findall(text.lower())
+
+    def _plain_texts(self, texts: list[str]) -> list[bytes]:
+        """Plain texts with single spaces and line feeds between words only.
+
+        Arrow counts out the different words, and of these the different pieces; only pieces are looked up one by one.
+        """
+        if not texts:
+            return []
+        if self.keeps_space:
+            spaced = ["\n" + t.replace("\n", " \n") for t in texts]  # a line feed before the first word, whose id goes again
+        else:
+            spaced = [t.lower().replace("\n", " ") for t in texts]
+        words = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        if self.keeps_space:
+            different = [w if w[0] == "\n" else " " + w for w in different]
+        pieces = pa.array((_BYTE_PIECES if self.keeps_space else _WORD_PIECES).findall("\t".join(different)), pa.large_string()).dictionary_encode()
+        ids = [self._part(p) if p != "\t" else b"" for p in pieces.dictionary.to_pylist()]
+        of_words, ends = _gathered(ids, pieces.indices.to_numpy())
+        # a tab stands between two words
+        tab = pieces.dictionary.index("\t").as_py()
+        cuts = np.flatnonzero(pieces.indices.to_numpy() == tab)
+        bounds = np.r_[0, ends[cuts], ends[-1]]
+        out, ends = _gather(of_words, bounds[:-1], np.diff(bounds), coded.indices.to_numpy())
+        places = ends[words.offsets.to_numpy()].tolist()
+        first = len(self._part("\n")) // 4 if self.keeps_space else 0
+        return [out[a + first : b].tobytes() for a, b in zip(places, places[1:])]
+
+    def _spaced_texts(self, texts: list[str]) -> list[bytes]:
+        """Plain texts with runs of white space, piece by piece."""
+        return [b"".join([self._part(p) for p in self._cut(t)]) for t in texts]
 
     def _learn(self, new: set) -> None:
         rest = []
         for word in new:
-            if (ids := self.older.get(word)) is None and (ids := self._plain(word)) is None:
-                rest.append(word)
-            else:
+            if (ids := self.older.get(word)) is not None:
                 self.cache[word] = ids
+            elif isinstance(word, str) and word and _PLAIN_WORD.fullmatch(word):
+                self.cache[word] = b"".join([self._part(p) for p in self._cut(self._piece(word))])
+            else:
+                rest.append(word)
         for word, found in zip(rest, self.tokenizer.encode_batch_fast([self._piece(w) for w in rest], add_special_tokens=False), strict=True):
             self.cache[word] = array("I", found.ids).tobytes()
 
     def _some(self, texts: list[str]) -> list[bytes]:
+        if len(self.parts) > _MOST:
+            self.older_parts, self.parts = self.parts, {}
         if len(self.cache) > _MOST:
             self.older, self.cache = self.cache, {}
-        whole = {k: t for k, t in enumerate(texts) if self.added.search(t)}
-        if whole:
-            texts = [t for k, t in enumerate(texts) if k not in whole]
+        out: list[bytes] = [b""] * len(texts)
+        plain, spaced, rest = [], [], []
+        for k, text in enumerate(texts):
+            if self.added.search(text):
+                out[k] = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            else:
+                (rest if not _PLAIN_TEXT.fullmatch(text) else spaced if _has_runs(text) else plain).append(k)
+        for places, encode in ((plain, self._plain_texts), (spaced, self._spaced_texts), (rest, self._other_texts)):
+            for k, ids in zip(places, encode([texts[k] for k in places]), strict=True):
+                out[k] = ids
+        return out
+
+    def _other_texts(self, texts: list[str]) -> list[bytes]:
         split = [self._words(t) for t in texts]
         if new := set().union(*split).difference(self.cache):
             if self.keeps_space and (unsafe := {w for w in new if not isinstance(w, tuple) and w[-1:].isspace()} - self.unsafe):
@@ -112,13 +186,10 @@ class Encoder:
                 new = set().union(*split).difference(self.cache)
             self._learn(new)
         ids = self.cache.__getitem__
-        out = [b"".join(map(ids, words)) for words in split]
-        for k, text in whole.items():
-            out.insert(k, array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
-        return out
+        return [b"".join(map(ids, words)) for words in split]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, in order; works on about two million characters at a time."""
+        """The ids of each text, in order; works on about ``_CHARS`` characters at a time."""
         part, size = [], 0
         for text in texts:
             part.append(text)
