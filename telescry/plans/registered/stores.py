@@ -16,7 +16,7 @@ from telescry.plans.registered.rollups import _epoch, _version_sql, as_version_f
 from telescry.plans.views import table
 from telescry.session import shared_dir
 from telescry.sinks import tables as sinks
-from telescry.sinks.current import latest_version_view, read_kept, refresh, write_generation
+from telescry.sinks.current import latest_version_view, pointer, read_kept, refresh, write_generation
 from telescry.sinks.tables import Batch
 from telescry.streaming.run import compact_rollup, read_rollup, rollup_sink, run_stream
 
@@ -106,7 +106,7 @@ def c9(spark, sf_dir):
     for part in range(3):
         sinks.append_table(versions.filter(F.col("part") == part), ORDER_TABLE, base)
         if part == 1:
-            write_generation(spark, base, view, read_kept(spark, base, view).limit(1), 1)  # breaks off before its pointer
+            write_generation(spark, base, view, read_kept(spark, base, view).limit(1), pointer(spark, base, view))  # breaks off before its pointer
         if part < 2:
             refresh(spark, base, view)
     return read_kept(spark, base, view).select("id", "ref", "hash")

@@ -10,6 +10,9 @@ from telescry.operators import versioned
 from telescry.operators.versioned import EntitySpec
 from telescry.plans.registered import registered
 from telescry.plans.views import table
+from telescry.session import shared_dir
+from telescry.sinks import tables as sinks
+from telescry.sinks.current import read_kept, refresh, version_view
 
 SPEC = EntitySpec("meta_customer", {"name": "text", "nationkey": "long", "cents": "long"}, required=("id", "name"))
 
@@ -57,6 +60,22 @@ def f3(spark, sf_dir):
     return versioned.upsert_versions(staged, _current(spark, sf_dir), SPEC).select("id", "ref", "hash", "cents")
 
 
+@registered("f3_bucketed_changes", f"""
+WITH {_BATCH} SELECT k::VARCHAR AS id, CASE WHEN k % 10 = 0 THEN k || '__v1' ELSE k || '__v' || (2 + k % 12) END AS ref, hash, cents FROM h
+WHERE k % 10 = 0 OR (k % 7 = 0 AND k % 50 <> 1)""")
+def f3_bucketed(spark, sf_dir):
+    """The same batch against the stored table's kept view, which is bucketed by id; older versions of each id were appended first."""
+    base, stored = shared_dir(spark, "bucketed"), _current(spark, sf_dir)
+    spec = sinks.metadata_table(SPEC)
+    at = lambda text: F.lit(text).cast("timestamp").alias("insert_time")
+    content = [F.col(c) for c in ("hash", *SPEC.content)]
+    sinks.append_table(stored.select("id", F.concat("id", F.lit("__v0")).alias("ref"), *content, at("2023-01-01")), spec, base)
+    sinks.append_table(stored.select("id", "ref", *content, at("2024-01-01")), spec, base)
+    refresh(spark, base, version_view(SPEC))
+    now = read_kept(spark, base, version_view(SPEC))
+    return versioned.upsert_versions(versioned.stage(_records(spark, sf_dir, True), SPEC), now, SPEC).select("id", "ref", "hash", "cents")
+
+
 @registered("f8_force", f"""
 WITH {_BATCH} SELECT k::VARCHAR AS id, CASE WHEN k % 10 = 0 THEN k || '__v1' ELSE k || '__v' || (2 + k % 12) END AS ref FROM h
 WHERE k % 10 = 0 OR k % 50 <> 1""")

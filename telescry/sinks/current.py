@@ -4,7 +4,8 @@ A view is the result of a reduction that can be applied to its own results: ``re
 "the latest row per key" can.  It is stored in generations below ``current/{view}``.  A generation is a folder of rows and a pointer, a
 small file created after the rows are complete, which names the folder and the appends that it holds.  Readers take the
 newest pointer and reduce its rows with the rows of the appends that it does not hold, from their own folders; with none
-left they read the generation as it is, without a shuffle.  So a reader's work does not grow with the history, a refresh that
+left they read the generation as it is, without a shuffle.  Views of one row per id are bucketed by id (F3): what is joined to them by id, be
+it the last appends or a staged batch, is shuffled to their buckets, and they stay where they are.  So a reader's work does not grow with the history, a refresh that
 breaks off changes nothing, and of two refreshes at once one wins.
 
 Appends are folders of writer and number (see ``tables``).  A job's append counts as held once its end has been marked; of a stream's
@@ -13,12 +14,13 @@ batches the last one never does, as it may still be written.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telescry.entities.specs import EntitySpec
@@ -31,12 +33,23 @@ FOLDER = "current"
 
 @dataclass(frozen=True)
 class KeptView:
-    """``columns`` of ``table``, reduced."""
+    """``columns`` of ``table``, reduced; with ``order``, to the row per ``id`` that comes last in it."""
 
     name: str
     table: str
     columns: tuple[str, ...]
     reduce: Callable[[DataFrame], DataFrame]
+    order: Callable[[str], Column] | None = None
+
+    def merge(self, kept: DataFrame, fresh: DataFrame) -> DataFrame:
+        """The reduction of what is kept and of new rows."""
+        fresh = fresh.select(*self.columns)
+        if not self.order:
+            return self.reduce(kept.select(*self.columns).unionByName(fresh))
+        sides = [df.select(F.col("id").alias(f"{n}_id"), F.struct(*self.columns).alias(n)) for n, df in (("old", kept), ("new", self.reduce(fresh)))]
+        both = sides[0].join(sides[1], F.col("old_id") == F.col("new_id"), "full_outer")
+        newer = F.col("new").isNotNull() & (F.col("old").isNull() | (self.order("new") > self.order("old")))
+        return both.select(F.when(newer, F.col("new")).otherwise(F.col("old")).alias("row")).select("row.*")
 
 
 def version_view(spec: EntitySpec) -> KeptView:
@@ -61,7 +74,11 @@ def _latest_view(name: str, table: str, columns: tuple[str, ...], needed: tuple[
         order = [F.col("insert_time"), version_number(F.col("ref")), F.col("ref")]
         return latest(rows, ["id"], ["ref", *columns, "insert_time"], order)
 
-    return KeptView(name, table, ("id", "ref", *columns, "insert_time"), reduce)
+    def order(side: str) -> Column:
+        ref = F.col(f"{side}.ref")
+        return F.struct(F.col(f"{side}.insert_time").alias("at"), F.coalesce(version_number(ref), F.lit(-1)).alias("version"), ref.alias("ref"))
+
+    return KeptView(name, table, ("id", "ref", *columns, "insert_time"), reduce, order)
 
 
 def last_view(spec: EntitySpec) -> KeptView:
@@ -84,6 +101,8 @@ class Pointer:
     streams: Mapping[str, int]
     upto: int
     more: frozenset[int]
+    buckets: int = 0
+    schema: str = ""
 
     def holds(self, writer: str, number: int) -> bool:
         if writer == JOB.writer:
@@ -109,7 +128,7 @@ def pointer(spark: SparkSession, base: str, view: KeptView) -> Pointer:
         found = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return Pointer(max(numbers), found["folder"], found["streams"], found["upto"], frozenset(found["more"]))
+    return Pointer(max(numbers), found["folder"], found["streams"], found["upto"], frozenset(found["more"]), found["buckets"], found["schema"])
 
 
 def _appends(spark: SparkSession, base: str, table: str) -> dict[tuple[str, int], list[str]]:
@@ -122,12 +141,27 @@ def _appends(spark: SparkSession, base: str, table: str) -> dict[tuple[str, int]
     return out
 
 
+def _table_name(path: str) -> str:
+    return "kept_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def _generation(spark: SparkSession, base: str, view: KeptView, held: Pointer) -> DataFrame | None:
+    """The rows of a generation, with their buckets made known to the session's catalog."""
+    if not held.folder:
+        return None
+    path = f"{_home(base, view)}/{held.folder}"
+    if not held.buckets:
+        return spark.read.parquet(path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_table_name(path)} ({held.schema}) USING parquet CLUSTERED BY (id) SORTED BY (id) INTO {held.buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(_table_name(path))
+
+
 def _rows(spark: SparkSession, base: str, view: KeptView, held: Pointer, new: Sequence[str]) -> DataFrame | None:
-    kept = spark.read.parquet(f"{_home(base, view)}/{held.folder}") if held.folder else None
+    kept = _generation(spark, base, view, held)
     if not new:
         return kept
     fresh = spark.read.option("basePath", f"{base}/{view.table}").parquet(*new).select(*view.columns)
-    return view.reduce(fresh if kept is None else kept.select(*view.columns).unionByName(fresh))
+    return view.reduce(fresh) if kept is None else view.merge(kept, fresh)
 
 
 def read_kept(spark: SparkSession, base: str, view: KeptView) -> DataFrame | None:
@@ -142,11 +176,18 @@ def _size(spark: SparkSession, paths: Sequence[str]) -> int:
     return sum(fs.getContentSummary(target).getLength() for fs, target in found)
 
 
-def write_generation(spark: SparkSession, base: str, view: KeptView, rows: DataFrame, number: int) -> str:
-    """The rows of a generation, which no pointer names yet."""
-    folder = f"{number:010d}-{uuid.uuid4().hex[:8]}"
-    rows.write.parquet(f"{_home(base, view)}/{folder}")
-    return folder
+def write_generation(spark: SparkSession, base: str, view: KeptView, rows: DataFrame, held: Pointer) -> tuple[str, int]:
+    """Write the rows of the generation after ``held``, which no pointer names yet; returns its folder and number of buckets."""
+    folder = f"{held.number + 1:010d}-{uuid.uuid4().hex[:8]}"
+    path = f"{_home(base, view)}/{folder}"
+    if not view.order:
+        rows.write.parquet(path)
+        return folder, 0
+    buckets = held.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not held.buckets:  # later ones come from a join by bucket
+        rows = rows.repartition(buckets, "id")
+    rows.write.format("parquet").bucketBy(buckets, "id").sortBy("id").option("path", path).saveAsTable(_table_name(path))
+    return folder, buckets
 
 
 def refresh(spark: SparkSession, base: str, view: KeptView, share: float = 0.1, most: int = 64) -> int:
@@ -166,26 +207,32 @@ def refresh(spark: SparkSession, base: str, view: KeptView, share: float = 0.1,
     paths = [p for key in new for p in appends[key]]
     if not new or (held.folder and len(new) <= most and _size(spark, paths) <= share * _size(spark, [f"{_home(base, view)}/{held.folder}"])):
         return held.number
-    folder = write_generation(spark, base, view, _rows(spark, base, view, held, paths), held.number + 1)
+    rows = _rows(spark, base, view, held, paths)
+    folder, buckets = write_generation(spark, base, view, rows, held)
     more = set(held.more) | {n for w, n in new if w == JOB.writer}
     upto = held.upto
     while upto in more:
         more.discard(upto)
         upto += 1
     streams = dict(held.streams) | {w: n for w, n in sorted(new) if w != JOB.writer}
-    text = json.dumps({"folder": folder, "streams": streams, "upto": upto, "more": sorted(more)})
+    text = json.dumps({"folder": folder, "streams": streams, "upto": upto, "more": sorted(more), "buckets": buckets, "schema": rows._jdf.schema().toDDL()})
     if not create_file(spark, f"{_home(base, view)}/_pointers/{held.number + 1}", text):
-        _delete(spark, f"{_home(base, view)}/{folder}")  # another refresh was first
+        _forget(spark, f"{_home(base, view)}/{folder}")  # another refresh was first
         return held.number + 1
     for name in _names(spark, f"{_home(base, view)}/_pointers"):
         if name.isdigit() and int(name) < held.number:
             _delete(spark, f"{_home(base, view)}/_pointers/{name}")
     for name in _names(spark, _home(base, view)):
         if name[:10].isdigit() and int(name[:10]) < held.number:
-            _delete(spark, f"{_home(base, view)}/{name}")
+            _forget(spark, f"{_home(base, view)}/{name}")
     return held.number + 1
 
 
 def _delete(spark: SparkSession, path: str) -> None:
     fs, target = _filesystem(spark, path)
     fs.delete(target, True)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
+    _delete(spark, path)

@@ -61,7 +61,7 @@ def test_reading_does_not_grow_with_the_history(spark):
 def test_broken_and_competing_refreshes(spark):
     rng, base = random.Random(3), shared_dir(spark, "kept")
     sinks.append_table(versions(spark, rng, 30, 0), TABLE, base)
-    kept.write_generation(spark, base, VIEW, kept.read_kept(spark, base, VIEW).limit(1), 0)  # no pointer
+    kept.write_generation(spark, base, VIEW, kept.read_kept(spark, base, VIEW).limit(1), kept.pointer(spark, base, VIEW))  # no pointer
     assert rows_of(kept.read_kept(spark, base, VIEW)) == whole(spark, base)
     assert kept.refresh(spark, base, VIEW) == 0
     held = kept.pointer(spark, base, VIEW)
@@ -110,3 +110,50 @@ def test_lookup_and_key_value_views(spark, refreshed):
     whole = keyed.kv_view(sinks.read_table(spark, base, "kv"))
     got = kept.read_kept(spark, base, kept.KV_VIEW)
     assert sorted(map(tuple, got.select("key", "value").collect())) == sorted(map(tuple, whole.select("key", "value").collect()))
+
+
+def exchanges_over(plan, name):
+    """Exchanges of a printed plan that have a scan of the named table below them."""
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    found = 0
+    for k, line in enumerate(lines):
+        if "Exchange" in line:
+            below = []
+            for other in lines[k + 1 :]:
+                if depth(other) <= depth(line):
+                    break
+                below.append(other)
+            found += any(name in other for other in below)
+    return found
+
+
+def test_changes_are_detected_without_shuffling_the_history(spark):
+    """only the batch is shuffled, to the buckets of the current versions."""
+    from telescry.operators import versioned
+
+    rng, base = random.Random(6), shared_dir(spark, "kept")
+    spec = versioned.EntitySpec("meta_thing", {"name": "text"})
+    sinks.append_table(versions(spark, rng, 60, 0), TABLE, base)
+    kept.refresh(spark, base, VIEW)
+    now = kept.read_kept(spark, base, VIEW)
+    held = kept.pointer(spark, base, VIEW)
+    name = kept._table_name(f"{base}/current/{VIEW.name}/{held.folder}")
+    rows = spark.createDataFrame([(k, f'{{"id": "t{k}", "name": "n{k}"}}') for k in range(40)], "pos long, row_json string")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changed = versioned.upsert_versions(versioned.stage(rows, spec), now, spec)
+        plan = changed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and name in plan and exchanges_over(plan, name) == 0
+        assert exchanges_over(plan, "Scan ExistingRDD") > 0
+        known = {r.id for r in now.collect()}
+        assert {r.id: r.ref.endswith("__v1") for r in changed.collect()}.keys() == {f"t{k}" for k in range(40)}
+        assert all(r.ref == f"{r.id}__v1" for r in changed.collect() if r.id not in known)
+        # appends that are not merged yet meet the buckets too
+        sinks.append_table(versions(spark, rng, 5, 90), TABLE, base)
+        plan = kept.read_kept(spark, base, VIEW)._jdf.queryExecution().executedPlan().toString()
+        assert name in plan and exchanges_over(plan, name) == 0
+        assert rows_of(kept.read_kept(spark, base, VIEW)) == whole(spark, base)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
