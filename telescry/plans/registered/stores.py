@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -252,7 +251,7 @@ def j3_rollup(spark, sf_dir):
 SELECT o_custkey::VARCHAR AS key, arg_max(o_orderkey::VARCHAR, (o_orderdate, o_orderkey)) AS value, count(*) AS updates FROM orders GROUP BY o_custkey""")
 def k7(spark, sf_dir):
     """The newest value per key by message time, over four batches in any order, and the number of updates."""
-    from telescry.streaming.state import keyed_state
+    from telescry.streaming.state import keyed_state, run_once
 
     out, o = shared_dir(spark, "state"), table(spark, sf_dir, "orders")
     o.repartition(4, "o_orderkey").write.parquet(f"{out}/orders")
@@ -263,19 +262,12 @@ def k7(spark, sf_dir):
     def write(rows: DataFrame, number: int) -> None:
         rows.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/changes")
 
-    query = keyed_state(stream, 10**9).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").start()
-    total = o.count()  # a query with timeouts never runs out of batches by itself
-    while query.isActive and sum(p["numInputRows"] for p in query.recentProgress) < total:
-        time.sleep(0.2)
-    query.stop()
-    if query.exception():
-        raise query.exception()
+    writer = keyed_state(stream, 10**9).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint")
+    run_once(writer, spark)
     last = spark.read.parquet(f"{out}/changes").groupBy("key").agg(F.max_by(F.struct("value", "updates"), "batch_id").alias("r"))
     return last.select("key", "r.value", "r.updates")
 
 
-
-
 def _as_messages(rows: DataFrame) -> DataFrame:
     """Rows as messages of one partition, in any order."""
     text = lambda v: F.lit(v).cast("string")

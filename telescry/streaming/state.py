@@ -2,45 +2,78 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 OUTPUT_SCHEMA = "table string, key string, field string, value string, updates bigint"
-STATE_SCHEMA = "value string, updates bigint, at double, seq bigint"
+FIELD_SCHEMA, ENTRY_SCHEMA = "field string", "value string, updates bigint, at timestamp, seq bigint"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _latest_value(ttl_ms: int) -> Callable:
-    """Update function of one ``(table, key, field)``: the newest value by message time wins, every update restarts the clock."""
+def _place(at: Any, seq: int | None) -> tuple:
+    """Order of messages: those without a time first, then by time and number."""
+    return (at is not None, at.timestamp() if at is not None else 0.0, -1 if seq is None else int(seq))
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        value, updates, at, seq = state.get if state.exists else (None, 0, float("-inf"), -(1 << 62))
-        changed = False
-        for batch in batches:
-            rows = batch.dropna(subset=["value"])
-            for text, stamp, number in zip(rows["value"], rows["at"], rows["seq"], strict=True):
-                place = (stamp.timestamp() if not pd.isna(stamp) else float("-inf"), int(number))
-                if value is None or place >= (at, seq):
-                    value, (at, seq) = text, place
-            updates, changed = updates + len(rows), changed or len(rows) > 0
-        if changed:
-            state.update((value, updates, at, seq))
-            state.setTimeoutDuration(ttl_ms)
-            yield pd.DataFrame([(*key, value, updates)], columns=["table", "key", "field", "value", "updates"])
 
-    return update
+class LatestFields(StatefulProcessor):
+    """The newest value by message time of each field of a ``(table, key)``.
+
+    Each field is an entry of the key's map state and expires by itself ``ttl_ms`` after its last update; the state
+    store drops what has expired.
+    """
+
+    def __init__(self, ttl_ms: int):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.fields = handle.getMapState("fields", FIELD_SCHEMA, ENTRY_SCHEMA, self.ttl_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        changed: dict[str, list] = {}
+        for row in rows:
+            if row.value is None or row.field is None:
+                continue
+            if (entry := changed.get(row.field)) is None:
+                held = self.fields.getValue((row.field,))
+                entry = changed[row.field] = list(held) if held is not None else [None, 0, None, None]
+            entry[1] += 1
+            if entry[0] is None or _place(row.at, row.seq) >= _place(entry[2], entry[3]):
+                entry[0], entry[2], entry[3] = row.value, row.at, row.seq
+        for field, entry in changed.items():
+            self.fields.updateValue((field,), tuple(entry))
+            yield Row(table=key[0], key=key[1], field=field, value=entry[0], updates=entry[1])
+
+    def close(self) -> None:
+        pass
+
+
+def with_state_store(spark: SparkSession) -> None:
+    """State on RocksDB, which map states and expiry need and which keeps it off the heap."""
+    spark.conf.set(PROVIDER, ROCKS_DB)
+
+
+def run_once(writer: DataStreamWriter, spark: SparkSession) -> None:
+    """Process what is there and stop.  A query with a time to live otherwise goes on with empty batches for ever."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(name, before)
+    query.awaitTermination()
 
 
 def keyed_state(stream: DataFrame, ttl_s: int) -> DataFrame:
     """Stream of ``table, key, field, value, at, seq`` -> changed fields with the number of updates while alive.
 
-    ``at`` and ``seq`` are a message's time and offset; the order in which rows reach a task does not count.  State is
-    kept per field, so an entry with many fields is spread over tasks and each field expires by itself.
+    ``at`` and ``seq`` are a message's time and offset; the order in which rows reach a task does not count.
     """
-    return stream.groupBy("table", "key", "field").applyInPandasWithState(
-        _latest_value(ttl_s * 1000), OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.ProcessingTimeTimeout)
+    with_state_store(stream.sparkSession)
+    return stream.groupBy("table", "key").transformWithState(
+        statefulProcessor=LatestFields(ttl_s * 1000), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="ProcessingTime")

@@ -250,35 +250,28 @@ def test_fan_out(spark, tmp_path):
 
 
 def test_keyed_state(spark, tmp_path):
-    from telescry.streaming.state import keyed_state
+    """Order by message time, state over restarts, and expiry of single fields."""
+    import time
+
+    from telescry.streaming.state import keyed_state, run_once
 
     src, schema = str(tmp_path / "in"), "table string, key string, field string, value string, at timestamp, seq long"
-    write = lambda *rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
     at = lambda h: datetime(2024, 1, 1, h)
-    write(("t", "a", "x", "1", at(5), 2), ("t", "a", "x", "0", at(5), 1), ("t", "a", "y", "2", at(1), 1), ("t", "b", "x", None, at(1), 1))
-    stream = spark.readStream.schema(schema).parquet(src)
-    seen = []
-
-    def collect(batch, _):
-        seen.extend((r.key, r.field, r.value, r.updates) for r in batch.collect())
-
-    # with processing-time timeouts there is always another batch, so the query is stopped by the test
-    q = keyed_state(stream, 86400).writeStream.outputMode("update").foreachBatch(collect).option("checkpointLocation", str(tmp_path / "cp")).start()
-    try:
-        wait_for(lambda: len(seen) >= 2)
-        write(("t", "a", "x", "3", at(6), 0), ("t", "a", "x", "late", at(2), 9))
-        wait_for(lambda: len(seen) >= 3)
-    finally:
-        q.stop()
-    assert sorted(seen) == [("a", "x", "1", 2), ("a", "x", "3", 4), ("a", "y", "2", 1)]
-
-
-def wait_for(done, seconds=45):
-    import time
 
-    end = time.time() + seconds
-    while not done() and time.time() < end:
-        time.sleep(0.2)
+    def run(checkpoint, ttl, *rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        seen = []
+        query = keyed_state(spark.readStream.schema(schema).parquet(src), ttl).writeStream.outputMode("update")
+        run_once(query.foreachBatch(lambda batch, _: seen.extend((r.key, r.field, r.value, r.updates) for r in batch.collect())).option("checkpointLocation", str(tmp_path / checkpoint)), spark)
+        return sorted(seen)
+
+    first = (("t", "a", "x", "1", at(5), 2), ("t", "a", "x", "0", at(5), 1), ("t", "a", "y", "2", at(1), 1), ("t", "b", "x", None, at(1), 1))
+    assert run("long", 86400, *first) == [("a", "x", "1", 2), ("a", "y", "2", 1)]
+    # a new query with the same checkpoint; "late" is older by message time
+    assert run("long", 86400, ("t", "a", "x", "3", at(6), 0), ("t", "a", "x", "late", at(2), 9), ("t", "c", "x", "n", None, None)) == [("a", "x", "3", 4), ("c", "x", "n", 1)]
+    assert run("short", 1, ("t", "d", "x", "7", at(1), 1))
+    time.sleep(2)
+    assert run("short", 1, ("t", "d", "x", "8", at(0), 1)) == [("d", "x", "8", 1)]  # what it would not have replaced has expired
 
 
 def test_label_words_of_64_bits(spark):
