@@ -129,20 +129,20 @@ class Encoder:
             spaced = [t.lower().replace("\n", " ") for t in texts]
         words = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
         coded = words.flatten().dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        if self.keeps_space:
-            different = [w if w[0] == "\n" else " " + w for w in different]
-        pieces = pa.array((_BYTE_PIECES if self.keeps_space else _WORD_PIECES).findall("\t".join(different)), pa.large_string()).dictionary_encode()
-        ids = [self._part(p) if p != "\t" else b"" for p in pieces.dictionary.to_pylist()]
-        of_words, ends = _gathered(ids, pieces.indices.to_numpy())
-        # a tab stands between two words
-        tab = pieces.dictionary.index("\t").as_py()
-        cuts = np.flatnonzero(pieces.indices.to_numpy() == tab)
+        # one string of the different words with tabs between them, cut into pieces at once
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary.cast(pa.string())), "\t")[0].as_py()
+        if self.keeps_space:  # words follow a space or begin with their line feed
+            joined = (" " + joined.replace("\t", "\t ")).replace(" \n", "\n")
+        pieces = (_BYTE_PIECES if self.keeps_space else _WORD_PIECES).findall(joined)
+        places = {p: k for k, p in enumerate(dict.fromkeys(pieces))}
+        code = np.fromiter(map(places.__getitem__, pieces), np.int64, len(pieces))
+        of_words, ends = _gathered([self._part(p) if p != "\t" else b"" for p in places], code)
+        cuts = np.flatnonzero(code == places.get("\t", -1))
         bounds = np.r_[0, ends[cuts], ends[-1]]
         out, ends = _gather(of_words, bounds[:-1], np.diff(bounds), coded.indices.to_numpy())
-        places = ends[words.offsets.to_numpy()].tolist()
+        texts_at = ends[words.offsets.to_numpy()].tolist()
         first = len(self._part("\n")) // 4 if self.keeps_space else 0
-        return [out[a + first : b].tobytes() for a, b in zip(places, places[1:])]
+        return [out[a + first : b].tobytes() for a, b in zip(texts_at, texts_at[1:])]
 
     def _spaced_texts(self, texts: list[str]) -> list[bytes]:
         """Plain texts with runs of white space, piece by piece."""
