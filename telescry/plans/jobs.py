@@ -25,6 +25,7 @@ from telescry.operators.versioned import EntitySpec
 from telescry.session import cut_lineage
 from telescry.sinks import tables as sinks
 from telescry.sinks.current import HASH_VIEW, KV_VIEW, KeptView, last_view, latest_version_view, lookup_view, read_kept, refresh, version_view
+from telescry.sinks.statistics import LoadLog
 from telescry.sources import files, messages
 from telescry.streaming.run import BatchFn, read_once, rollup_sink, run_stream
 
@@ -257,7 +258,7 @@ def flow_lookups(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig())
 
 def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), rollups: Mapping[str, Sequence[str]] | None = None,
                policy: RollupPolicy = RollupPolicy()) -> BatchFn:
-    """Batch function: raw messages -> data_flow, rejected messages, rollup partials.
+    """Batch function: raw messages -> data_flow, rejected messages, rollup partials, and load statistics.
 
     Lookups are read again for every batch.  The enriched rows are written first and the rollups read
     them back from there, so nothing is computed twice and a lost executor costs one stage.
@@ -272,8 +273,11 @@ def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), r
         rejected = dead.select("topic", "partition", "offset", "error").unionByName(
             incomplete.select("topic", "partition", "offset", F.col("reject_reason").alias("error"))).unionByName(
             untimed.select("topic", "partition", "offset", F.lit("no usable start time").alias("error")))
-        sinks.append_table(rejected, REJECTED, base, batch)
-        sinks.append_table(flows.ingest(timed, flow_lookups(session, base, cfg), cfg), sinks.FLOW_TABLE, base, batch)
+        log = LoadLog()
+        sinks.append_table(log.watch(rejected, REJECTED.name), REJECTED, base, batch)
+        stamped = flows.ingest(timed, flow_lookups(session, base, cfg), cfg)
+        sinks.append_table(log.watch(stamped, sinks.FLOW_TABLE.name), sinks.FLOW_TABLE, base, batch)
+        log.flush(session, base, batch)
         stored = sinks.read_batch(session, sinks.FLOW_TABLE, base, batch)
         if stored is None:
             return

@@ -16,6 +16,7 @@ from telescry.plans.views import table
 from telescry.session import shared_dir
 from telescry.sinks import tables as sinks
 from telescry.sinks.current import latest_version_view, pointer, read_kept, refresh, write_generation
+from telescry.sinks.statistics import STATISTICS
 from telescry.sinks.tables import Batch
 from telescry.streaming.run import compact_rollup, read_rollup, rollup_sink, run_stream
 
@@ -199,6 +200,16 @@ def k1(spark, sf_dir):
     return rolled.join(stored, "day")
 
 
+@registered("e12_load_statistics", f"""
+WITH {_FATE}
+SELECT 'data_flow' AS sink, 4 AS batches, (SELECT count(*) FROM stored) AS records
+UNION ALL SELECT 'rejected_message', 4, (SELECT count(*) FROM fate) - (SELECT count(*) FROM stored)""")
+def e12(spark, sf_dir):
+    """Records per sink as they were counted while written, over four batches, each handled twice."""
+    stats = sinks.read_table(spark, _flow_base(spark, sf_dir), STATISTICS.name)
+    return stats.groupBy("sink").agg(F.count("*").cast("int").alias("batches"), F.sum("record_count").alias("records"))
+
+
 @registered("k1_rejected", f"""
 WITH {_FATE}
 SELECT 'stored' AS fate, count(*) AS messages FROM stored
