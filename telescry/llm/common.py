@@ -44,6 +44,14 @@ def map_rows(df: DataFrame, schema: str, rows: Callable[[dict[str, list]], Itera
     return df.mapInArrow(run, schema)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """The name, longer by underscores where a column of the input has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's shared checkpoint folder, which every executor sees."""
     return f"{shared_dir(spark, name)}-{uuid.uuid4().hex[:8]}"

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from telescry.llm.common import WORD, stage_table
+from telescry.llm.common import WORD, free_name, stage_table
 
 _STEPS, _NEAR = 60, 1e-9
 
@@ -121,6 +121,7 @@ def balance(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it has copies."""
-    rows = stage_table(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-input")  # written, so that row numbers stay
-    copies = balance(rows, carry=["_row"], **how).select("_row", "copies").filter("copies > 0")
-    return rows.join(copies, "_row").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*docs.columns)
+    row, copies, copy = (free_name(n, docs) for n in ("_row", "_copies", "_copy"))
+    rows = stage_table(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")  # written, so that row numbers stay
+    taken = balance(rows.select("doc_id", "source", "text", row), carry=[row], **how).filter("copies > 0").select(row, F.col("copies").alias(copies))
+    return rows.join(taken, row).withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(copies).cast("int")))).select(*docs.columns)

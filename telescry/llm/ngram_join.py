@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql import types as T
 
-from telescry.llm.common import map_rows, stage_table, text_of
+from telescry.llm.common import free_name, map_rows, stage_table, text_of
 from telescry.llm.components import connected
 
 _STEP, _EXCESS, _BLOCK, _SINGLE_ROUNDS = 1.5, 1.3, 2000, 2
@@ -336,5 +336,6 @@ def representatives(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """
     kept = similarity_components(docs, like).filter("doc_id = component_id").select("doc_id").distinct()
     first = F.row_number().over(W.partitionBy("doc_id").orderBy("text"))
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("_first", first).filter("_first = 1").select(*docs.columns)
+    place = free_name("_first", docs)
+    rows = docs.join(kept, "doc_id", "left_semi").withColumn(place, first).filter(F.col(place) == 1).select(*docs.columns)
     return rows.union(docs.filter("doc_id is null"))

@@ -22,7 +22,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telescry.llm.common import map_rows, stage_table, text_of
+from telescry.llm.common import free_name, map_rows, stage_table, text_of
 
 KINDS = ("email", "ip", "card", "phone", "context")
 Span = tuple[str, int, int]
@@ -250,10 +250,12 @@ def masked(text: str | None, found: list[Span]) -> str | None:
 
 def redacted(docs: DataFrame, trusted: DataFrame | Collection[str]) -> DataFrame:
     """``docs`` with masked texts."""
+    key, spans_column = free_name(_KEY, docs), free_name(_FOUND, docs)
 
     def rows(batch):
-        more = batch.pop(_FOUND)
+        more = batch.pop(spans_column)
         yield batch | {"text": [masked(x, base_spans(x or "") + [("context", a, b) for a, b in f or ()]) for x, f in zip(batch["text"], more, strict=True)]}
 
-    both = _keyed(docs).join(discovered(docs, _patterns_as_table(docs, trusted)), _KEY, "left").drop(_KEY)
+    found = discovered(docs, _patterns_as_table(docs, trusted)).select(F.col(_KEY).alias(key), F.col(_FOUND).alias(spans_column))
+    both = docs.withColumn(key, F.unhex(F.sha2(text_of(), 256))).join(found, key, "left").drop(key)
     return map_rows(both, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), rows)

@@ -119,3 +119,19 @@ def test_pack_windows(stages):
                 assert offset == end
                 end += length
             assert end <= 4096
+
+
+def test_columns_that_clash_with_inner_names(spark):
+    """Names that the stages use inside come through as columns of the input; nulls, repeats and empty tables pass."""
+    names = ["kept", "clean_text", "n_words", "copies", "_copies", "_row", "_copy", "_first", "_discovered", "_text_sha256", "rate", "size", "_doc_id", "component_id"]
+    rng = random.Random(5)
+    text = "\n".join(prose(rng, 15).capitalize() + "." for _ in range(8))
+    rows = [(1, text, "en", "a", 3), (1, text, "en", "a", 3), (2, None, None, None, None), (None, text + " Write to me@mail.example.org.", "en", None, 5), (3, "", "en", "a", 0)]
+    docs = spark.createDataFrame([(*r, *(f"{n}!" for n in names)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in job.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert found and all(r[n] == f"{n}!" for r in found for n in names), name
+        assert stage(spark, docs.limit(0), "").count() == 0
+    assert job.STAGES[-1][1](spark, docs, "").count() > 0
