@@ -1,6 +1,11 @@
 """Training corpus from ``documents``: clean, deduplicate, mask, mix, pack.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.
+
+Defined cases of the stages: null and empty texts fail the quality rules, and in the later stages stay as they are, without
+personal data, without copies in the mix, and as one end id in the windows; rows with a null doc_id are no near duplicates of others and
+stay; rows that repeat a doc_id are one document for the near-duplicate stage, whose first text stays, and documents of their own for the
+others; a null source is a source of its own; an empty table gives no rows; other columns, whatever their names, come through all stages but the last.
 """
 
 from __future__ import annotations
@@ -9,21 +14,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telescry.llm import mixing, ngram_join, packing, pii, quality
-from telescry.llm.common import stage_table, table
+from telescry.llm.common import free_name, stage_table, table
 from telescry.llm.queries import vocabulary
 from telescry.session import configure
 
 
-def _with_text(docs: DataFrame, text: str, columns: list[str]) -> DataFrame:
-    """The columns of documents, with the text from another column and its length."""
-    out = docs.withColumn("text", F.col(text))
-    return (out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else out).select(*columns)
+def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of documents, with the length of the new text."""
+    return (docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in columns else docs).select(*columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line rules keep, without the lines that fail."""
     configure(spark)
-    return _with_text(quality.clean_lines(docs).filter("kept"), "clean_text", docs.columns)
+    own = {c: free_name(f"_{c}", docs) for c in docs.columns if c != "text"}  # results must not replace columns of the input
+    kept = quality.clean_lines(docs.withColumnsRenamed(own)).filter("kept").withColumnsRenamed({"text": "_text", "clean_text": "text"})
+    return _sized(kept.select("text", *own.values()).withColumnsRenamed({v: k for k, v in own.items()}), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data masked."""
     configure(spark)
-    return _with_text(pii.redacted(docs, pii.pattern_table(docs)), "text", docs.columns)
+    return _sized(pii.redacted(docs, pii.pattern_table(docs)), docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +64,7 @@ STAGES = [
     ("pack_windows", pack_windows),
 ]
 
-#: Tokens and similarity components cannot be written in SQL; the tests hold run() against a brute-force version.
+#: Tokens and similarity components cannot be written in SQL; tests/llm/test_corpus_pipeline.py holds each stage and run() against plain Python.
 ORACLE_SQL = None
 
 
