@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from telescry.entities import addresses, services, specs, status
 from telescry.operators import versioned
 from telescry.plans.registered import registered
-from telescry.plans.views import table
+from telescry.plans.views import out_of_reach, table
 from telescry.session import cut_lineage
 
 
@@ -41,8 +41,8 @@ def f10(spark, sf_dir):
         circuit_id=F.expr("concat('[\"c', l_orderkey % 10, '\",\"none\"]')"), peer_as_id=text("l_partkey"), port_interface_id=iid,
         lag_member_interface_id=F.array(iid, F.lit("gone")))
     snapshots = {
-        "meta_device": li.filter("l_suppkey % 4 <> 0").select(F.expr("concat('d', l_suppkey)").alias("k")).distinct().transform(lambda d: _refs(d, "k")),
-        "meta_as": _refs(li.filter("l_partkey % 3 <> 0").select("l_partkey").distinct(), "l_partkey"),
+        "meta_device": li.select(F.concat(F.lit("d"), out_of_reach("l_suppkey", "l_suppkey % 4 = 0").cast("string")).alias("k")).distinct().transform(lambda d: _refs(d, "k")),
+        "meta_as": _refs(li.select(out_of_reach("l_partkey", "l_partkey % 3 = 0").alias("k")).distinct(), "k"),
         "meta_circuit": li.select(F.expr("concat('c', l_orderkey % 10)").alias("k")).distinct().transform(lambda d: _refs(d, "k")),
     }
     out = versioned.upsert_versions(versioned.with_refs(versioned.stage(rows, specs.INTERFACE), specs.INTERFACE, snapshots, cut_lineage), None, specs.INTERFACE, cut=cut_lineage)
@@ -68,7 +68,7 @@ def f15(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     nets = F.expr("""concat('[["10.', p_size, '.0.0", 16], ["10.0.0.0"], ["10.0.0.0", "wide"]', CASE WHEN p_partkey % 2 = 0 THEN ', ["2001:db8::", "32"]' ELSE '' END, ']')""")
     rows = _json_rows(p, "p_partkey", id=F.col("p_partkey"), ip_subnet=nets, as_id=F.col("p_partkey"))
-    refs = {"meta_as": _refs(p.filter("p_partkey % 3 <> 0"), "p_partkey")}
+    refs = {"meta_as": _refs(p.select(out_of_reach("p_partkey", "p_partkey % 3 = 0").alias("k")), "k")}
     out = versioned.upsert_versions(versioned.with_refs(versioned.stage(rows, specs.IP_BLOCK), specs.IP_BLOCK, refs), None, specs.IP_BLOCK)
     return out.select("id", "as_ref", F.array_join(F.transform("ip_subnet", lambda s: F.concat_ws("/", s["ip"], s["len"].cast("string"))), ",").alias("subnets"))
 
@@ -207,9 +207,9 @@ FROM orders LEFT JOIN customer ON c_custkey = o_custkey""")
 def f22(spark, sf_dir):
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     rows = _status_rows(o, "o_orderkey", id=F.col("o_orderkey"), self_uri=F.lit("u"), resource_type=F.col("o_orderpriority"))
-    to_site = o.filter("o_custkey % 3 <> 0").select(F.col("o_orderkey").cast("string").alias("key"), F.col("o_custkey").cast("string").alias("value"))
+    to_site = o.select(out_of_reach("o_orderkey", "o_custkey % 3 = 0").cast("string").alias("key"), F.col("o_custkey").cast("string").alias("value"))
     to_facility = c.select(F.col("c_custkey").cast("string").alias("key"), F.concat(F.lit("f"), F.col("c_nationkey").cast("string")).alias("value"))
-    facilities = c.filter("c_nationkey % 2 = 0").select(F.concat(F.lit("f"), F.col("c_nationkey").cast("string")).alias("k")).distinct()
+    facilities = c.select(F.concat(F.lit("f"), out_of_reach("c_nationkey", "c_nationkey % 2 = 1").cast("string")).alias("k")).distinct()
     staged = versioned.with_refs(status.stage_resources(rows, to_site, to_facility), specs.RESOURCE, {"meta_iri_facility": _refs(facilities, "k")})
     return versioned.upsert_versions(staged, None, specs.RESOURCE).select("id", "site_id", "facility_id", "facility_ref", "type")
 
@@ -226,7 +226,7 @@ def f22_incidents(spark, sf_dir):
         end=F.when(F.col("o_orderkey") % 2 == 0, stamp).otherwise(F.lit("later")),
         resolution=F.when(F.col("o_orderkey") % 9 != 0, F.lit("open")),
         resource_uris=F.array(F.expr("concat('https://api.example.org/status/resources/', o_custkey, '/')"), F.lit(""), F.lit("https://api.example.org/9x")))
-    refs = _refs(o.filter("o_custkey % 2 = 0").select("o_custkey").distinct(), "o_custkey")
+    refs = _refs(o.select(out_of_reach("o_custkey", "o_custkey % 2 = 1").alias("k")).distinct(), "k")
     out = status.stage_incidents(rows, refs)
     return out.select("id", F.unix_timestamp("start_time").alias("start_epoch"), F.unix_timestamp("end_time").alias("end_epoch"),
                       F.array_join("resource_id", ",").alias("resource_ids"), F.array_join("resource_ref", ",").alias("resource_refs"))

@@ -187,14 +187,13 @@ def g13(spark, sf_dir):
 
 
 @registered("g14_policy_scope", """
-SELECT l_orderkey, l_linenumber, 'internal,' || array_to_string(list_sort(list_distinct(list_filter(['as:' || l_suppkey % 3, 'as:' || l_partkey % 3,
-  CASE l_orderkey % 4 WHEN 0 THEN 'comm:blue' WHEN 1 THEN 'comm:red' END], lambda s: s IS NOT NULL AND s <> 'as:0'))), ',') AS scope FROM lineitem
-WHERE l_suppkey % 3 > 0""")
+SELECT l_orderkey, l_linenumber, array_to_string(list_concat(['internal'], list_sort(list_distinct(list_filter(['as:' || l_suppkey % 3, 'as:' || l_partkey % 3,
+  CASE l_orderkey % 4 WHEN 0 THEN 'comm:blue' WHEN 1 THEN 'comm:red' END], lambda s: s IS NOT NULL AND s <> 'as:0')))), ',') AS scope FROM lineitem""")
 def g14(spark, sf_dir):
     from telescry.config import Policy
 
     cfg = FlowConfig(policy=Policy(scope=("internal",)), community_scopes=views.COMMUNITIES)
-    li = keyed_wire(spark, sf_dir).filter("l_suppkey % 3 > 0")
+    li = keyed_wire(spark, sf_dir)
     scope = flows.scope_list(cfg, F.col("l_suppkey") % 3, F.col("l_partkey") % 3, F.expr("concat('65000:', l_orderkey % 4)"))
     return li.select("l_orderkey", "l_linenumber", F.array_join(scope, ",").alias("scope"))
 

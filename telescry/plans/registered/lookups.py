@@ -213,7 +213,7 @@ def a10(spark, sf_dir):
 SELECT o_orderkey, c_name AS customer, c_mktsegment AS segment FROM orders
 LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 10 <> 0""")
 def d1(spark, sf_dir):
-    right = table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 0")
+    right = table(spark, sf_dir, "customer").withColumn("c_custkey", views.out_of_reach("c_custkey", "c_custkey % 10 = 0"))
     return lookup.lookup_join(table(spark, sf_dir, "orders"), right, {"o_custkey": "c_custkey"},
                               {"c_name": "customer", "c_mktsegment": "segment"}).select("o_orderkey", "customer", "segment")
 
@@ -231,7 +231,7 @@ f AS (SELECT o_orderkey, pos, CASE WHEN c_custkey % 3 <> 0 THEN c_custkey || '__
 
 
 def _customer_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0")
+    c = table(spark, sf_dir, "customer").withColumn("c_custkey", views.out_of_reach("c_custkey", "c_custkey % 3 = 0"))
     return c.select(F.col("c_custkey").cast("string").alias("id"), F.concat(F.col("c_custkey").cast("string"), F.lit("__v1")).alias("ref"))
 
 
@@ -280,15 +280,11 @@ def d3_v6(spark, sf_dir):
 
 
 @registered("d5_extra_prefix_tables", f"""
-WITH subnet AS (
-  SELECT plen, net, max(p_partkey) AS partkey FROM (
-    SELECT {views.LEN_SQL} AS plen, ({views.NET_SQL}) >> (32 - {views.LEN_SQL}) AS net, p_partkey FROM part WHERE p_partkey % 2 = 0) s
-  GROUP BY plen, net), {lpm_cte("ms", SRC_SQL)}, {lpm_cte("md", DST_SQL)}
-SELECT l_orderkey, l_linenumber, ms.partkey || '__v1' AS src_ip_even_ref, md.partkey || '__v1' AS dst_ip_even_ref
+WITH {SUBNET_CTE}, {lpm_cte("ms", SRC_SQL)}, {lpm_cte("md", DST_SQL)}
+SELECT l_orderkey, l_linenumber, ms.partkey || '__v1' AS src_ip_site_ref, md.partkey || '__v1' AS dst_ip_site_ref
 FROM lineitem LEFT JOIN ms ON ms.ip = {SRC_SQL} LEFT JOIN md ON md.ip = {DST_SQL}""")
 def d5(spark, sf_dir):
-    blocks = views.ip_blocks(spark, sf_dir).filter(F.col("id").cast("bigint") % 2 == 0)
-    indexes = {"even": prefix.subnet_index(blocks, ["ref"])}
+    indexes = {"site": prefix.subnet_index(views.ip_blocks(spark, sf_dir), ["ref"])}
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", ipv4_text(views.src_int()).alias("s"), ipv4_text(views.dst_int()).alias("d"))
     out = prefix.enrich_ip_ext(prefix.enrich_ip_ext(li, indexes, "s", "src"), indexes, "d", "dst")
@@ -363,7 +359,7 @@ def d9(spark, sf_dir):
 SELECT s_suppkey, n_name AS nation, r_name AS region FROM supplier
 LEFT JOIN nation ON n_nationkey = s_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN region ON r_regionkey = n_regionkey""")
 def d11(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").filter("n_nationkey % 5 <> 0")
+    n = table(spark, sf_dir, "nation").withColumn("n_nationkey", views.out_of_reach("n_nationkey", "n_nationkey % 5 = 0"))
     r = table(spark, sf_dir, "region")
     s = table(spark, sf_dir, "supplier")
     out = lookup.chain(s, "s_nationkey", [(n, "n_nationkey", "n_regionkey", "region_key"), (r, "r_regionkey", "r_name", "region")])
@@ -434,10 +430,10 @@ def d14(spark, sf_dir):
 
 
 _REG_SQL = """
-as1 AS (SELECT c_custkey AS asn, 'caida:o' || c_nationkey AS org, c_name AS name FROM customer WHERE c_custkey % 2 = 0),
-org1 AS (SELECT 'caida:o' || n_nationkey AS id, CASE WHEN n_nationkey % 4 = 0 THEN 'Delegated' ELSE n_name END AS name,
-                CASE WHEN n_nationkey % 3 <> 0 THEN 'R' || n_regionkey END AS cc FROM nation WHERE n_nationkey % 6 <> 5),
-org2 AS (SELECT 'peeringdb:' || n_nationkey AS id, n_name AS name, 'R' || (n_regionkey + 1) % 5 AS cc, 'city' || n_nationkey AS city FROM nation WHERE n_nationkey <> 7),
+as1 AS (SELECT c_custkey * 2 AS asn, 'caida:o' || c_nationkey AS org, c_name AS name FROM customer),
+org1 AS (SELECT 'caida:o' || CASE WHEN n_nationkey % 6 = 5 THEN -1 - n_nationkey ELSE n_nationkey END AS id, CASE WHEN n_nationkey % 4 = 0 THEN 'Delegated' ELSE n_name END AS name,
+                CASE WHEN n_nationkey % 3 <> 0 THEN 'R' || n_regionkey END AS cc FROM nation),
+org2 AS (SELECT 'peeringdb:' || CASE WHEN n_nationkey = 7 THEN -1 - n_nationkey ELSE n_nationkey END AS id, n_name AS name, 'R' || (n_regionkey + 1) % 5 AS cc, 'city' || n_nationkey AS city FROM nation),
 net AS (SELECT s_suppkey AS pos, s_suppkey // 2 * 3 AS asn, 'peeringdb:' || s_nationkey AS org, CASE WHEN s_suppkey % 9 <> 0 THEN s_name END AS name, s_suppkey * 5 AS p4
         FROM supplier WHERE s_nationkey <> 7),
 usable AS (SELECT net.*, as1.org AS org1 FROM net LEFT JOIN as1 USING (asn) WHERE as1.asn IS NOT NULL OR net.name IS NOT NULL),
@@ -456,17 +452,17 @@ def _registries(spark: SparkSession, sf_dir: str):
 
     c, n, s, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "supplier", "region"))
     null = F.lit(None).cast("string")
-    ases = c.filter("c_custkey % 2 = 0").select(
+    ases = c.select(
         F.struct(F.lit(0).alias("f"), F.col("c_custkey").cast("bigint").alias("n")).alias("pos"), F.lit("ASN").alias("type"),
-        F.col("c_custkey").cast("string").alias("asn"), F.concat(F.lit("o"), F.col("c_nationkey").cast("string")).alias("organizationId"),
+        (F.col("c_custkey") * 2).cast("string").alias("asn"), F.concat(F.lit("o"), F.col("c_nationkey").cast("string")).alias("organizationId"),
         F.col("c_name").alias("name"), null.alias("country"))
-    orgs = n.filter("n_nationkey % 6 <> 5").select(
+    orgs = n.select(
         F.struct(F.lit(1).alias("f"), F.col("n_nationkey").cast("bigint").alias("n")).alias("pos"), F.lit("Organization").alias("type"),
-        null.alias("asn"), F.concat(F.lit("o"), F.col("n_nationkey").cast("string")).alias("organizationId"),
+        null.alias("asn"), F.concat(F.lit("o"), views.out_of_reach("n_nationkey", "n_nationkey % 6 = 5").cast("string")).alias("organizationId"),
         F.expr("CASE WHEN n_nationkey % 4 <> 0 THEN n_name END").alias("name"),
         F.expr("CASE WHEN n_nationkey % 3 <> 0 THEN concat('R', n_regionkey) ELSE '' END").alias("country"))
-    net_orgs = n.filter("n_nationkey <> 7").select(
-        F.col("n_nationkey").cast("bigint").alias("pos"), F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"),
+    net_orgs = n.select(
+        F.col("n_nationkey").cast("bigint").alias("pos"), views.out_of_reach("n_nationkey", "n_nationkey = 7").cast("bigint").alias("id"), F.col("n_name").alias("name"),
         F.expr("concat('R', (n_regionkey + 1) % 5)").alias("country"), F.concat(F.lit("city"), F.col("n_nationkey").cast("string")).alias("city"),
         null.alias("state"), null.alias("latitude"), null.alias("longitude"))
     nets = s.select(

@@ -22,10 +22,11 @@ def rules() -> metrics.Rules:
 
 
 def kv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Index lookups of the same messages, plus references for every second named interface."""
+    """Index lookups of the same messages, plus references for named interfaces, every second one under another name."""
     names = keyed.index_lookup(metrics.tokens(views.metric_messages(spark, sf_dir)), rules().by_name).distinct()
     ids = names.select(F.concat_ws("::", F.substring_index("key", "::", 1), "value").alias("key")).distinct()
-    refs = ids.filter(F.length("key") % 2 == 0).select(F.lit("meta_interface").alias("table"), "key", F.concat("key", F.lit("__v3")).alias("value"))
+    ids = ids.withColumn("key", F.when(F.length("key") % 2 == 0, F.col("key")).otherwise(F.concat(F.lit("-"), "key")))
+    refs = ids.select(F.lit("meta_interface").alias("table"), "key", F.concat("key", F.lit("__v3")).alias("value"))
     return names.unionByName(refs)
 
 
@@ -185,7 +186,7 @@ def named_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         start.alias("start"), F.struct(iface.alias("id"), null.alias("name"), F.lit("dev").alias("device"), sensor.alias("sensor_id")).alias("meta"),
         F.struct(F.lit("o").alias("originator"), F.lit("l").alias("level"), F.lit(None).cast("array<string>").alias("scopes")).alias("policy"),
         values.alias("values"))
-    refs = ev.filter("user_id % 2 = 0").select(iface.alias("key"), F.concat(iface, F.lit("__v1")).alias("value")).distinct()
+    refs = ev.select(F.when(F.col("user_id") % 2 == 0, iface).otherwise(F.concat(F.lit("-"), iface)).alias("key"), F.concat(iface, F.lit("__v1")).alias("value")).distinct()
     return rows, refs
 
 
@@ -202,7 +203,7 @@ def h12(spark, sf_dir):
     status = F.expr("CASE event_id % 5 WHEN 0 THEN 'UP' WHEN 1 THEN 'degraded' WHEN 2 THEN 'Down' WHEN 3 THEN 'unknown' ELSE event_type END")
     stamp = F.date_format(F.date_trunc("second", F.col("ts").cast("timestamp")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     rows = ev.select(rid.alias("id"), status.alias("current_status"), F.when(F.col("event_id") % 7 == 0, F.lit("soon")).otherwise(stamp).alias("last_modified"))
-    refs = ev.filter("event_id % 2 = 0").select(rid.alias("id"), F.concat(rid, F.lit("__v1")).alias("ref"))
+    refs = ev.select(F.when(F.col("event_id") % 2 == 0, rid).otherwise(F.concat(F.lit("-"), rid)).alias("id"), F.concat(rid, F.lit("__v1")).alias("ref"))
     return metrics.status_metrics(rows, refs, F.lit(AS_OF).cast("timestamp")).select("id", "metric_name", "metric_value", "ext", "ref")
 
 
