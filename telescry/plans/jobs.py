@@ -28,6 +28,7 @@ from telescry.sinks.current import HASH_VIEW, KV_VIEW, KeptView, last_view, late
 from telescry.sinks.statistics import LoadLog
 from telescry.sources import files, messages
 from telescry.streaming.run import BatchFn, read_once, rollup_sink, run_stream
+from telescry.streaming.state import replayed_lookup
 
 KV, HASHES = "kv", "kv_hash"
 
@@ -323,6 +324,19 @@ def enriched_flow_stream(source: DataFrame, base: str, checkpoint: str, cfg: Flo
 
 # --- SNMP ------------------------------------------------------------------------------------------
 
+def ordered_lookups(polls: DataFrame, rules: metrics.Rules, reads: Column, ttl_s: int | None = None) -> DataFrame:
+    """K6 in message order: what each poll would look up, as the polls before it in the stream have left it.
+
+    ``polls`` is a stream of parsed messages with ``partition`` and ``offset``; ``reads`` is the array of ``table, key``
+    structs that a poll asks for.  The batch-wide variant, in which a batch sees all it writes itself, is ``snmp_batch``.
+    """
+    polls = metrics.tokens(polls)
+    place = ("partition", "offset")
+    writes = keyed.index_lookup(polls, rules.by_name, place).select("table", "key", "value", F.lit(1).alias("writes"), *place)
+    asks = polls.select(*place, F.explode(reads).alias("r")).select("r.table", "r.key", F.lit(None).cast("string").alias("value"), F.lit(0).alias("writes"), *place)
+    return replayed_lookup(writes.unionByName(asks).filter(F.col("key").isNotNull()), ttl_s)
+
+
 def snmp_batch(base: str, rules: metrics.Rules, as_of: Callable[[], Column] = F.current_timestamp,
                cfg: MetricConfig = MetricConfig()) -> BatchFn:
     """Batch function: polls -> index lookups, then interface traffic and generic metrics.

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telescry.functions.net import ipv4_text
+from telescry.functions.text import short_hostname
 from telescry.operators import keyed, rollup
 from telescry.plans import jobs, views
 from telescry.plans.registered import registered
+from telescry.plans.registered.metrics import rules as metric_rules
 from telescry.plans.registered.rollups import _epoch, _version_sql, as_version_flows
 from telescry.plans.views import table
 from telescry.session import shared_dir
@@ -19,6 +21,7 @@ from telescry.sinks.current import latest_version_view, pointer, read_kept, refr
 from telescry.sinks.statistics import STATISTICS
 from telescry.sinks.tables import Batch
 from telescry.streaming.run import compact_rollup, read_rollup, rollup_sink, run_stream
+from telescry.streaming.state import keyed_state, run_once
 
 EVENTS = sinks.TableSpec("events_by_day", ("event_id", "ts", "user_id", "event_type"), "ts", ("user_id", "ts"), 10)
 
@@ -262,8 +265,6 @@ def j3_rollup(spark, sf_dir):
 SELECT o_custkey::VARCHAR AS key, arg_max(o_orderkey::VARCHAR, (o_orderdate, o_orderkey)) AS value, count(*) AS updates FROM orders GROUP BY o_custkey""")
 def k7(spark, sf_dir):
     """The newest value per key by message time, over four batches in any order, and the number of updates."""
-    from telescry.streaming.state import keyed_state, run_once
-
     out, o = shared_dir(spark, "state"), table(spark, sf_dir, "orders")
     o.repartition(4, "o_orderkey").write.parquet(f"{out}/orders")
     stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/orders").select(
@@ -279,6 +280,37 @@ def k7(spark, sf_dir):
     return last.select("key", "r.value", "r.updates")
 
 
+@registered("k6_snmp_stream", f"""
+WITH {views.METRIC_CTE},
+io AS (SELECT event_id, device || '::' || idx AS key, 1 AS w, 'v' || (event_id % 5) || 'eth' || (user_id % 40) AS value FROM msg WHERE rule = 0
+       UNION ALL SELECT event_id, device || '::' || (user_id % 40), 0, NULL FROM msg WHERE rule < 2),
+seen AS (SELECT *, last_value(value IGNORE NULLS) OVER (PARTITION BY key ORDER BY event_id, w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS name FROM io)
+SELECT event_id, key, name FROM seen WHERE w = 0""")
+def k6(spark, sf_dir):
+    """Interface names that change with every poll, as polls and queue polls see them in order: four batches, each delivered
+    twice, with a restart after each."""
+    out, order = shared_dir(spark, "replay"), F.col("event_id")
+    polls = views.metric_messages(spark, sf_dir).withColumn("fields", F.replace("fields", F.lit('"eth'), F.concat(F.lit('"v'), (order % 5).cast("string"), F.lit("eth"))))
+    polls = polls.select("name", "timestamp", "interval", "tags", "fields", F.lit(0).alias("partition"), order.alias("offset"))
+    low, high = table(spark, sf_dir, "events").agg(F.min("event_id"), F.max("event_id")).first()
+    rules, device = metric_rules(), short_hostname(F.element_at("tags", "device"))
+    index = F.element_at("tags", "oidIndex")
+    asked = F.when(F.col("name") == "snmp_if", index).when(F.col("name") == "snmp_queue", F.split_part(index, F.lit("."), F.lit(2)))
+    reads = F.when(asked.isNotNull(), F.array(F.struct(F.lit("ifindex_to_ifname").alias("table"), F.concat_ws("::", device, asked).alias("key"))))
+
+    def write(rows: DataFrame, number: int) -> None:
+        for _ in range(2):
+            rows.withColumn("batch_id", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{out}/seen")
+
+    share = F.floor((F.col("offset") - (low or 0)) * 4 / ((high or 0) - (low or 0) + 1))
+    for part in range(4):
+        polls.filter(share == part).write.mode("append").parquet(f"{out}/polls")
+        stream = spark.readStream.schema(polls.schema).parquet(f"{out}/polls")
+        seen = jobs.ordered_lookups(stream, rules, reads)
+        run_once(seen.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint"), spark)
+    return spark.read.parquet(f"{out}/seen").select(F.col("offset").alias("event_id"), "key", F.col("seen").alias("name"))
+
+
 def _as_messages(rows: DataFrame) -> DataFrame:
     """Rows as messages of one partition, in any order."""
     text = lambda v: F.lit(v).cast("string")

@@ -1,4 +1,4 @@
-"""Keyed state with a time to live (K7)."""
+"""Keyed state: newest values with a time to live (K7), lookups replayed in message order (K6)."""
 
 from __future__ import annotations
 
@@ -77,3 +77,46 @@ def keyed_state(stream: DataFrame, ttl_s: int) -> DataFrame:
     with_state_store(stream.sparkSession)
     return stream.groupBy("table", "key").transformWithState(
         statefulProcessor=LatestFields(ttl_s * 1000), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="ProcessingTime")
+
+
+SEEN_SCHEMA = "table string, key string, partition int, offset bigint, seen string"
+
+
+class ReplayedLookup(StatefulProcessor):
+    """What each reader of a ``(table, key)`` saw: the value that the last message before it wrote.
+
+    A batch's rows of a key are put in order by partition and offset; a message that writes and reads does not see its own
+    value.  A task holds one key's rows of one batch, which the limit of the source bounds.
+    """
+
+    def __init__(self, ttl_ms: int | None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", "value string", self.ttl_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        held = self.held.get() if self.held.exists() else None
+        value = before = held[0] if held is not None else None
+        written = False
+        for row in sorted(rows, key=lambda r: (r.partition, r.offset, r.writes)):
+            if row.writes:
+                value, written = row.value, True
+            else:
+                yield Row(table=key[0], key=key[1], partition=row.partition, offset=row.offset, seen=value)
+        if written and (value != before or self.ttl_ms is not None):
+            self.held.update((value,))
+
+    def close(self) -> None:
+        pass
+
+
+def replayed_lookup(stream: DataFrame, ttl_s: int | None = None) -> DataFrame:
+    """Stream of ``table, key, value, writes, partition, offset`` -> one row per reading row, with the value it saw or null.
+
+    With ``ttl_s`` a value expires that long after the last batch that wrote it.
+    """
+    with_state_store(stream.sparkSession)
+    return stream.groupBy("table", "key").transformWithState(
+        statefulProcessor=ReplayedLookup(None if ttl_s is None else ttl_s * 1000), outputStructType=SEEN_SCHEMA, outputMode="Append",
+        timeMode="None" if ttl_s is None else "ProcessingTime")

@@ -274,6 +274,51 @@ def test_keyed_state(spark, tmp_path):
     assert run("short", 1, ("t", "d", "x", "8", at(0), 1)) == [("d", "x", "8", 1)]  # what it would not have replaced has expired
 
 
+def test_replayed_lookup_equals_plain_replay(spark, tmp_path):
+    """Readers see what the messages before them wrote, over batches, restarts and partitions, not what they write themselves."""
+    from telescry.streaming.state import replayed_lookup, run_once
+
+    src, schema = str(tmp_path / "in"), "table string, key string, value string, writes int, partition int, offset long"
+    rng, held, offset = random.Random(5), {}, 0
+    for number in range(3):
+        rows, wanted = [], []
+        for partition in (0, 1):
+            for _ in range(40):
+                offset += 1
+                key = rng.choice("abc")
+                if rng.random() < 0.7:
+                    rows.append(("t", key, None, 0, partition, offset))
+                    wanted.append((key, partition, offset, held.get(key)))
+                if rng.random() < 0.5:
+                    held[key] = f"v{offset}"
+                    rows.append(("t", key, held[key], 1, partition, offset))
+        rng.shuffle(rows)
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        seen = []
+        query = replayed_lookup(spark.readStream.schema(schema).parquet(src)).writeStream.outputMode("append")
+        run_once(query.foreachBatch(lambda batch, _, seen=seen: seen.extend((r.key, r.partition, r.offset, r.seen) for r in batch.collect())).option("checkpointLocation", str(tmp_path / "ckpt")), spark)
+        assert sorted(seen, key=str) == sorted(wanted, key=str), number
+
+
+def test_replayed_values_expire(spark, tmp_path):
+    import time
+
+    from telescry.streaming.state import replayed_lookup, run_once
+
+    src, schema = str(tmp_path / "in"), "table string, key string, value string, writes int, partition int, offset long"
+
+    def run(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        seen = []
+        query = replayed_lookup(spark.readStream.schema(schema).parquet(src), 1).writeStream.outputMode("append")
+        run_once(query.foreachBatch(lambda batch, _: seen.extend(r.seen for r in batch.collect())).option("checkpointLocation", str(tmp_path / "ckpt")), spark)
+        return seen
+
+    assert run(("t", "a", "x", 1, 0, 1), ("t", "a", None, 0, 0, 2)) == ["x"]
+    time.sleep(2)
+    assert run(("t", "a", None, 0, 0, 3)) == [None]
+
+
 def test_label_words_of_64_bits(spark):
     from telescry.functions import flow as ff
 
