@@ -198,6 +198,18 @@ def g14(spark, sf_dir):
     return li.select("l_orderkey", "l_linenumber", F.array_join(scope, ",").alias("scope"))
 
 
+@registered("g12_ip_version", f"""
+WITH t AS (SELECT l_orderkey % {PORTS} % 2 = 0 AS six, {SRC_SQL} AS src, CAST(l_quantity AS BIGINT) * 800 AS bits FROM lineitem),
+a AS (SELECT CASE WHEN six THEN 6 ELSE 4 END AS ip_version, CASE WHEN six THEN '2001:db8::' ELSE '' END || {sql_ip("src")} AS ip, bits FROM t)
+SELECT ip_version, ip AS src_ip, ip AS peer_ip, count(*) AS n, CAST(sum(bits) AS BIGINT) AS bit_count FROM a GROUP BY ip_version, ip""")
+def g12(spark, sf_dir):
+    """Every flow whose source port is even is an IPv6 flow; the peer is the source."""
+    ip = F.when(F.col("port_src").cast("bigint") % 2 == 0, F.concat(F.lit("2001:db8::"), F.col("ip_src"))).otherwise(F.col("ip_src"))
+    messages = views.flows_wire(spark, sf_dir).withColumn("ip_src", ip).withColumn("peer_ip_dst", F.col("ip_src"))
+    rows = flows.normalize_flows(messages).groupBy("ip_version", "src_ip", "peer_ip")
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum("bit_count").alias("bit_count"))
+
+
 @registered("g15_ext_json", f"""
 WITH {_PATH}, {_LABELS.replace("t AS", "t2 AS").replace("FROM t)", "FROM t2)").replace("w AS (SELECT *, CASE", "w2 AS (SELECT *, CASE").replace("FROM w)", "FROM w2)")}
 SELECT '{{"bgp_as_path_id":[' || array_to_string(path, ',') || '],"bgp_as_path_padding":[' || array_to_string(shifted, ',') || '],"ipv4_tos":' || (p.l_orderkey % 256)

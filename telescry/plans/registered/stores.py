@@ -38,6 +38,22 @@ def j1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_table(spark, base, EVENTS.name).select("event_id", "user_id", "event_type", F.col("dt").cast("string").alias("day"))
 
 
+@registered("j4_clustered_read", """
+WITH u AS (SELECT user_id, max(ts) AS newest FROM events WHERE user_id = (SELECT max(user_id) FROM events) GROUP BY user_id)
+SELECT event_id, e.user_id, event_type, CAST(ts AS DATE)::VARCHAR AS day FROM events e JOIN u ON e.user_id = u.user_id
+WHERE ts > newest - INTERVAL 24 HOUR""")
+def j4(spark, sf_dir):
+    """A day of one user from a table clustered by day, user and time."""
+    ev, base = table(spark, sf_dir, "events"), shared_dir(spark, "clustered")
+    sinks.append_table(ev, EVENTS, base, rows_per_file=1_000_000)
+    stored = sinks.read_table(spark, base, EVENTS.name)
+    user, newest = stored.groupBy("user_id").agg(F.max("ts")).orderBy(F.desc_nulls_last("user_id")).first() or (None, None)
+    newest = newest or datetime(1970, 1, 1)
+    day = timedelta(days=1)
+    rows = stored.filter((F.col("user_id") == F.lit(user)) & (F.col("ts") > F.lit(newest - day)) & (F.col("dt") >= F.lit((newest - day).date())))
+    return rows.select("event_id", "user_id", "event_type", F.col("dt").cast("string").alias("day"))
+
+
 @registered("j3_day_retention", """
 SELECT event_id FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) - 10 FROM events)""")
 def j3_days(spark, sf_dir):

@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # times with statistics, which the default type lacks: readers skip files and row groups by time
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows can be long texts: a Python task holds one batch at a time
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",

@@ -72,13 +72,15 @@ def declared(df: DataFrame, columns: Sequence[str], types: Mapping[str, str] | N
     return df.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in columns])
 
 
-def _write(df: DataFrame, path: str, parts: Sequence[str], sort: Sequence[str], batch: Batch) -> None:
+def _write(df: DataFrame, path: str, parts: Sequence[str], sort: Sequence[str], batch: Batch, rows_per_file: int | None = None) -> None:
     """One layout for every table: its own partitions, then writer and batch, so that any two writers fit together."""
     number = reserve_append(df.sparkSession, path) if batch == JOB else batch.number
     out = df.withColumn("writer", F.lit(batch.writer)).withColumn("batch_id", F.lit(number).cast("bigint"))
+    if sort and rows_per_file:
+        out = out.repartitionByRange(*parts, *sort)
     if sort:
         out = out.sortWithinPartitions(*parts, *sort)
-    writer = out.write.mode("append" if batch == JOB else "overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = out.write.option("maxRecordsPerFile", rows_per_file or 0).mode("append" if batch == JOB else "overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*parts, "writer", "batch_id").parquet(path)
     if batch == JOB:
         create_file(df.sparkSession, f"{path}/{_APPENDS}/{number}.done")
@@ -116,12 +118,17 @@ def finished_appends(spark: SparkSession, path: str) -> set[int]:
     return {int(n.removesuffix(".done")) for n in _names(spark, f"{path}/{_APPENDS}") if n.endswith(".done")}
 
 
-def append_table(df: DataFrame, table: TableSpec, base: str, batch: Batch = JOB) -> None:
-    """Append, by day and clustered within the files."""
+def append_table(df: DataFrame, table: TableSpec, base: str, batch: Batch = JOB, rows_per_file: int | None = None) -> None:
+    """Append, by day and sorted within the files.
+
+    With ``rows_per_file`` the append is dealt over tasks by ranges of day and sort key and cut into files of at most so many
+    rows: each file has a narrow range of the key, and readers skip files and row groups by it.  That costs a shuffle; rows
+    that agree in the whole sort key, which should end in a time, are the only ones that cannot be split.
+    """
     out = declared(df, table.columns)
     if table.time_column:
         out = out.withColumn("dt", F.to_date(table.time_column))
-    _write(out, f"{base}/{table.name}", ["dt"] if table.time_column else [], [c for c in table.sort_key if c in out.columns], batch)
+    _write(out, f"{base}/{table.name}", ["dt"] if table.time_column else [], [c for c in table.sort_key if c in out.columns], batch, rows_per_file)
 
 
 _ASIDE = ".replacing"
