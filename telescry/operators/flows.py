@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,9 +22,10 @@ from telescry.operators.lookup import (
     lookup_join,
     preferred_interfaces,
 )
-from telescry.operators.predicates import all_present
+from telescry.operators.predicates import all_present, missing_paths
 from telescry.operators.prefix import PrefixIndex, lpm_attach, lpm_resolve
 from telescry.operators.ranges import port_dimension
+from telescry.sources.messages import judged_messages
 
 REQUIRED = ("ip_src", "ip_dst", "port_src", "port_dst", "ip_proto")
 # Collector daemon -> flow type.
@@ -68,8 +70,12 @@ class FlowLookups:
 
 def wire(df: DataFrame) -> DataFrame:
     """All wire columns as text; columns the source does not have are null."""
-    have = set(df.columns)
-    return df.select(*[(F.col(c).cast("string") if c in have else F.lit(None).cast("string")).alias(c) for c in WIRE_TEXT])
+    return df.select(*_wire_columns(frozenset(df.columns) & frozenset(WIRE_TEXT)))
+
+
+@cache
+def _wire_columns(have: frozenset[str]) -> tuple[Column, ...]:
+    return tuple((F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in WIRE_TEXT)
 
 
 def epoch_millis(c: Column) -> Column:
@@ -87,26 +93,32 @@ def _millis(df: DataFrame) -> tuple[Column, Column]:
 
 
 def flow_times(df: DataFrame) -> DataFrame:
-    """Add ``start_time`` and ``end_time``; rows without a usable time are dropped (``split_timed`` finds them)."""
+    """Add ``start_time`` and ``end_time``; rows without a usable time are dropped (``judged_flows`` names them)."""
     start, end = _millis(df)
     out = df.select("*", F.timestamp_millis(start).alias("start_time"), F.timestamp_millis(end).alias("end_time"))
     return out.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
 
 
-def split_timed(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages with and without a usable start and end time."""
-    start, end = _millis(messages)
-    usable = start.isNotNull() & end.isNotNull()
-    return messages.filter(usable), messages.filter(~usable)
+def judged_flows(raw: DataFrame) -> DataFrame:
+    """Raw messages as wire flows with ``error``: why a message is no flow, null if it is one."""
+    rows = judged_messages(raw, WIRE_SCHEMA)
+    start, end = _millis(rows)
+    reason = F.when(F.col("error").isNotNull(), F.col("error")).when(~all_present(REQUIRED), F.concat(F.lit("missing "), missing_paths(REQUIRED))).when(
+        ~(start.isNotNull() & end.isNotNull()), F.lit("no usable start time"))
+    return rows.withColumn("error", reason)
 
 
 def bgp_fields(df: DataFrame, mode: str) -> DataFrame:
     """AS path without repeats and its padding, communities, preferences."""
+    numbers, starts, fields = _bgp_columns(mode)
+    return df.withColumn("_asn", numbers).withColumn("_starts", starts).select(*df.columns, *fields)
+
+
+@cache  # columns are built once, not once a batch: each takes hundreds of calls to the JVM
+def _bgp_columns(mode: str) -> tuple[Column, Column, tuple[Column, ...]]:
     has_path = truthy(F.col("as_path"))
-    out = df.withColumn("_asn", ff.as_numbers(F.col("as_path"))).withColumn("_starts", ff.run_starts(F.col("_asn")))
     gated = lambda c: F.when(has_path, c)
-    return out.select(
-        *df.columns,
+    return ff.as_numbers(F.col("as_path")), ff.run_starts(F.col("_asn")), (
         ff.path_without_repeats(F.col("_asn"), F.col("_starts")).alias("bgp_as_path_id"),
         ff.path_padding(F.col("_asn"), F.col("_starts"), mode).alias("bgp_as_path_padding"),
         gated(ff.underscore_list(F.col("comms"))).alias("bgp_community"),
@@ -119,11 +131,15 @@ def bgp_fields(df: DataFrame, mode: str) -> DataFrame:
 
 def mpls_fields(df: DataFrame) -> DataFrame:
     """Label stack, bottom label, pseudo wire, top label, route distinguisher."""
+    words, labels, fields = _mpls_columns()
+    own = [c for c in df.columns if c not in ("mpls_label", "mpls_top_label_type", "mpls_vpn_rd")]
+    return df.withColumn("_words", words).withColumn("_labels", labels).select(*own, *fields)
+
+
+@cache
+def _mpls_columns() -> tuple[Column, Column, tuple[Column, ...]]:
     tokens = ff.label_tokens([F.col(f"mpls_label{i}") for i in range(1, 11)], F.col("mpls_label"))
-    out = df.withColumn("_words", ff.label_words(tokens))
-    out = out.withColumn("_labels", ff.label_values(F.col("_words")))
-    return out.select(
-        *[c for c in df.columns if c not in ("mpls_label", "mpls_top_label_type", "mpls_vpn_rd")],
+    return ff.label_words(tokens), ff.label_values(F.col("_words")), (
         ff.bottom_label(F.col("_labels")).alias("mpls_bottom_label"),
         ff.label_exp(F.col("_words")).alias("mpls_exp"),
         F.col("_labels").alias("mpls_label"),
@@ -149,20 +165,29 @@ _WIRE_VLAN = {"vlan_id": "vlan", "vlan_in_id": "vlan_in", "vlan_out_id": "vlan_o
 
 def ext_fields(df: DataFrame, mode: str = "reference") -> DataFrame:
     """All extension columns of a wire flow."""
+    return mpls_fields(bgp_fields(df, mode)).withColumns(_other_columns())
+
+
+@cache
+def _other_columns() -> dict[str, Column]:
     tos = to_long(F.col("tos"))
-    return mpls_fields(bgp_fields(df, mode)).withColumns({
+    return {
         "ipv4_tos": tos, "ipv4_dscp": F.shiftright(tos, 2), "ipv6_flow_label": to_long(F.col("ipv6_flow_label")),
-        **{name: to_long(F.col(src)) for name, src in _WIRE_VLAN.items()}})
+        **{name: to_long(F.col(src)) for name, src in _WIRE_VLAN.items()}}
 
 
 def normalize_flows(messages: DataFrame, cfg: FlowConfig = FlowConfig()) -> DataFrame:
     """Everything that needs no lookup.  ``_``-columns are inputs of the enrichment."""
     df = wire(messages).filter(all_present(REQUIRED))
     df = flow_times(df)
-    df = ext_fields(df, cfg.as_path_mode)
-    kind = F.coalesce(mapped(F.col("writer_id"), FLOW_TYPES), F.lit(cfg.flow_type))
-    return df.select(
-        "start_time", "end_time",
+    return ext_fields(df, cfg.as_path_mode).select(*_normal_columns(cfg.flow_type))
+
+
+@cache
+def _normal_columns(flow_type: str) -> tuple[Column, ...]:
+    kind = F.coalesce(mapped(F.col("writer_id"), FLOW_TYPES), F.lit(flow_type))
+    return (
+        F.col("start_time"), F.col("end_time"),
         F.coalesce("label", F.lit("unknown")).alias("collector_id"),
         kind.alias("flow_type"),
         non_empty(F.col("ip_src")).alias("src_ip"),

@@ -17,7 +17,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from telescry.config import FlowConfig, MetricConfig, RollupPolicy
 from telescry.entities import addresses, services, specs, status
 from telescry.operators import flows, keyed, metrics, ranges, registry, rollup, versioned
-from telescry.operators.predicates import route_contains, route_url, split_required
+from telescry.operators.predicates import route_contains, route_url
 from telescry.operators.prefix import subnet_index
 from telescry.operators.lookup import DEVICE_LOOKUP, INTERFACE_LOOKUP
 from telescry.operators.snapshot import LookupSpec, live, lookup_rows
@@ -261,22 +261,18 @@ def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), r
                policy: RollupPolicy = RollupPolicy()) -> BatchFn:
     """Batch function: raw messages -> data_flow, rejected messages, rollup partials, and load statistics.
 
-    Lookups are read again for every batch.  The enriched rows are written first and the rollups read
-    them back from there, so nothing is computed twice and a lost executor costs one stage.
+    Messages are parsed and judged once, and kept for both sinks.  Lookups are read again for every batch.  The
+    enriched rows are written first and the rollups read them back from there, so nothing is computed twice and a
+    lost executor costs one stage.
     """
     wanted = {name: tuple(w) for name, w in (rollups or {}).items()}
 
     def handle(rows: DataFrame, batch: sinks.Batch) -> None:
         session = rows.sparkSession
-        good, dead = messages.parse_messages(rows, flows.WIRE_SCHEMA)
-        ok, incomplete = split_required(good, flows.REQUIRED)
-        timed, untimed = flows.split_timed(ok)
-        rejected = dead.select("topic", "partition", "offset", "error").unionByName(
-            incomplete.select("topic", "partition", "offset", F.col("reject_reason").alias("error"))).unionByName(
-            untimed.select("topic", "partition", "offset", F.lit("no usable start time").alias("error")))
+        rejected = rows.filter("error IS NOT NULL").select("topic", "partition", "offset", "error")
         log = LoadLog()
         sinks.append_table(log.watch(rejected, REJECTED.name), REJECTED, base, batch)
-        stamped = flows.ingest(timed, flow_lookups(session, base, cfg), cfg)
+        stamped = flows.ingest(rows.filter("error IS NULL").drop("error"), flow_lookups(session, base, cfg), cfg)
         sinks.append_table(log.watch(stamped, sinks.FLOW_TABLE.name), sinks.FLOW_TABLE, base, batch)
         log.flush(session, base, batch)
         stored = sinks.read_batch(session, sinks.FLOW_TABLE, base, batch)
@@ -289,7 +285,8 @@ def flow_batch(spark: SparkSession, base: str, cfg: FlowConfig = FlowConfig(), r
                 index = None if apps is None else ranges.dictionary_ranges(apps)
                 rollup_sink(kind, window, base, policy, lambda index=index: index)(stored, batch)
 
-    return read_once(handle)
+    once = read_once(handle)
+    return lambda rows, batch: once(flows.judged_flows(rows), batch)
 
 
 REJECTED = sinks.TableSpec("rejected_message", ("topic", "partition", "offset", "error"))

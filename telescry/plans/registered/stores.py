@@ -191,12 +191,17 @@ fate AS (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem),
 stored AS (SELECT * FROM fate WHERE k % 41 <> 0 AND k % 43 <> 0 AND k % 47 <> 0)"""
 
 
+def _write_messages(rows: DataFrame, path: str) -> None:
+    """Four files of small row groups, so that the tasks of a batch share its file."""
+    rows.repartition(4, "offset").write.option("parquet.block.size", 1 << 20).parquet(path)
+
+
 def _flow_base(spark: SparkSession, sf_dir: str) -> str:
     """The flow stream over at least four files, one a batch, each batch handled twice."""
     from telescry.sources.messages import read_messages
 
     base = shared_dir(spark, "flows")
-    _flow_messages(spark, sf_dir).repartition(4, "offset").write.parquet(f"{base}/messages")
+    _write_messages(_flow_messages(spark, sf_dir), f"{base}/messages")
     handle = jobs.flow_batch(spark, f"{base}/tables", rollups={"ip_version": ["1d"]})
 
     def twice(rows: DataFrame, batch: Batch) -> None:

@@ -9,6 +9,7 @@ from telescry.functions.text import parsed_once, sorted_json, truthy
 
 MESSAGE_SCHEMA = "key string, value string, topic string, partition int, offset bigint, timestamp timestamp"
 META = ("topic", "partition", "offset", "timestamp", "key")
+NO_OBJECT = "value is not a JSON object"
 
 
 def read_messages(spark: SparkSession, streaming: bool = False, format: str = "kafka", **options: str) -> DataFrame:
@@ -24,21 +25,35 @@ def read_messages(spark: SparkSession, streaming: bool = False, format: str = "k
     return raw.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic", "partition", "offset", "timestamp")
 
 
+def _checked(raw: DataFrame) -> DataFrame:
+    """Messages that are not empty, with ``_ok``: whether the value is a JSON object."""
+    opens = F.ltrim("value", F.lit(" \t\r\n\ufeff")).startswith("{")  # JSON that opens so is an object
+    return raw.filter(truthy(F.trim("value"))).withColumn("_ok", opens & F.try_parse_json("value").isNotNull())
+
+
 def parse_messages(raw: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
     """Parsed messages with their metadata, and a dead-letter table of values that are no JSON object.
 
     The message's own time is named ``message_time``.  Empty values are no messages and appear in
     neither.
     """
-    rows = raw.filter(truthy(F.trim("value"))).withColumn("_ok", F.coalesce(
-        F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False)))
+    rows = _checked(raw)
     meta = [F.col(c).alias(f"msg_{c}") for c in META]
     good = rows.filter("_ok").select(*meta, parsed_once(F.from_json("value", schema)).alias("m")).select(
         *[F.col(f"msg_{c}").alias("message_time" if c == "timestamp" else c) for c in META], "m.*")
-    dead = rows.filter("NOT _ok").select(*META, "value", F.lit("value is not a JSON object").alias("error"))
+    dead = rows.filter("NOT _ok").select(*META, "value", F.lit(NO_OBJECT).alias("error"))
     return good, dead
 
 
+def judged_messages(raw: DataFrame, schema: str) -> DataFrame:
+    """All messages of ``parse_messages`` in one table, to be kept where both kinds are read: ``error`` is null for the parsed
+    ones, and a dead letter has no fields."""
+    checked = parsed_once(F.struct("_ok", F.when(F.col("_ok"), F.from_json("value", schema)).alias("m")))
+    rows = _checked(raw).select(*[F.col(c).alias(f"msg_{c}") for c in META], checked.alias("c"))
+    return rows.select(*[F.col(f"msg_{c}").alias("message_time" if c == "timestamp" else c) for c in META],
+                       F.when(~F.col("c._ok"), F.lit(NO_OBJECT)).alias("error"), "c.m.*")
+
+
 def raw_archive(raw: DataFrame) -> DataFrame:
     """A2: topic, partition, offset, key and the value as key-sorted JSON, numbers as they were written."""
     rows = raw.select(
