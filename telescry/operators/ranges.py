@@ -34,28 +34,23 @@ def range_table(df: DataFrame, lo: str, hi: str, key: str, value: str, fold_key:
     return rows.select("key", "lo", "hi", "value").distinct()
 
 
-def _blocks(lo: Column, hi: Column) -> Column:
-    """Aligned blocks of ``[lo, hi]`` as ``(level, block)``."""
-
-    def at_level(level: Column) -> Column:
-        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), level)
-        first = F.call_function("shiftright", lo + size - 1, level)
-        end = F.call_function("shiftright", hi + 1, level)
-        odd = lambda n: F.pmod(n, F.lit(2)) == 1
-        mk = lambda n: F.struct(level.alias("level"), n.cast("bigint").alias("block"))
-        left = F.when((first < end) & odd(first), mk(first))
-        right = F.when((first < end) & odd(end), mk(end - 1))
-        return F.array(left, right)
-
-    levels = F.sequence(F.lit(0), F.length(F.bin(hi - lo + 1)) - 1)  # no block is larger than the range
-    return F.array_compact(F.flatten(F.transform(levels, at_level)))
+def _blocks(ranges: DataFrame) -> DataFrame:
+    """``key, level, block, cand``: the aligned blocks of each ``[lo, hi]``, at most two a level, none larger than the range."""
+    levels = F.sequence(F.lit(0), F.length(F.bin(F.col("hi") - F.col("lo") + 1)) - 1)
+    rows = ranges.select("key", "lo", "hi", "value", F.explode(levels).alias("level"))
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("level"))
+    first = F.call_function("shiftright", F.col("lo") + size - 1, F.col("level"))
+    end = F.call_function("shiftright", F.col("hi") + 1, F.col("level"))
+    odd = lambda c: F.pmod(F.col(c), F.lit(2)) == 1
+    inner = rows.select("*", first.alias("_first"), end.alias("_end")).filter("_first < _end")
+    ends = F.array(F.when(odd("_first"), F.col("_first")), F.when(odd("_end"), F.col("_end") - 1))
+    cut = inner.select("key", "level", F.struct("lo", "hi", "value").alias("cand"), F.explode(ends).alias("block"))
+    return cut.filter("block IS NOT NULL")
 
 
 def range_index(ranges: DataFrame) -> DataFrame:
     """Winner per block: the value of the range with the smallest ``(lo, hi, value)``."""
-    cut = ranges.select("key", F.explode(_blocks(F.col("lo"), F.col("hi"))).alias("b"), F.struct("lo", "hi", "value").alias("cand"))
-    return cut.groupBy("key", F.col("b.level").alias("level"), F.col("b.block").alias("block")).agg(
-        F.min("cand").alias("cand"))
+    return _blocks(ranges).groupBy("key", "level", "block").agg(F.min("cand").alias("cand"))
 
 
 def range_resolve(probes: DataFrame, index: DataFrame) -> DataFrame:
@@ -64,7 +59,8 @@ def range_resolve(probes: DataFrame, index: DataFrame) -> DataFrame:
     levels = index.agg(F.collect_set("level")).scalar()  # one value: at most 63 numbers
     cand = distinct.withColumn("_levels", levels).select("key", "v", F.explode("_levels").alias("level"))
     cand = cand.withColumn("block", F.call_function("shiftright", F.col("v"), F.col("level")))
-    hits = cand.join(index, ["key", "level", "block"])
+    # the planner takes the probes for as few as before they were exploded: it must not broadcast them
+    hits = cand.hint("merge").join(index, ["key", "level", "block"])
     return hits.groupBy("key", "v").agg(F.min("cand").alias("cand")).select("key", "v", F.col("cand.value").alias("value"))
 
 

@@ -1,4 +1,4 @@
-"""Batches of raw flow messages: judged once, by tasks that share them."""
+"""Batches of raw flow messages: judged once, by tasks that share them; probes of ranges."""
 
 import json
 
@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from telescry.config import FlowConfig
-from telescry.operators import flows
+from telescry.operators import flows, ranges
 from telescry.plans import jobs
 from telescry.plans.registered import stores
 from telescry.session import shared_dir
@@ -56,3 +56,13 @@ def test_columns_of_a_flow_are_built_once(spark):
     cfg = FlowConfig()
     assert flows._normal_columns(cfg.flow_type) is flows._normal_columns(cfg.flow_type)
     assert flows._bgp_columns(cfg.as_path_mode) is flows._bgp_columns(cfg.as_path_mode)
+
+
+def test_exploded_probes_of_ranges_are_not_broadcast(spark):
+    """Few rows of a file become many probes; the plan must not send them to the driver."""
+    probes = spark.range(1000).select(F.lit("k").alias("key"), F.col("id").alias("v"))
+    table = spark.createDataFrame([("k", 10, 700, "a"), ("k", 5, 20, "b"), ("k", 900, 900, "c"), ("k", -3, -1, "d")], "key string, lo long, hi long, value string")
+    found = ranges.range_resolve(probes, ranges.range_index(table))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    expect = {v: "b" if 5 <= v <= 20 else "a" if 10 <= v <= 700 else "c" for v in [*range(5, 701), 900]}
+    assert {r.v: r.value for r in found.collect()} == expect
