@@ -71,8 +71,8 @@ def bottom_label(labels: Column) -> Column:
 
 
 def until_first_gap(items: list[Column]) -> Column:
-    """Whole numbers of a numbered field family up to the first missing or bad one."""
-    values = F.array(*[c.try_cast("bigint") for c in items])
-    marks = F.transform(values, lambda v: v.isNull())
-    gap = F.array_position(marks, True)
-    return F.slice(values, F.lit(1), F.when(gap == 0, F.lit(len(items))).otherwise(gap.cast("int") - 1))
+    """Whole numbers of a numbered field family up to the first missing or bad one; what follows it is not read."""
+    gap = F.lit(len(items))
+    for at, item in reversed(list(enumerate(items))):
+        gap = F.when(item.try_cast("bigint").isNull(), F.lit(at)).otherwise(gap)
+    return F.transform(F.slice(F.array(*items), F.lit(1), gap), lambda c: c.try_cast("bigint"))

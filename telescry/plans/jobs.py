@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -299,20 +299,36 @@ def flow_stream(spark: SparkSession, source: DataFrame, base: str, checkpoint: s
 
 
 def enriched_flow_batch(base: str, cfg: FlowConfig = FlowConfig(), service_refs: Callable[[SparkSession], DataFrame | None] = lambda _: None) -> BatchFn:
-    """Batch function of the flow source that is enriched already: messages -> data_flow."""
+    """Batch function of the flow source that is enriched already: messages -> data_flow.
+
+    Messages are long.  Where no prefix or group lookup reads them again they are not kept: the pass that writes the flows
+    counts dead letters, and only if there are some are they looked for.
+    """
 
     def handle(rows: DataFrame, batch: sinks.Batch) -> None:
         session = rows.sparkSession
-        good, dead = messages.parse_messages(rows, flows.ENRICHED_SCHEMA)
-        sinks.append_table(dead, REJECTED, base, batch)
         lookups = flow_lookups(session, base, cfg)
         known = lambda spec: refs(session, base, spec.table)
-        registry = sinks.read_index(session, base, specs.SCIENCE_REGISTRY_IP.table)
-        out = flows.project_enriched_flows(
-            good, cfg, lookups.ip, lookups.as_refs, known(specs.DEVICE), known(specs.INTERFACE), service_refs(session), registry)
-        sinks.append_table(out, sinks.FLOW_TABLE, base, batch)
-
-    return read_once(handle)
+        registry, groups = sinks.read_index(session, base, specs.SCIENCE_REGISTRY_IP.table), service_refs(session)
+        enrich = lambda good: flows.project_enriched_flows(
+            good, cfg, lookups.ip, lookups.as_refs, known(specs.DEVICE), known(specs.INTERFACE), groups, registry)
+
+        def kept(rows: DataFrame, batch: sinks.Batch) -> None:
+            good, dead = messages.parse_messages(rows, flows.ENRICHED_SCHEMA)
+            sinks.append_table(dead, REJECTED, base, batch)
+            sinks.append_table(enrich(good), sinks.FLOW_TABLE, base, batch)
+
+        def passing(rows: DataFrame, batch: sinks.Batch) -> None:
+            seen = Observation()
+            judged = messages.judged_messages(rows, flows.ENRICHED_SCHEMA).observe(seen, F.count("error").alias("dead"))
+            sinks.append_table(enrich(judged.filter("error IS NULL").drop("error")), sinks.FLOW_TABLE, base, batch)
+            if seen.get.get("dead", 1):
+                sinks.append_table(messages.parse_messages(rows, flows.ENRICHED_SCHEMA)[1], REJECTED, base, batch)
+
+        once = all(x is None for x in (lookups.ip, registry, groups))
+        (passing if once else read_once(kept))(rows, batch)
+
+    return handle
 
 
 def enriched_flow_stream(source: DataFrame, base: str, checkpoint: str, cfg: FlowConfig = FlowConfig(), interval: str | None = "30 seconds") -> StreamingQuery:

@@ -224,11 +224,11 @@ def g15(spark, sf_dir):
     return rows.select(flows.ext_json(rows, names).alias("ext")).groupBy("ext").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _enriched_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _enriched_messages(lines: DataFrame) -> DataFrame:
     """lineitem as nested, already enriched flow messages."""
     from telescry.functions.net import ipv4_text
 
-    li = table(spark, sf_dir, "lineitem").withColumn("_src", ipv4_text(views.src_int())).withColumn("_dst", ipv4_text(views.dst_int()))
+    li = lines.withColumn("_src", ipv4_text(views.src_int())).withColumn("_dst", ipv4_text(views.dst_int()))
     null = lambda t: F.lit(None).cast(t)
     stamp = F.concat(F.date_format(F.col("l_shipdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
     hops = [F.when(F.lit(i) < F.col("l_linenumber"), F.lit(str(i + 1))).alias(f"as_hop{i}_padding") for i in range(20)]
@@ -270,7 +270,7 @@ def g16(spark, sf_dir):
     services = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 5).alias("g")).distinct().select(
         F.concat(F.lit("g"), F.col("g").cast("string")).alias("id"), F.concat(F.lit("g"), F.col("g").cast("string"), F.lit("__v1")).alias("ref"))
     out = flows.project_enriched_flows(
-        _enriched_messages(spark, sf_dir), FlowConfig(extensions=("bgp", "mpls")),
+        _enriched_messages(table(spark, sf_dir, "lineitem")), FlowConfig(extensions=("bgp", "mpls")),
         ip=prefix.subnet_index(views.ip_blocks(spark, sf_dir), ["ref"]), as_refs=views.as_refs(spark, sf_dir),
         device_refs=views.devices(spark, sf_dir).select("id", "ref"), interface_refs=views.interfaces(spark, sf_dir).select("id", "ref"),
         service_refs=services)

@@ -349,7 +349,8 @@ def l2_enriched(spark, sf_dir):
     base = shared_dir(spark, "flows")
     at = F.timestamp_seconds(F.expr(_SECONDS.replace("l_orderkey", "values.num_bits").replace("l_linenumber", "values.num_packets")))
     stamp = F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    source = _as_messages(_enriched_messages(spark, sf_dir).withColumn("start", stamp).withColumn("end", stamp))
+    lines = table(spark, sf_dir, "lineitem").repartition(4 * spark.sparkContext.defaultParallelism)  # a file may be one row group
+    source = _as_messages(_enriched_messages(lines).withColumn("start", stamp).withColumn("end", stamp))
     for _ in range(2):
         jobs.enriched_flow_batch(base)(source, Batch("stream", 0))
     back = sinks.read_table(spark, base, sinks.FLOW_TABLE.name)

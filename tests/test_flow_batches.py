@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from telescry.config import FlowConfig
+from telescry.functions.flow import until_first_gap
 from telescry.operators import flows, ranges
 from telescry.plans import jobs
 from telescry.plans.registered import stores
@@ -66,3 +67,35 @@ def test_exploded_probes_of_ranges_are_not_broadcast(spark):
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     expect = {v: "b" if 5 <= v <= 20 else "a" if 10 <= v <= 700 else "c" for v in [*range(5, 701), 900]}
     assert {r.v: r.value for r in found.collect()} == expect
+
+
+def test_enriched_messages_are_read_once_a_batch(spark):
+    """Without lookups and dead letters one pass writes a batch; dead letters are still found."""
+    flow = {"start": "2024-01-01T00:00:00Z", "end": "2024-01-01T00:00:00Z", "values": {"num_bits": 8, "num_packets": 1}, "meta": {
+        "src_asn": 1, "src_ip": "10.0.0.1", "src_port": 1, "dst_asn": 2, "dst_ip": "10.0.0.2", "dst_port": 2, "mpls": {"exp0": "4", "exp1": "5", "exp2": "x", "exp3": "6"}}}
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def messages(*values):
+        rows = spark.createDataFrame(list(enumerate(values)), "offset long, value string").repartition(2)
+        text = F.lit("t")
+        return rows.mapInArrow(count, rows.schema).select(text.alias("key"), "value", text.alias("topic"), F.lit(0).alias("partition"), "offset", F.lit("2024-01-01").cast("timestamp").alias("timestamp"))
+
+    base = shared_dir(spark, "flows")
+    handle = jobs.enriched_flow_batch(base, FlowConfig(extensions=("mpls",)))
+    handle(messages(json.dumps(flow), json.dumps(flow), "{}"), Batch("stream", 0))
+    assert seen.value == 3
+    assert [json.loads(r.ext)["mpls_exp"] for r in sinks.read_table(spark, base, sinks.FLOW_TABLE.name).collect()] == [[4, 5], [4, 5]]
+    handle(messages(json.dumps(flow), "[1]", "{broken"), Batch("stream", 1))
+    assert sorted(r.offset for r in sinks.read_table(spark, base, jobs.REJECTED.name).collect()) == [1, 2]
+    assert sinks.read_table(spark, base, sinks.FLOW_TABLE.name).count() == 3
+
+
+def test_first_gap_of_a_numbered_family(spark):
+    rows = spark.createDataFrame([("1", "2", "3"), ("1", None, "3"), ("x", "2", "3"), (None, None, None), (" 7 ", "8", "9.5")], "a string, b string, c string")
+    got = [r[0] for r in rows.select(until_first_gap([F.col(c) for c in "abc"])).collect()]
+    assert got == [[1, 2, 3], [1], [], [], [7, 8]]
